@@ -21,6 +21,7 @@ from stratalake.constants import (
 )
 from stratalake.functions.numeric import parse_rate
 from stratalake.functions.temporal import date_from_parts, iso_text, parse_date
+from stratalake.operators.filters import min_year
 
 _IGNORED = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 _EDGE = r"[\s ]*"
@@ -99,19 +100,24 @@ def extract_rows(
     )
 
 
-def fx_records(pages: DataFrame, html: str, first_year: int = FX_FIRST_YEAR) -> DataFrame:
-    """Year-by-month average rates: ``rate_date, currency_pair, rate, source``."""
-    rows = extract_rows(pages, html)
-    year = F.when(F.get("cells", F.lit(0)).rlike(r"^[+-]?\d{1,9}$"), F.get("cells", F.lit(0)))
+def fx_records(
+    pages: DataFrame, html: str, first_year: int = FX_FIRST_YEAR, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Year-by-month average rates: ``keep..., rate_date, currency_pair, rate, source``."""
+    rows = extract_rows(pages, html, keep).withColumn("_year", F.get("cells", F.lit(0)))
     months = (
-        rows.select(year.try_cast("int").alias("year"), "cells")
-        .filter(F.col("year") >= first_year)
-        # A short row simply has fewer months.
-        .select("year", F.posexplode(F.slice("cells", 2, 12)).alias("month_index", "text"))
-        .select("year", "month_index", parse_rate(F.col("text")).alias("rate"))
+        min_year(rows, "_year", first_year)
+        .select(
+            *keep,
+            F.col("_year").try_cast("int").alias("year"),
+            # A short row simply has fewer months.
+            F.posexplode(F.slice("cells", 2, 12)).alias("month_index", "text"),
+        )
+        .select(*keep, "year", "month_index", parse_rate(F.col("text")).alias("rate"))
         .filter(F.col("rate").isNotNull())
     )
     return months.select(
+        *keep,
         iso_text(date_from_parts(F.col("year"), F.col("month_index") + 1)).alias("rate_date"),
         F.lit(USD_PHP).alias("currency_pair"),
         "rate",
@@ -119,10 +125,11 @@ def fx_records(pages: DataFrame, html: str, first_year: int = FX_FIRST_YEAR) ->
     )
 
 
-def policy_records(pages: DataFrame, html: str) -> DataFrame:
+def policy_records(pages: DataFrame, html: str, keep: Sequence[str] = ()) -> DataFrame:
     """Decisions with a readable date and a plausible rate; direction is decided in silver."""
-    rows = extract_rows(pages, html).filter(F.size("cells") >= 2)
+    rows = extract_rows(pages, html, keep).filter(F.size("cells") >= 2)
     decisions = rows.select(
+        *keep,
         parse_date(F.get("cells", F.lit(0))).alias("day"),
         parse_rate(F.get("cells", F.lit(1))).alias("overnight_rp"),
         parse_rate(F.get("cells", F.lit(2))).alias("overnight_srp"),
@@ -131,6 +138,7 @@ def policy_records(pages: DataFrame, html: str) -> DataFrame:
         & F.col("overnight_rp").between(POLICY_RATE_MIN, POLICY_RATE_MAX)
     )
     return decisions.select(
+        *keep,
         iso_text(F.col("day")).alias("decision_date"),
         "overnight_rp",
         "overnight_srp",
