@@ -106,16 +106,36 @@ def ship_bronze(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-SHIP_SILVER = """
-ship_silver AS (
-  SELECT CAST(l_shipdate AS DATE) AS period_date, 'USD/PHP' AS currency_pair,
+def _ship_silver(name: str, day: str, pair: str) -> str:
+    return f"""
+{name} AS (
+  SELECT CAST({day} AS DATE) AS period_date, {pair} AS currency_pair,
          l_extendedprice AS rate, 'lineitem' AS source
   FROM lineitem WHERE l_extendedprice IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY CAST(l_shipdate AS DATE)
+  QUALIFY row_number() OVER (PARTITION BY CAST({day} AS DATE), {pair}
             ORDER BY l_shipdate DESC, l_orderkey || '-' || l_linenumber DESC,
                      l_extendedprice DESC) = 1)"""
 
 
+SHIP_SILVER = _ship_silver("ship_silver", "l_shipdate", "'USD/PHP'")
+SHIP_MONTHLY = _ship_silver(
+    "ship_monthly", "date_trunc('month', l_shipdate)", "'S' || l_suppkey"
+)
+
+
+def ship_monthly(spark: SparkSession, sf: str) -> DataFrame:
+    """A pair per supplier at month grain, the grain gold is partitioned by."""
+    month = F.date_format(F.trunc(F.to_date("l_shipdate"), "month"), "yyyy-MM-dd")
+    return table(spark, sf, "lineitem").select(
+        month.alias("rate_date"),
+        F.concat(F.lit("S"), "l_suppkey").alias("currency_pair"),
+        F.col("l_extendedprice").alias("rate"),
+        F.lit("lineitem").alias("source"),
+        _zoned("l_shipdate").alias("fetched_at"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("batch_id"),
+    )
+
+
 # ---------------------------------------------------------------- policy decisions from orders
 
 _DIRECTION = {"F": "hike", "O": "cut", "P": "pause"}

@@ -19,7 +19,16 @@ from stratalake.schemas import schema_hash
 from stratalake.session import shared_folder
 from stratalake.sinks import write_partitioned, write_snapshots
 from workload import query
-from workload.tables import FX_BRONZE, SHIP_SILVER, fx_bronze, iso, ship_bronze, table
+from workload.tables import (
+    FX_BRONZE,
+    SHIP_MONTHLY,
+    SHIP_SILVER,
+    fx_bronze,
+    iso,
+    ship_bronze,
+    ship_monthly,
+    table,
+)
 
 _JANUARY, _FEBRUARY = date(2024, 1, 1), date(2024, 2, 1)
 
@@ -112,13 +121,13 @@ def _quality_record(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "snapshot_latest",
-    f"WITH {SHIP_SILVER} SELECT {iso('period_date')[:-len('period_date')]}period, currency_pair, "
-    "rate, source FROM ship_silver WHERE period_date < DATE '2000-01-01'",
+    f"WITH {SHIP_MONTHLY} SELECT strftime(period_date, '%Y-%m-%d') AS period, currency_pair, "
+    "rate, source FROM ship_monthly WHERE period_date < DATE '2000-01-01'",
 )
 def _snapshot_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Two snapshots, the newer one shorter; the newer one is served."""
     store = _store(spark, "snapshot-latest")
-    silver = fx_silver(ship_bronze(spark, sf))
+    silver = fx_silver(ship_monthly(spark, sf))
     contract = load_contract("gold_exchange_rates")
     shorter = silver.filter(F.col("period_date") < date(2000, 1, 1))
     for day, rows in ((_JANUARY, silver), (_FEBRUARY, shorter)):
@@ -184,11 +193,11 @@ def _backfill_overwrite(spark: SparkSession, sf: str) -> DataFrame:
       SELECT CAST(unnest(generate_series(date_trunc('month', (SELECT min(l_shipdate) FROM lineitem)),
                date_trunc('month', (SELECT max(l_shipdate) FROM lineitem)), INTERVAL 1 MONTH))
              AS DATE) AS run_date),
-    days AS (
+    pairs AS (
       SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS run_date,
-             count(DISTINCT CAST(l_shipdate AS DATE)) AS n
+             count(DISTINCT l_suppkey) AS n
       FROM lineitem GROUP BY 1),
-    judged AS (SELECT run_date, coalesce(n, 0) AS n FROM months LEFT JOIN days USING (run_date))
+    judged AS (SELECT run_date, coalesce(n, 0) AS n FROM months LEFT JOIN pairs USING (run_date))
     SELECT strftime(run_date, '%Y-%m-%d') AS run_date, 'bsp_fx' AS source,
            CASE WHEN n >= 20 OR n = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS status,
            CASE WHEN n >= 20 THEN n ELSE 0 END AS records_ingested,
@@ -198,7 +207,7 @@ def _backfill_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 def _backfill_chain(spark: SparkSession, sf: str) -> DataFrame:
     """Every shipping month as a batch of its own through landing, silver, checks and gold."""
     store = _store(spark, "backfill-chain")
-    records = ship_bronze(spark, sf).drop("fetched_at", "batch_id")
+    records = ship_monthly(spark, sf).drop("fetched_at", "batch_id")
     bounds = records.agg(F.min("rate_date").alias("first"), F.max("rate_date").alias("last")).first()
     start, end = date.fromisoformat(bounds.first), date.fromisoformat(bounds.last)
     run_backfill(store, "bsp_fx", records, start, end, batch_date="rate_date")
