@@ -32,6 +32,19 @@ def derive(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     return df.withColumns(dict(columns))
 
 
+def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """As :func:`derive`, for expensive expressions that later filters test.
+
+    Catalyst pushes a filter through a projection by copying the expression into it, where common
+    parts are then evaluated again and again. It does not push through a generator of the tested
+    column, so the expressions pass one that yields exactly one row.
+    """
+    values = F.struct(*[value.alias(name) for name, value in columns.items()])
+    packed = df.select("*", values.alias("_values"))
+    single = packed.select(*df.columns, F.explode(F.array("_values")).alias("_value"))
+    return single.select(*df.columns, "_value.*")
+
+
 def drop(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.drop(*columns)
 

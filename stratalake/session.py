@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job relies on. Partition counts and memory stay with the cluster.
 DEFAULTS = {
@@ -43,3 +43,13 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="stratalake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Write an intermediate result that several jobs or subqueries need, and read it back.
+
+    It is computed once and, unlike a cache, outlives the executors that computed it.
+    """
+    folder = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

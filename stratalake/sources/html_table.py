@@ -1,7 +1,8 @@
 """HTML tables to rows of cell texts, and the two published tables built on them.
 
-Extraction is regular expressions over the whole document, per row and inside the JVM. Unclosed
-rows and cells end where the next one starts. A table nested in the first table ends it.
+A page is turned into delimited text by a few regular-expression passes over the whole document,
+inside the JVM, and then split. Unclosed rows and cells end where the next one starts. A table
+nested in the first table ends it.
 """
 
 from __future__ import annotations
@@ -21,10 +22,13 @@ from stratalake.constants import (
 )
 from stratalake.functions.numeric import parse_rate
 from stratalake.functions.temporal import date_from_parts, iso_text, parse_date
+from stratalake.operators.columns import computed_once
 from stratalake.operators.filters import min_year
 
 _IGNORED = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-_EDGE = r"[\s ]*"
+# A control character, which HTML text cannot hold, frames the names of structural tags.
+_MARK = "\x1d"
+_SPACE = "[\\s\u00a0]*"
 
 # The named entities publishers use in table cells. "amp" has to come last.
 _NAMED_ENTITIES = {
@@ -56,22 +60,17 @@ def _decode_numeric(text: Column, pattern: str, code_of) -> Column:
     return F.when(text.rlike(pattern), F.aggregate(found, text, replaced)).otherwise(text)
 
 
-def cell_text(markup: Column) -> Column:
-    """Text of a cell: every text node trimmed, nodes joined, entities decoded."""
-    text = F.regexp_replace(markup, r"(?i)&(nbsp|#160|#xa0);", " ")
-    text = F.regexp_replace(text, f"{_EDGE}<[^>]*>{_EDGE}", "")
-    text = F.regexp_replace(text, f"^{_EDGE}|{_EDGE}$", "")
-    text = _decode_numeric(text, r"&#(\d{1,7});", lambda n: F.hex(n.cast("int")))
-    text = _decode_numeric(text, r"&#[xX]([0-9a-fA-F]{1,6});", lambda n: n)
+def decode_entities(text: Column) -> Column:
+    """Named and numeric character references to characters."""
+    decoded = _decode_numeric(text, r"&#(\d{1,7});", lambda n: F.hex(n.cast("int")))
+    decoded = _decode_numeric(decoded, r"&#[xX]([0-9a-fA-F]{1,6});", lambda n: n)
     for name, character in _NAMED_ENTITIES.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(character))
-    return text
+        decoded = F.replace(decoded, F.lit(f"&{name};"), F.lit(character))
+    return F.when(text.contains("&"), decoded).otherwise(text)
 
 
-def _element(tags: Sequence[str]) -> str:
-    """Content of an element up to its end tag, the next such element or the end of the text."""
-    names = "|".join(tags)
-    return rf"(?is)<(?:{names})\b[^>]*>(.*?)(?=</(?:{names})\b|<(?:{names})\b|\z)"
+def _marked(names: Sequence[str]) -> str:
+    return f"(?i){_MARK}(?:{'|'.join(names)}){_MARK}"
 
 
 def extract_rows(
@@ -82,21 +81,35 @@ def extract_rows(
     row_tags: Sequence[str] = ("tr",),
     cell_tags: Sequence[str] = ("td", "th"),
 ) -> DataFrame:
-    """Rows of the first ``container`` of each page: ``keep..., row_index, cells``."""
-    body = F.regexp_extract(
-        F.regexp_replace(html, _IGNORED, ""),
-        rf"(?is)<{container}\b[^>]*>(.*?)(?:</{container}\s*>|\z)",
-        1,
+    """Rows of the first ``container`` of each page: ``keep..., row_index, cells``.
+
+    A cell's text nodes are trimmed and joined; text outside of cells is dropped. Each step is a
+    projection of its own, which keeps Catalyst from copying one step's work into the next.
+    """
+    structural = [*row_tags, *cell_tags]
+    tag_pattern = rf"(?i){_SPACE}<(/?(?:{'|'.join(structural)}))\b[^>]*>{_SPACE}"
+    container_pattern = rf"(?is)<{container}\b[^>]*>(.*?)(?:</{container}\s*>|\z)"
+    body = F.regexp_extract(F.regexp_replace(html, _IGNORED, ""), container_pattern, 1)
+    blanks = F.regexp_replace("_body", r"(?i)&(?:nbsp|#160|#xa0);", "\u00a0")
+
+    text = F.regexp_replace("_body", tag_pattern, f"{_MARK}$1{_MARK}")
+    text = F.regexp_replace(text, f"{_SPACE}<[^>]*>{_SPACE}", "")
+    closing = _marked([f"/{name}" for name in structural])
+    text = F.regexp_replace(text, f"{closing}[^{_MARK}]*", "")
+
+    texts = (
+        pages.select(*keep, F.translate(body, _MARK, "").alias("_body"))
+        .withColumn("_body", F.when(F.col("_body").contains("&"), blanks).otherwise(F.col("_body")))
+        .select(*keep, text.alias("_text"))
+        .withColumn("_text", decode_entities(F.col("_text")))
     )
-    rows = pages.select(
-        *keep,
-        F.posexplode(F.regexp_extract_all(body, F.lit(_element(row_tags)), F.lit(1))).alias(
-            "row_index", "_row"
-        ),
+    rows = texts.select(
+        *keep, F.posexplode(F.split("_text", _marked(row_tags))).alias("_at", "_row")
     )
-    cells = F.regexp_extract_all("_row", F.lit(_element(cell_tags)), F.lit(1))
-    return rows.select(*keep, "row_index", F.transform(cells, cell_text).alias("cells")).filter(
-        F.size("cells") > 0
+    # What precedes the first mark of a page or of a row belongs to no row or cell.
+    cells = F.slice(F.split("_row", _marked(cell_tags)), 2, F.length("_row"))
+    return rows.filter((F.col("_at") > 0) & F.col("_row").contains(_MARK)).select(
+        *keep, (F.col("_at") - 1).alias("row_index"), cells.alias("cells")
     )
 
 
@@ -113,10 +126,9 @@ def fx_records(
             # A short row simply has fewer months.
             F.posexplode(F.slice("cells", 2, 12)).alias("month_index", "text"),
         )
-        .select(*keep, "year", "month_index", parse_rate(F.col("text")).alias("rate"))
-        .filter(F.col("rate").isNotNull())
     )
-    return months.select(
+    rates = computed_once(months, {"rate": parse_rate(F.col("text"))})
+    return rates.filter(F.col("rate").isNotNull()).select(
         *keep,
         iso_text(date_from_parts(F.col("year"), F.col("month_index") + 1)).alias("rate_date"),
         F.lit(USD_PHP).alias("currency_pair"),
@@ -127,15 +139,15 @@ def fx_records(
 
 def policy_records(pages: DataFrame, html: str, keep: Sequence[str] = ()) -> DataFrame:
     """Decisions with a readable date and a plausible rate; direction is decided in silver."""
-    rows = extract_rows(pages, html, keep).filter(F.size("cells") >= 2)
-    decisions = rows.select(
-        *keep,
-        parse_date(F.get("cells", F.lit(0))).alias("day"),
-        parse_rate(F.get("cells", F.lit(1))).alias("overnight_rp"),
-        parse_rate(F.get("cells", F.lit(2))).alias("overnight_srp"),
+    decisions = computed_once(
+        extract_rows(pages, html, keep),
+        {
+            "day": parse_date(F.get("cells", F.lit(0))),
+            "overnight_rp": parse_rate(F.get("cells", F.lit(1))),
+            "overnight_srp": parse_rate(F.get("cells", F.lit(2))),
+        },
     ).filter(
-        F.col("day").isNotNull()
-        & F.col("overnight_rp").between(POLICY_RATE_MIN, POLICY_RATE_MAX)
+        F.col("day").isNotNull() & F.col("overnight_rp").between(POLICY_RATE_MIN, POLICY_RATE_MAX)
     )
     return decisions.select(
         *keep,

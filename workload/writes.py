@@ -16,7 +16,7 @@ from stratalake.plans.monthly_run import run_backfill
 from stratalake.plans.serving import latest_snapshot
 from stratalake.plans.silver import fx_silver
 from stratalake.schemas import schema_hash
-from stratalake.session import shared_folder
+from stratalake.session import shared_folder, staged
 from stratalake.sinks import write_partitioned, write_snapshots
 from workload import query
 from workload.tables import (
@@ -127,7 +127,7 @@ def _quality_record(spark: SparkSession, sf: str) -> DataFrame:
 def _snapshot_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Two snapshots, the newer one shorter; the newer one is served."""
     store = _store(spark, "snapshot-latest")
-    silver = fx_silver(ship_monthly(spark, sf))
+    silver = staged(fx_silver(ship_monthly(spark, sf)), "snapshot-silver")
     contract = load_contract("gold_exchange_rates")
     shorter = silver.filter(F.col("period_date") < date(2000, 1, 1))
     for day, rows in ((_JANUARY, silver), (_FEBRUARY, shorter)):
