@@ -6,46 +6,65 @@ import hashlib
 import json
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
+from pyspark.sql.types import StructField, StructType
+
+_TYPES = {
+    "string": T.StringType(),
+    "double": T.DoubleType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "boolean": T.BooleanType(),
+}
+
+
+def _struct(columns: str) -> StructType:
+    """``"name type, name type!"``; an exclamation mark means NOT NULL. Needs no session."""
+    fields = []
+    for column in columns.split(","):
+        name, kind = column.split()
+        fields.append(StructField(name, _TYPES[kind.rstrip("!")], not kind.endswith("!")))
+    return StructType(fields)
+
 
-_PSA_KEY = "series_code STRING NOT NULL"
-_STAMP = "fetched_at TIMESTAMP NOT NULL, batch_id STRING NOT NULL"
+_STAMP = "fetched_at timestamp!, batch_id string!"
 
 # Column names, types, order and nullability of every stored layer.
 _LAYERS = {
-    "psa_bronze": f"{_PSA_KEY}, period STRING NOT NULL, value DOUBLE, unit STRING, "
-    f"source STRING NOT NULL, {_STAMP}",
-    "psa_silver": "period_date DATE NOT NULL, period_year INT NOT NULL, period_month INT NOT NULL, "
-    f"{_PSA_KEY}, value DOUBLE, unit STRING, source STRING NOT NULL",
-    "bsp_fx_bronze": "rate_date STRING NOT NULL, currency_pair STRING NOT NULL, rate DOUBLE, "
-    f"source STRING NOT NULL, {_STAMP}",
-    "bsp_fx_silver": "period_date DATE NOT NULL, currency_pair STRING NOT NULL, "
-    "rate DOUBLE NOT NULL, source STRING NOT NULL",
-    "bsp_policy_silver": "decision_date DATE NOT NULL, overnight_rp DOUBLE NOT NULL, "
-    "overnight_srp DOUBLE, direction STRING NOT NULL, source STRING NOT NULL",
+    "psa_bronze": "series_code string!, period string!, value double, unit string, "
+    f"source string!, {_STAMP}",
+    "psa_silver": "period_date date!, period_year int!, period_month int!, series_code string!, "
+    "value double, unit string, source string!",
+    "bsp_fx_bronze": "rate_date string!, currency_pair string!, rate double, "
+    f"source string!, {_STAMP}",
+    "bsp_fx_silver": "period_date date!, currency_pair string!, rate double!, source string!",
+    "bsp_policy_silver": "decision_date date!, overnight_rp double!, overnight_srp double, "
+    "direction string!, source string!",
 }
 
 #: What the landing step accepts per source: the bronze columns before stamping.
 _RECORDS = {
-    "psa": "series_code STRING, period STRING, value DOUBLE, unit STRING, source STRING",
-    "bsp_fx": "rate_date STRING, currency_pair STRING, rate DOUBLE, source STRING",
-    "bsp_policy": "decision_date STRING, overnight_rp DOUBLE, overnight_srp DOUBLE, "
-    "direction STRING, source STRING",
+    "psa": "series_code string, period string, value double, unit string, source string",
+    "bsp_fx": "rate_date string, currency_pair string, rate double, source string",
+    "bsp_policy": "decision_date string, overnight_rp double, overnight_srp double, "
+    "direction string, source string",
 }
 
 _METADATA = {
-    "pipeline_runs": "run_id STRING, pipeline_name STRING, source STRING, run_date DATE, "
-    "started_at TIMESTAMP, ended_at TIMESTAMP, status STRING, records_ingested BIGINT, "
-    "records_rejected BIGINT, error_message STRING",
-    "stage_metrics": "id BIGINT, run_id STRING, stage_name STRING, started_at TIMESTAMP, "
-    "duration_seconds DOUBLE, input_rows BIGINT, output_rows BIGINT",
-    "dataset_versions": "id BIGINT, run_id STRING, dataset_name STRING, partition_key STRING, "
-    "row_count BIGINT, schema_hash STRING, s3_path STRING, created_at TIMESTAMP",
-    "processed_batches": "source STRING, batch_date DATE, run_id STRING, processed_at TIMESTAMP",
-    "quality_results": "id BIGINT, run_id STRING, check_name STRING, passed BOOLEAN, "
-    "failed_count BIGINT, threshold DOUBLE",
-    "file_manifest": "id BIGINT, source STRING, fetch_date DATE, file_path STRING, "
-    "sha256_hash STRING, byte_size BIGINT, batch_id STRING, status STRING, fetched_at TIMESTAMP",
+    "pipeline_runs": "run_id string, pipeline_name string, source string, run_date date, "
+    "started_at timestamp, ended_at timestamp, status string, records_ingested bigint, "
+    "records_rejected bigint, error_message string",
+    "stage_metrics": "id bigint, run_id string, stage_name string, started_at timestamp, "
+    "duration_seconds double, input_rows bigint, output_rows bigint",
+    "dataset_versions": "id bigint, run_id string, dataset_name string, partition_key string, "
+    "row_count bigint, schema_hash string, s3_path string, created_at timestamp",
+    "processed_batches": "source string, batch_date date, run_id string, processed_at timestamp",
+    "quality_results": "id bigint, run_id string, check_name string, passed boolean, "
+    "failed_count bigint, threshold double",
+    "file_manifest": "id bigint, source string, fetch_date date, file_path string, "
+    "sha256_hash string, byte_size bigint, batch_id string, status string, fetched_at timestamp",
 }
 
 
@@ -53,7 +72,7 @@ def _layer(source: str, layer: str) -> StructType:
     name = f"{source}_{layer}"
     if name not in _LAYERS:
         raise KeyError(f"no {layer} schema is registered for source {source!r}")
-    return StructType.fromDDL(_LAYERS[name])
+    return _struct(_LAYERS[name])
 
 
 def get_bronze_schema(source: str) -> StructType:
@@ -67,11 +86,11 @@ def get_silver_schema(source: str) -> StructType:
 def record_schema(source: str) -> StructType:
     if source not in _RECORDS:
         raise KeyError(f"unknown source {source!r}")
-    return StructType.fromDDL(_RECORDS[source])
+    return _struct(_RECORDS[source])
 
 
 def metadata_schema(table: str) -> StructType:
-    return StructType.fromDDL(_METADATA[table])
+    return _struct(_METADATA[table])
 
 
 METADATA_TABLES = tuple(_METADATA)

@@ -140,7 +140,7 @@ def test_custom_checks(spark):
     ("name", "least", "column"),
     [("gold_macro_indicators", 100, "value"), ("gold_exchange_rates", 20, "rate")],
 )
-def test_contracts(name, least, column):
+def test_contracts(spark, name, least, column):
     contract = load_contract(name)
     checks = {c.check: c for c in contract.quality_checks}
     assert checks["row_count_min"].value == least
