@@ -35,7 +35,7 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     counts = child.filter(F.col(child_key).isNotNull()).groupBy(child_key).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    parents = parent.select(F.col(parent_key).alias(child_key))
+    parents = parent.select(F.col(parent_key).alias(child_key)).distinct()
     return counts.join(parents, child_key, "left_anti")
 
 

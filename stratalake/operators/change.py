@@ -41,10 +41,11 @@ def previous_value_split(
 ) -> DataFrame:
     """Lag for series of any size, including a single hot or global one.
 
-    ``bucket`` cuts a series into consecutive ranges of the leading order column (a year, a
-    month, ...). Rows are only ever sorted inside their bucket. The first row of a bucket takes the
-    last value of the nearest earlier bucket, found on one pre-aggregated row per series and
-    bucket. ``value`` must not be NULL.
+    ``bucket`` cuts a series into consecutive ranges of ``order``: a month of its date, or a date
+    and a range of a unique key within it, which bounds the bucket whatever the data. Rows are only
+    ever sorted inside their bucket. The first row of a bucket takes the last value of the nearest
+    earlier bucket, found on one pre-aggregated row per series and bucket. ``value`` must not be
+    NULL.
     """
     bucketed = df.withColumn("_bucket", bucket)
     inside = Window.partitionBy(*series, "_bucket").orderBy(*order)

@@ -20,11 +20,14 @@ def upsert_latest(
 def insert_absent(
     target: DataFrame, rows: DataFrame, keys: Sequence[str], oldest_by: Sequence[str]
 ) -> DataFrame:
-    """The rows to append: first of each new key, keys the target already has left out."""
+    """The rows to append: first of each new key, keys the target already has left out.
+
+    Both sides are reduced to one row per key before they meet, so no hot key meets a single task.
+    """
     firsts = rows.groupBy(*keys).agg(
         F.min_by(F.struct(*rows.columns), F.struct(*oldest_by)).alias("_row")
     )
-    return firsts.select("_row.*").join(target.select(*keys), list(keys), "left_anti")
+    return firsts.select("_row.*").join(target.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def coalesce_update(target: DataFrame, patch: DataFrame, keys: Sequence[str]) -> DataFrame:

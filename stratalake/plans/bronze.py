@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Sequence
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
@@ -114,17 +114,21 @@ def read_bronze(store: MetadataStore, source: str, path: str | None = None) -> D
     )
 
 
-def first_copies(df: DataFrame, content: Mapping[str, Column], business: list[str], order: str) -> DataFrame:
-    """Give every row the earliest row of equal content: ``..., sha256_hash, first_<order>``.
+def content_digests(df: DataFrame, row_id: str, scope: Sequence[str], business: Sequence[str]) -> DataFrame:
+    """``row_id, scope..., sha256_hash``: all that deduplication needs of a wide row."""
+    return df.select(row_id, *scope, row_digest(business).alias("sha256_hash"))
 
-    ``content`` adds scoping columns (say, the source). The earliest row is an aggregate that is
-    joined back: a content with very many copies is one row after the map side, and adaptive
-    execution splits its copies over several tasks in the join.
+
+def first_copies(digests: DataFrame, row_id: str, scope: Sequence[str]) -> DataFrame:
+    """Give every row the least id of equal content: ``..., first_<row_id>``.
+
+    The least id is an aggregate that is joined back: a content with very many copies is one row
+    after the map side, and adaptive execution splits its copies over several tasks in the join.
+    ``digests`` is read twice, so stage it if computing it means reading wide rows.
     """
-    hashed = df.withColumns(dict(content)).withColumn("sha256_hash", row_digest(business))
-    keys = [*content, "sha256_hash"]
-    firsts = hashed.groupBy(*keys).agg(F.min(order).alias(f"first_{order}"))
-    return hashed.join(firsts, keys)
+    keys = [*scope, "sha256_hash"]
+    firsts = digests.groupBy(*keys).agg(F.min(row_id).alias(f"first_{row_id}"))
+    return digests.join(firsts, keys)
 
 
 def resolve_paths(new: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -133,7 +133,7 @@ def pending_batches(planned: DataFrame, processed: DataFrame, backfill: bool = F
     if backfill:
         return due
     done = processed.select("source", first_of_month(F.col("batch_date")).alias("batch_date"))
-    return due.join(done, ["source", "batch_date"], "left_anti")
+    return due.join(done.distinct(), ["source", "batch_date"], "left_anti")
 
 
 # ---------------------------------------------------------------- store

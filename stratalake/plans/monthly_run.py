@@ -23,7 +23,7 @@ from stratalake.plans.gold import Batch, Published, publish
 from stratalake.plans.metadata import MetadataStore, now
 from stratalake.plans.silver import transform, write_silver
 from stratalake.schemas import record_schema
-from stratalake.sinks import SNAPSHOT_COLUMNS
+from stratalake.sinks import SNAPSHOT_COLUMNS, in_snapshots
 
 # The gold dataset a source feeds. Policy decisions end in silver.
 GOLD_OF = {PSA: "gold_macro_indicators", BSP_FX: "gold_exchange_rates"}
@@ -133,11 +133,7 @@ def _chain(
 def _read_silver(store: MetadataStore, path: str, days: Sequence[date]) -> DataFrame:
     """The batch months just written; the filter prunes the scan to their folders."""
     rows = store.spark.read.parquet(path)
-    wanted = [(F.col("year") == d.year) & (F.col("month") == d.month) for d in days]
-    keep = wanted[0]
-    for condition in wanted[1:]:
-        keep = keep | condition
-    return rows.filter(keep).withColumns(
+    return rows.filter(in_snapshots(days)).withColumns(
         {
             "year": F.col("year").cast("string"),
             "month": F.lpad(F.col("month").cast("string"), 2, "0"),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +55,11 @@ def write_snapshots(
         _delete_folder(spark, f"{path}/{folder}")
 
 
+def in_snapshots(days: Sequence[date]) -> Column:
+    """Partition filter for batch months, on the ``year`` and ``month`` read back as integers."""
+    return (F.col("year") * 100 + F.col("month")).isin([d.year * 100 + d.month for d in days])
+
+
 def _folder_of(partition_cols: Sequence[str]) -> Column:
     """Partition folder of a row; ``year`` and ``month`` may be text or the integers read back."""
     month = F.lpad(F.col("month").cast("string"), 2, "0")
@@ -76,9 +80,8 @@ def _stale_folders(
     """
     if not days or not readable(spark, path):
         return []
-    old = spark.read.parquet(path)
-    months = [(F.col("year") == d.year) & (F.col("month") == d.month) for d in days]
-    before = old.filter(reduce(lambda a, b: a | b, months)).select(_folder_of(partition_cols)).distinct()
+    old = spark.read.parquet(path).filter(in_snapshots(days))
+    before = old.select(_folder_of(partition_cols)).distinct()
     after = df.select(_folder_of(partition_cols)).distinct()
     return [row.folder for row in before.join(after, "folder", "left_anti").collect()]
 

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.constants import MONTHS
-from stratalake.functions.digest import fingerprint
+from stratalake.functions.digest import fingerprint, row_digest
 from stratalake.functions.numeric import parse_rate
 from stratalake.functions.temporal import parse_date
 from stratalake.operators.filters import min_year
 from stratalake.operators.monthly import pivot_months, unpivot_months
-from stratalake.plans.bronze import first_copies, resolve_paths
-from stratalake.session import shared_folder
+from stratalake.plans.bronze import content_digests, first_copies, resolve_paths
+from stratalake.session import shared_folder, staged
 from stratalake.sources.fallback import concat_series, primary_or_fallback
 from stratalake.sources.html_table import extract_rows, fx_records, policy_records
 from stratalake.sources.json_stat import cpi_records
@@ -312,8 +312,9 @@ _DIGEST = "sha256(length(lang) || ':' || lang || length(text) || ':' || text)"
     SELECT *, min(doc_id) OVER (PARTITION BY source, sha256_hash) AS first_doc_id FROM hashed""",
 )
 def _content_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents")
-    rows = first_copies(documents, {"source": F.col("source")}, ["text", "lang"], "doc_id")
+    """Texts are read once; the join works on their digests."""
+    digests = content_digests(table(spark, sf, "documents"), "doc_id", ["source"], ["text", "lang"])
+    rows = first_copies(staged(digests, "content-digests"), "doc_id", ["source"])
     return rows.select("doc_id", "source", "sha256_hash", "first_doc_id")
 
 
@@ -349,8 +350,6 @@ def _content_fingerprint(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _landing_resolve(spark: SparkSession, sf: str) -> DataFrame:
     """English documents have landed; every document is then landed again."""
-    from stratalake.functions.digest import row_digest
-
     path = F.concat(F.lit("bronze/"), "source", F.lit("/"), "doc_id", F.lit(".parquet"))
     new = table(spark, sf, "documents").select(
         "doc_id", "source", "lang", row_digest(["lang", "text"]).alias("sha256_hash"),
