@@ -59,3 +59,14 @@ def readable(spark: SparkSession, path: str) -> bool:
             return False
         raise
     return True
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop file system and path object of a URI."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    files, target = file_system(spark, path)
+    return files.exists(target)

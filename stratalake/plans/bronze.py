@@ -100,12 +100,12 @@ def land_batches(
     return path
 
 
-def read_bronze(store: MetadataStore, source: str, path: str | None = None) -> DataFrame:
-    """Bronze rows with ``year`` and ``month`` as text; ``path`` narrows to one landed batch."""
+def read_bronze(store: MetadataStore, source: str, *paths: str) -> DataFrame:
+    """Bronze rows with ``year`` and ``month`` as text; ``paths`` narrow to landed batches."""
     lake = store.lake
     schema = bronze_schema(source).add("year", "integer").add("month", "integer")
     reader = store.spark.read.schema(schema).option("basePath", lake.bronze(source))
-    rows = reader.parquet(path or lake.bronze(source))
+    rows = reader.parquet(*(paths or [lake.bronze(source)]))
     return rows.withColumns(
         {
             "year": F.col("year").cast("string"),

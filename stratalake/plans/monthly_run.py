@@ -6,7 +6,7 @@ backfill is one Spark job per layer over all months, not a loop of jobs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
@@ -15,15 +15,15 @@ from pyspark.sql import functions as F
 
 from stratalake.constants import BSP_FX, PSA
 from stratalake.contracts import load_contract
-from stratalake.layout import batch_folder, first_day
+from stratalake.layout import batch_folder, first_day, folder_exists
 from stratalake.operators.columns import project
 from stratalake.operators.quality import HardQualityFailure
 from stratalake.plans.bronze import land, land_batches, make_batch_id, read_bronze
 from stratalake.plans.gold import Batch, Published, publish
 from stratalake.plans.metadata import MetadataStore, now
 from stratalake.plans.silver import transform, write_silver
-from stratalake.schemas import record_schema
-from stratalake.sinks import SNAPSHOT_COLUMNS, in_snapshots
+from stratalake.schemas import get_silver_schema, record_schema
+from stratalake.sinks import SNAPSHOT_COLUMNS, read_snapshots
 
 # The gold dataset a source feeds. Policy decisions end in silver.
 GOLD_OF = {PSA: "gold_macro_indicators", BSP_FX: "gold_exchange_rates"}
@@ -94,12 +94,12 @@ def run_backfill(
         wanted = record_schema(source)
         typed = project(dated, wanted.add("_batch", "date"))
         land_batches(store.lake, source, typed, F.col("_batch"), now(), F.lit(batch_id))
-        landed = read_bronze(store, source)
-        year, month = F.col("year").cast("int"), F.col("month").cast("int")
-        return landed.filter(
-            F.make_date(year, month, F.lit(1)).between(days[0], days[-1])
-            & (F.col("batch_id") == batch_id)
-        )
+        root = store.lake.bronze(source)
+        folders = [f"{root}/{batch_folder(d)}/batch_id={batch_id}" for d in days]
+        landed = [f for f in folders if folder_exists(store.spark, f)]
+        if not landed:
+            raise ValueError("an empty record set cannot be landed")
+        return read_bronze(store, source, *landed)
 
     return _chain(store, source, bronze, batches, as_of)
 
@@ -112,17 +112,19 @@ def _chain(
     clock = _StageClock(store, batches)
     try:
         bronze = bronze_of()
-        clock.done("ingest")
+        landed = _row_counts(bronze)
+        clock.done("ingest", landed, landed)
         options = {"as_of": as_of} if source not in GOLD_OF else {}
         silver_path = write_silver(lake, transform(bronze, source, by, **options), source, days)
-        clock.done("transform")
-        silver = _read_silver(store, silver_path, days)
-        counts = {(r["year"], r["month"]): r["count"] for r in silver.groupBy(*by).count().collect()}
+        silver = _read_silver(store, source, silver_path, days)
+        counts = _row_counts(silver)
+        clock.done("transform", landed, counts)
         published = None
         if source in GOLD_OF:
             published = publish(lake, silver, load_contract(GOLD_OF[source]), batches)
             store.write("quality_results", published.results)
-            clock.done("quality", published)
+            clean = {_month(o.batch): o.clean for o in published.outcomes}
+            clock.done("quality", counts, clean)
     except Exception as error:
         failed = {"status": "FAILED", "error_message": str(error)}
         store.update_runs([{"run_id": batch.run_id, **failed} for batch in batches])
@@ -130,10 +132,22 @@ def _chain(
     return _commit(store, source, batches, counts, published)
 
 
-def _read_silver(store: MetadataStore, path: str, days: Sequence[date]) -> DataFrame:
-    """The batch months just written; the filter prunes the scan to their folders."""
-    rows = store.spark.read.parquet(path)
-    return rows.filter(in_snapshots(days)).withColumns(
+def _month(batch: Batch) -> tuple[str, str]:
+    return f"{batch.day.year}", f"{batch.day.month:02d}"
+
+
+def _row_counts(df: DataFrame) -> dict[tuple[str, str], int]:
+    """Rows per batch month of stored data: no column is read, one row per month comes back."""
+    return {(r["year"], r["month"]): r["count"] for r in df.groupBy(*SNAPSHOT_COLUMNS).count().collect()}
+
+
+def _read_silver(store: MetadataStore, source: str, path: str, days: Sequence[date]) -> DataFrame:
+    """The batch months just written."""
+    rows = read_snapshots(store.spark, path, days)
+    if rows is None:
+        nothing = get_silver_schema(source).add("year", "integer").add("month", "integer")
+        rows = store.spark.createDataFrame([], nothing)
+    return rows.withColumns(
         {
             "year": F.col("year").cast("string"),
             "month": F.lpad(F.col("month").cast("string"), 2, "0"),
@@ -151,7 +165,7 @@ def _commit(
     """Record every run; versions and the processed mark only for months that succeeded."""
     results, finished, versions, done = [], [], [], []
     for i, batch in enumerate(batches):
-        rows = counts.get((f"{batch.day.year}", f"{batch.day.month:02d}"), 0)
+        rows = counts.get(_month(batch), 0)
         status, figures = "SUCCESS", {"records_ingested": rows, "records_rejected": 0}
         if published is not None:
             outcome = published.outcomes[i]
@@ -190,9 +204,8 @@ class _StageClock:
     def __init__(self, store: MetadataStore, batches: Sequence[Batch]) -> None:
         self.store, self.batches, self.started = store, batches, now()
 
-    def done(self, stage: str, published: Published | None = None) -> None:
+    def done(self, stage: str, rows_in: Mapping, rows_out: Mapping) -> None:
         ended: datetime = now()
-        outcomes = published.outcomes if published else [None] * len(self.batches)
         self.store.write(
             "stage_metrics",
             [
@@ -201,10 +214,10 @@ class _StageClock:
                     "stage_name": stage,
                     "started_at": self.started,
                     "duration_seconds": (ended - self.started).total_seconds(),
-                    "input_rows": outcome.total if outcome else None,
-                    "output_rows": outcome.clean if outcome else None,
+                    "input_rows": rows_in.get(_month(batch), 0),
+                    "output_rows": rows_out.get(_month(batch), 0),
                 }
-                for batch, outcome in zip(self.batches, outcomes)
+                for batch in self.batches
             ],
         )
         self.started = ended

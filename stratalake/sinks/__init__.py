@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.layout import readable
+from stratalake.layout import batch_folder, file_system, folder_exists
 
 SNAPSHOT_COLUMNS = ("year", "month")
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
@@ -55,9 +55,14 @@ def write_snapshots(
         _delete_folder(spark, f"{path}/{folder}")
 
 
-def in_snapshots(days: Sequence[date]) -> Column:
-    """Partition filter for batch months, on the ``year`` and ``month`` read back as integers."""
-    return (F.col("year") * 100 + F.col("month")).isin([d.year * 100 + d.month for d in days])
+def read_snapshots(spark: SparkSession, path: str, days: Sequence[date]) -> DataFrame | None:
+    """The given batch months of a dataset, None if it has none of them.
+
+    Naming the folders spares the driver from listing every month the dataset ever had.
+    """
+    folders = [f"{path}/{batch_folder(day)}" for day in days]
+    present = [folder for folder in folders if folder_exists(spark, folder)]
+    return spark.read.option("basePath", path).parquet(*present) if present else None
 
 
 def _folder_of(partition_cols: Sequence[str]) -> Column:
@@ -75,21 +80,19 @@ def _stale_folders(
 ) -> list[str]:
     """Existing folders of the given months that the new rows do not fill.
 
-    The scan of the old version is pruned to those months. One row per stale folder reaches the
-    driver, which has to delete exactly these.
+    One row per stale folder reaches the driver, which has to delete exactly these.
     """
-    if not days or not readable(spark, path):
+    old = read_snapshots(spark, path, days)
+    if old is None:
         return []
-    old = spark.read.parquet(path).filter(in_snapshots(days))
     before = old.select(_folder_of(partition_cols)).distinct()
     after = df.select(_folder_of(partition_cols)).distinct()
     return [row.folder for row in before.join(after, "folder", "left_anti").collect()]
 
 
 def _delete_folder(spark: SparkSession, folder: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(folder)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = file_system(spark, folder)
+    files.delete(target, True)
 
 
 def append(df: DataFrame, path: str) -> None:

@@ -249,7 +249,9 @@ def test_seed_sized_inputs_against_their_minimum(spark, store):
 
     run_id = store.runs("psa", 1).first().run_id
     detail = store.run(run_id).first()
-    assert [s.stage_name for s in detail.stage_metrics] == ["ingest", "transform", "quality"]
+    assert [(s.stage_name, s.input_rows, s.output_rows) for s in detail.stage_metrics] == [
+        ("ingest", 240, 240), ("transform", 240, 240), ("quality", 240, 240),
+    ]
     assert [q.check_name for q in detail.quality_results] == ["no_nulls", "row_count_min", "value_range"]
     assert store.lineage(run_id).first().s3_path == versions["gold_macro_indicators"].s3_path
     assert store.run("unknown").count() == 0 and store.lineage("unknown").count() == 0
@@ -282,6 +284,14 @@ def test_backfill_is_repeatable_and_shrinks(spark, store):
     assert {(r["month"], r["count"]) for r in gold.groupBy("month").count().collect()} == {(1, 30), (2, 22), (3, 30)}
 
 
+def test_silver_without_rows(spark, store):
+    empty_rates = _fx(spark).withColumn("rate", F.lit(None).cast("double"))
+    assert run_month(store, "bsp_fx", empty_rates, date(2024, 1, 1)).status == "SUCCESS"
+    assert store.runs().first().records_ingested == 0
+    with pytest.raises(ValueError):
+        run_backfill(store, "bsp_fx", _fx(spark), date(2030, 1, 1), date(2030, 2, 1), batch_date="rate_date")
+
+
 def test_failed_run_is_recorded(spark, store):
     with pytest.raises(ValueError):
         run_month(store, "bsp_fx", _fx(spark).limit(0), date(2024, 1, 1))
