@@ -129,6 +129,8 @@ def _chain(
         failed = {"status": "FAILED", "error_message": str(error)}
         store.update_runs([{"run_id": batch.run_id, **failed} for batch in batches])
         raise
+    finally:
+        clock.flush()
     return _commit(store, source, batches, counts, published)
 
 
@@ -199,27 +201,27 @@ def _commit(
 
 
 class _StageClock:
-    """Writes one stage-metrics row per run whenever a stage is done."""
+    """Collects one stage-metrics row per run and finished stage; ``flush`` appends them."""
 
     def __init__(self, store: MetadataStore, batches: Sequence[Batch]) -> None:
         self.store, self.batches, self.started = store, batches, now()
+        self.rows: list[dict] = []
 
     def done(self, stage: str, rows_in: Mapping, rows_out: Mapping) -> None:
         ended: datetime = now()
-        self.store.write(
-            "stage_metrics",
-            [
-                {
-                    "run_id": batch.run_id,
-                    "stage_name": stage,
-                    "started_at": self.started,
-                    "duration_seconds": (ended - self.started).total_seconds(),
-                    "input_rows": rows_in.get(_month(batch), 0),
-                    "output_rows": rows_out.get(_month(batch), 0),
-                }
-                for batch in self.batches
-            ],
-        )
+        self.rows += [
+            {
+                "run_id": batch.run_id,
+                "stage_name": stage,
+                "started_at": self.started,
+                "duration_seconds": (ended - self.started).total_seconds(),
+                "input_rows": rows_in.get(_month(batch), 0),
+                "output_rows": rows_out.get(_month(batch), 0),
+            }
+            for batch in self.batches
+        ]
         self.started = ended
 
-
+    def flush(self) -> None:
+        if self.rows:
+            self.store.write("stage_metrics", self.rows)
