@@ -70,3 +70,9 @@ def file_system(spark: SparkSession, path: str):
 def folder_exists(spark: SparkSession, path: str) -> bool:
     files, target = file_system(spark, path)
     return files.exists(target)
+
+
+def folder_size(spark: SparkSession, path: str) -> int:
+    """Bytes stored below a folder."""
+    files, target = file_system(spark, path)
+    return files.getContentSummary(target).getLength()

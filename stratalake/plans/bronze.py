@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.digest import fingerprint, row_digest
-from stratalake.layout import Lake, batch_folder, first_day
+from stratalake.layout import Lake, batch_folder, first_day, folder_size
 from stratalake.operators.columns import project, stamp
 from stratalake.plans.metadata import MetadataStore, now
 from stratalake.schemas import get_bronze_schema, record_schema
@@ -66,7 +66,6 @@ def land(
         "fetch_date": run_date,
         "file_path": path,
         "sha256_hash": content.sha256_hash,
-        "byte_size": None,
         "batch_id": batch_id,
         "fetched_at": fetched_at,
     }
@@ -75,7 +74,8 @@ def land(
     except Exception:
         store.write("file_manifest", [{**entry, "status": "FAILED"}])
         raise
-    store.write("file_manifest", [{**entry, "status": "SUCCESS"}])
+    size = folder_size(store.spark, path)
+    store.write("file_manifest", [{**entry, "status": "SUCCESS", "byte_size": size}])
     return path
 
 

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from stratalake.constants import PSA_LIVE_SOURCE
 from stratalake.functions.numeric import unit_of
 
-_CUBE = (
-    "value array<double>, "
-    "dimension map<string,struct<category:struct<label:map<string,string>>>>"
-)
+_DIMENSION = "map<string,struct<category:struct<label:map<string,string>>>>"
 # The cube sits below "dataset" or is the document itself.
-_DOCUMENT = f"dataset struct<{_CUBE.replace('value ', 'value:').replace('dimension ', 'dimension:')}>, {_CUBE}"
+_DOCUMENT = (
+    f"dataset struct<value:array<double>,dimension:{_DIMENSION}>, "
+    f"value array<double>, dimension {_DIMENSION}"
+)
 
 
 def decode_json_stat(
