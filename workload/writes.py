@@ -234,7 +234,18 @@ def _stage_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return store.table("stage_metrics").select("stage_name", "input_rows", "output_rows")
 
 
-@query("schema_drift", None)
+_TYPES = (
+    '{{"c_acctbal": "DoubleType()", "c_custkey": "LongType()", "c_mktsegment": "StringType()", '
+    '"c_name": "StringType()", "c_nationkey": "{nation}()"}}'
+)
+
+
+@query(
+    "schema_drift",
+    "SELECT 'before' AS snapshot, count(*) AS row_count, "
+    f"sha256('{_TYPES.format(nation='IntegerType')}') AS schema_hash FROM customer UNION ALL "
+    f"SELECT 'after', count(*), sha256('{_TYPES.format(nation='LongType')}') FROM customer",
+)
 def _schema_drift(spark: SparkSession, sf: str) -> DataFrame:
     """Schema hashes of two snapshots of customers, the second one with a changed column type."""
     folder = shared_folder(spark, "schema-drift")
