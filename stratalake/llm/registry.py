@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import exact_dedup, sharding
+from stratalake.llm import decontamination, exact_dedup, packing, sharding
 from stratalake.llm.common import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontamination.contained_items(docs, items)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -30,10 +35,22 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_decontamination": op1_decontamination,
         "op4_exact_dedup": op4_exact_dedup,
         "op8_sharding": op8_sharding,
+        "op10_packing": op10_packing,
     }
 
 
