@@ -27,6 +27,8 @@ _STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # Each partition's store would reserve 4 MB of disk for its logs, however small it is.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
@@ -117,8 +119,11 @@ def exact_dedup(
         "dedup-marked",
     )
     # Full bytes of the rows that hit, against the content behind the state's locator.
-    hits = with_locator(docs, normalised(docs[text_col]).alias("content")).join(
-        marked.where("hit").select("file", "row", "digest", "keep"), ["file", "row"]
+    hits = staged(
+        with_locator(docs, normalised(docs[text_col]).alias("content")).join(
+            marked.where("hit").select("file", "row", "digest", "keep"), ["file", "row"]
+        ),
+        "dedup-hits",
     )
     originals = hits.where(
         (F.col("file") == F.col("keep.file")) & (F.col("row") == F.col("keep.row"))
