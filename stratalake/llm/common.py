@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +56,34 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the application's Python workers, once.
+
+    The driver serves the file to executors, which need not have the package installed.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    target = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{package.name}.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent).as_posix())
+    context.addPyFile(target)
+    _SHIPPED.add(context.applicationId)
+
+
+def on_workers(run: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """``run(spark, ...)`` with this package known to the workers."""
+
+    @wraps(run)
+    def shipped(spark: SparkSession, *args) -> DataFrame:
+        ship_package(spark)
+        return run(spark, *args)
+
+    return shipped

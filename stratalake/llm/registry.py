@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontamination, exact_dedup, packing, sharding
-from stratalake.llm.common import table
+from stratalake.llm import decontamination, exact_dedup, jaccard_join, packing, sharding
+from stratalake.llm.common import on_workers, table
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +21,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.stratified_shards(table(spark, sf_dir, "documents"), shards=16)
     return shards.select(
@@ -45,13 +50,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_QUERIES = (
+    op1_decontamination,
+    op4_exact_dedup,
+    op5_jaccard_join,
+    op8_sharding,
+    op10_packing,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "op1_decontamination": op1_decontamination,
-        "op4_exact_dedup": op4_exact_dedup,
-        "op8_sharding": op8_sharding,
-        "op10_packing": op10_packing,
-    }
+    return {run.__name__: on_workers(run) for run in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
