@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import decontamination, exact_dedup, jaccard_join, packing, sharding
-from stratalake.llm.common import on_workers, table
+from stratalake.llm import decontamination, exact_dedup, jaccard_join, packing, sharding, toxicity
+from stratalake.llm.common import fold_of, on_workers, table
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,13 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained_items(docs, items)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    scored = toxicity.score_documents(docs, toxicity.fit(docs, labels))
+    held_out = fold_of(F.col("doc_id"), toxicity.FOLDS) == 0
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "spans")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     decided = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
     return decided.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -52,6 +59,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = (
     op1_decontamination,
+    op3_toxicity,
     op4_exact_dedup,
     op5_jaccard_join,
     op8_sharding,
