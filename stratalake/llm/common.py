@@ -13,6 +13,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.session import staged
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Byte table that lower-cases A-Z and leaves every other byte alone.
 ASCII_LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
@@ -58,6 +60,33 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
                 spark.conf.set(key, value)
 
 
+#: Names of a row's place: its file and its position in it. A table may have columns called so.
+FILE, ROW = "__file", "__row"
+
+
+def row_keys(docs: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
+    """``docs``, rows of Parquet files, with columns that tell its rows apart, and their names."""
+    meta = docs.metadataColumn("_metadata")
+    keyed = docs.select(
+        *[docs[c] for c in docs.columns if c not in (FILE, ROW)],
+        meta.getField("file_path").alias(FILE),
+        meta.getField("row_index").alias(ROW),
+    )
+    return keyed, (FILE, ROW)
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, purpose: str) -> DataFrame:
+    """The rows of ``docs`` whose keys are not in ``gone``, with all their columns."""
+    meta = docs.metadataColumn("_metadata")
+    listed = staged(gone.select(FILE, ROW).distinct(), purpose)
+    keyed = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        meta.getField("file_path").alias(FILE),
+        meta.getField("row_index").alias(ROW),
+    )
+    return keyed.join(listed, [FILE, ROW], "left_anti").select("row.*")
+
+
 _SHIPPED: set[str] = set()
 
 

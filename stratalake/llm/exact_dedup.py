@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import ascii_lower, settings
+from stratalake.llm.common import FILE, ROW, ascii_lower, settings, without_rows
 from stratalake.session import shared_folder, staged
 
 _STATE = {
@@ -172,15 +172,9 @@ def _decided(rows: DataFrame, keep_id: Column, group_size: Column, kept: Column)
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     dropped = exact_dedup(docs, id_col, text_col).where(~F.col("kept"))
-    located = with_locator(docs, *[docs[c] for c in docs.columns])
-    names = {"file": "__file", "row": "__row"}
-    located = docs.select(
-        *[docs[c] for c in docs.columns],
-        docs.metadataColumn("_metadata").getField("file_path").alias(names["file"]),
-        docs.metadataColumn("_metadata").getField("row_index").alias(names["row"]),
+    return without_rows(
+        docs, dropped.select(F.col("file").alias(FILE), F.col("row").alias(ROW)), "copies"
     )
-    dropped = dropped.select(*[F.col(a).alias(b) for a, b in names.items()])
-    return located.join(dropped, list(names.values()), "left_anti").select(*docs.columns)
 
 
 SQL = """

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from stratalake.llm import decontamination, exact_dedup, jaccard_join, packing, sharding, toxicity
 from stratalake.llm.common import fold_of, on_workers, table
 
@@ -68,7 +69,8 @@ _QUERIES = (
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {run.__name__: on_workers(run) for run in _QUERIES}
+    found = {run.__name__: on_workers(run) for run in _QUERIES}
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
