@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stratalake.llm import decontamination, exact_dedup, jaccard_join, packing, sharding, toxicity
+from stratalake.llm import decontamination, exact_dedup, jaccard_join, packing, sharding, toxicity, warc
 from stratalake.llm.common import fold_of, on_workers, table
 
 
@@ -34,6 +34,13 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.stratified_shards(table(spark, sf_dir, "documents"), shards=16)
     return shards.select(
@@ -63,6 +70,7 @@ _QUERIES = (
     op3_toxicity,
     op4_exact_dedup,
     op5_jaccard_join,
+    op6_warc,
     op8_sharding,
     op10_packing,
 )
@@ -74,4 +82,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.SQL}
+    return {"op4_exact_dedup": exact_dedup.SQL, "op6_warc": warc.SQL}
