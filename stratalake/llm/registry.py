@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stratalake.llm import decontamination, exact_dedup, jaccard_join, packing, sharding, toxicity, warc
+from stratalake.llm import decontamination, exact_dedup, jaccard_join, packing, sharding, site_style, toxicity, warc
 from stratalake.llm.common import fold_of, on_workers, table
 
 
@@ -17,6 +17,11 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained_items(docs, items)
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = site_style.main_text(table(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
     scored = toxicity.score_documents(docs, toxicity.fit(docs, labels))
@@ -67,6 +72,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES = (
     op1_decontamination,
+    op2_html_extraction,
     op3_toxicity,
     op4_exact_dedup,
     op5_jaccard_join,
