@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stratalake.llm import decontamination, exact_dedup, jaccard_join, packing, sharding, site_style, toxicity, warc
+from stratalake.llm import decontamination, exact_dedup, interpolated_lm, jaccard_join, packing, sharding, site_style, toxicity, warc
 from stratalake.llm.common import fold_of, on_workers, table
 
 
@@ -60,6 +60,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolated_lm.score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -78,6 +82,7 @@ _QUERIES = (
     op5_jaccard_join,
     op6_warc,
     op8_sharding,
+    op9_lm_scoring,
     op10_packing,
 )
 
