@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stratalake.llm import decontamination, exact_dedup, interpolated_lm, jaccard_join, packing, sharding, site_style, toxicity, warc
+from stratalake.llm import co_training, decontamination, exact_dedup, interpolated_lm, jaccard_join, packing, sharding, site_style, toxicity, warc
 from stratalake.llm.common import fold_of, on_workers, table
 
 
@@ -46,6 +46,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    return co_training.score_quality(docs, labels)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.stratified_shards(table(spark, sf_dir, "documents"), shards=16)
     return shards.select(
@@ -81,6 +86,7 @@ _QUERIES = (
     op4_exact_dedup,
     op5_jaccard_join,
     op6_warc,
+    op7_quality,
     op8_sharding,
     op9_lm_scoring,
     op10_packing,
