@@ -91,8 +91,17 @@ class Outcome:
 
     @property
     def status(self) -> str:
+        """A month without a row is no success: what was published before stays in force."""
+        if not self.total:
+            return "FAILED"
         return "SUCCESS" if self.gold_path else "PARTIAL"
 
+    @property
+    def error(self) -> str | None:
+        if not self.total:
+            return f"no rows for {self.batch.day:%Y-%m}"
+        return None if self.gold_path else str(HardQualityFailure(self.batch.run_id, self.failure_rate))
+
 
 @dataclass(frozen=True)
 class Published:
@@ -107,7 +116,7 @@ class Published:
 
 
 _ON = list(SNAPSHOT_COLUMNS)
-_NO_ROWS = {"total": 0, "clean": 0, "rejected": 0, "failure_rate": 0.0}
+_COUNTS = ("total", "clean", "rejected", "failure_rate")
 
 
 def publish(
@@ -118,7 +127,7 @@ def publish(
     ``silver`` carries its batch month as text columns ``year`` and ``month``. One aggregation
     yields all figures, then there are at most two writes, however many months there are. Rejected
     rows and check results are kept in every case; gold is written for the months that pass the
-    gate only.
+    gate only. A month without rows passes no gate and leaves its gold as it is.
     """
     spark = silver.sparkSession
     mapped = map_to_gold(silver, contract.dataset, _ON)
@@ -130,15 +139,21 @@ def publish(
         if c.check == "schema"
     }
     rows = conform(mapped, contract, _ON)
-    stats = _figures(quality_stats(rows, checks, _ON, schema_flags), batches)
-    passed = [b for b in batches if stats[b]["failure_rate"] <= contract.hard_failure_threshold]
+    # An empty month has no group: what the checks say of no rows holds for it.
+    nothing = quality_stats(rows.filter(F.lit(False)), checks, (), schema_flags).first().asDict()
+    stats = _figures(quality_stats(rows, checks, _ON, schema_flags), batches, nothing)
+    passed = [
+        b
+        for b in batches
+        if stats[b]["total"] and stats[b]["failure_rate"] <= contract.hard_failure_threshold
+    ]
 
     flags = flag_columns(rows, checks)
     table_flags = flag_columns(rows, checks, table_level=True)
     # One row per batch month of this job, hence small enough to broadcast.
     verdicts = spark.createDataFrame(
         [
-            (*_text(b), b.run_id, b in passed, *[stats[b].get(f, True) for f in table_flags])
+            (*_text(b), b.run_id, b in passed, *[stats[b][f] for f in table_flags])
             for b in batches
         ],
         ", ".join(
@@ -162,7 +177,7 @@ def publish(
     identity = schema_hash(clean.drop(*_ON))
     outcomes = []
     for batch in batches:
-        figures = {k: stats[batch][k] for k in _NO_ROWS}
+        figures = {k: stats[batch][k] for k in _COUNTS}
         gold = lake.snapshot(lake.gold(contract.dataset), batch.day) if batch in passed else None
         kept = contract.quarantine_on_failure and figures["rejected"]
         quarantine = f"{lake.quarantine(contract.dataset)}/run_id={batch.run_id}" if kept else None
@@ -171,8 +186,8 @@ def publish(
         {
             "run_id": batch.run_id,
             "check_name": flag.removesuffix("_passed"),
-            "passed": stats[batch].get(flag, True),
-            "failed_count": stats[batch].get(f"{flag}_failed", 0),
+            "passed": stats[batch][flag],
+            "failed_count": stats[batch][f"{flag}_failed"],
             "threshold": float(contract.hard_failure_threshold),
         }
         for batch in batches
@@ -185,13 +200,15 @@ def _text(batch: Batch) -> tuple[str, str]:
     return f"{batch.day.year}", f"{batch.day.month:02d}"
 
 
-def _figures(stats: DataFrame, batches: Sequence[Batch]) -> dict[Batch, Mapping[str, Any]]:
-    """Statistics per batch: one collected row per batch month."""
+def _figures(
+    stats: DataFrame, batches: Sequence[Batch], nothing: Mapping[str, Any]
+) -> dict[Batch, Mapping[str, Any]]:
+    """Statistics per batch, ``nothing`` for one without rows: one collected row per batch month."""
     rows = {(r["year"], r["month"]): r.asDict() for r in stats.collect()}
     unknown = set(rows) - {_text(b) for b in batches}
     if unknown:
         raise ValueError(f"rows of months that are not part of this job: {sorted(unknown)}")
-    return {b: rows.get(_text(b), _NO_ROWS) for b in batches}
+    return {b: rows.get(_text(b), nothing) for b in batches}
 
 
 def batch_columns(df: DataFrame, day: date) -> DataFrame:

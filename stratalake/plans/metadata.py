@@ -7,6 +7,7 @@ back, so concurrent writers cannot lose each other's rows and no table is overwr
 
 from __future__ import annotations
 
+import secrets
 import time
 import uuid
 from collections.abc import Sequence
@@ -139,6 +140,9 @@ def pending_batches(planned: DataFrame, processed: DataFrame, backfill: bool = F
 # ---------------------------------------------------------------- store
 
 
+_WRITER_BITS = 12
+
+
 class MetadataStore:
     """The six tables of a lake."""
 
@@ -158,9 +162,12 @@ class MetadataStore:
     def write(self, table: str, rows: Sequence[dict[str, Any]]) -> None:
         """Append a handful of metadata rows."""
         schema = metadata_schema(table).add("_seq", "long")
-        clock = time.time_ns() // 1000
+        # Microseconds, then bits drawn by this writer: writers at the same moment stay apart.
+        clock, own = time.time_ns() // 1000, secrets.randbits(_WRITER_BITS)
         filled = [
-            {"id": clock + i, **row, "_seq": clock + i} for i, row in enumerate(rows)
+            {"id": at, **row, "_seq": at}
+            for i, row in enumerate(rows)
+            for at in [(clock + i) << _WRITER_BITS | own]
         ]
         tuples = [tuple(row.get(name) for name in schema.fieldNames()) for row in filled]
         append(self.spark.createDataFrame(tuples, schema).coalesce(1), self.lake.metadata(table))

@@ -17,7 +17,6 @@ from stratalake.constants import BSP_FX, PSA
 from stratalake.contracts import load_contract
 from stratalake.layout import batch_folder, first_day, folder_exists
 from stratalake.operators.columns import project
-from stratalake.operators.quality import HardQualityFailure
 from stratalake.plans.bronze import land, land_batches, make_batch_id, read_bronze
 from stratalake.plans.gold import Batch, Published, publish
 from stratalake.plans.metadata import MetadataStore, now
@@ -33,7 +32,7 @@ GOLD_OF = {PSA: "gold_macro_indicators", BSP_FX: "gold_exchange_rates"}
 class RunResult:
     day: date
     run_id: str | None
-    status: str  # SUCCESS, PARTIAL, or SKIPPED by the guard
+    status: str  # SUCCESS, PARTIAL, FAILED without rows, or SKIPPED by the guard
 
 
 def months_between(start: date, end: date) -> list[date]:
@@ -78,19 +77,23 @@ def run_backfill(
     """Reprocess all months from ``start`` to ``end``, done or not.
 
     ``batch_date`` names a column that assigns records to batch months. Without it every month
-    gets the full record set, as a publisher's table always holds the whole history.
+    gets the full record set, as a publisher's table always holds the whole history. Records whose
+    date cannot be read belong to no month: they are kept in quarantine, in a folder of the batch.
+    A month without records fails and keeps what was published for it.
     """
+    batch_id = make_batch_id()
     days = months_between(start, end)
     batches = [Batch(d, run) for d, run in zip(days, store.create_runs(source, days))]
     months = F.array(*[F.lit(d) for d in days])
     if batch_date is None:
         dated = records.withColumn("_batch", F.explode(months))
     else:
-        month = F.trunc(F.col(batch_date).cast("date"), "month")
-        dated = records.withColumn("_batch", month).filter(F.col("_batch").between(days[0], days[-1]))
+        month = F.trunc(F.col(batch_date).try_cast("date"), "month")
+        tagged = records.withColumn("_batch", month)
+        dated = tagged.filter(F.col("_batch").between(days[0], days[-1]))
+        _quarantine_undated(store, source, tagged.filter(F.col("_batch").isNull()), batch_id)
 
     def bronze() -> DataFrame:
-        batch_id = make_batch_id()
         wanted = record_schema(source)
         typed = project(dated, wanted.add("_batch", "date"))
         land_batches(store.lake, source, typed, F.col("_batch"), now(), F.lit(batch_id))
@@ -115,8 +118,9 @@ def _chain(
         landed = _row_counts(bronze)
         clock.done("ingest", landed, landed)
         options = {"as_of": as_of} if source not in GOLD_OF else {}
-        silver_path = write_silver(lake, transform(bronze, source, by, **options), source, days)
-        silver = _read_silver(store, source, silver_path, days)
+        present = [d for d in days if _text(d) in landed]
+        silver_path = write_silver(lake, transform(bronze, source, by, **options), source, present)
+        silver = _read_silver(store, source, silver_path, present)
         counts = _row_counts(silver)
         clock.done("transform", landed, counts)
         published = None
@@ -134,8 +138,18 @@ def _chain(
     return _commit(store, source, batches, counts, published)
 
 
+def _quarantine_undated(store: MetadataStore, source: str, rows: DataFrame, batch_id: str) -> None:
+    if not rows.isEmpty():
+        folder = f"{store.lake.quarantine(source)}/batch_id={batch_id}"
+        rows.drop("_batch").write.mode("overwrite").parquet(folder)
+
+
+def _text(day: date) -> tuple[str, str]:
+    return f"{day.year}", f"{day.month:02d}"
+
+
 def _month(batch: Batch) -> tuple[str, str]:
-    return f"{batch.day.year}", f"{batch.day.month:02d}"
+    return _text(batch.day)
 
 
 def _row_counts(df: DataFrame) -> dict[tuple[str, str], int]:
@@ -169,6 +183,8 @@ def _commit(
     for i, batch in enumerate(batches):
         rows = counts.get(_month(batch), 0)
         status, figures = "SUCCESS", {"records_ingested": rows, "records_rejected": 0}
+        if published is None and not rows:
+            status, figures["error_message"] = "FAILED", f"no rows for {batch.day:%Y-%m}"
         if published is not None:
             outcome = published.outcomes[i]
             status = outcome.status
@@ -186,17 +202,17 @@ def _commit(
                     }
                 )
             else:
-                failure = HardQualityFailure(batch.run_id, outcome.failure_rate)
-                figures["error_message"] = str(failure)
+                figures["error_message"] = outcome.error
         finished.append({"run_id": batch.run_id, "status": status, **figures})
         if status == "SUCCESS":
             done.append((batch.day, batch.run_id))
         results.append(RunResult(batch.day, batch.run_id, status))
-    store.update_runs(finished)
+    # The status comes last: a run that is stopped before it is not a success without a version.
     if versions:
         store.write("dataset_versions", versions)
     if done:
         store.mark_processed(source, done)
+    store.update_runs(finished)
     return results
 
 

@@ -42,21 +42,28 @@ def _to_schema(df: DataFrame, source: str, extra: Sequence[str]) -> DataFrame:
     return df.select(*extra, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted.fields])
 
 
+def _unread(day: str, text: str) -> Column:
+    """Key part of a row without a readable date: its raw text, so different rows stay apart."""
+    return F.when(F.col(day).isNull(), F.coalesce(text, F.lit("")))
+
+
 def psa_silver(bronze: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Consumer prices. An unreadable period stays as NULL for the quality checks to reject."""
     dated = derive(bronze, {"period_date": parse_period(F.col("period"))})
-    unique = dedup(dated, [*by, *PSA_KEY], [*_NEWEST, "value"])
+    keyed = derive(dated, {"_unread": _unread("period_date", "period")})
+    unique = dedup(keyed, [*by, *PSA_KEY, "_unread"], [*_NEWEST, "value"])
     parts = {"period_year": F.year("period_date"), "period_month": F.month("period_date")}
     return _to_schema(derive(unique, parts), PSA, by)
 
 
 def fx_silver(bronze: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Exchange rates. Cast first, then drop what has no rate."""
+    """Exchange rates. Cast first, then drop what has no rate. An unreadable date stays as NULL."""
     typed = derive(
         bronze,
         {"period_date": iso_date(F.col("rate_date")), "rate": F.col("rate").try_cast("double")},
     )
-    unique = dedup(drop_null(typed, "rate"), [*by, *FX_KEY], [*_NEWEST, "rate"])
+    keyed = derive(typed, {"_unread": _unread("period_date", "rate_date")})
+    unique = dedup(drop_null(keyed, "rate"), [*by, *FX_KEY, "_unread"], [*_NEWEST, "rate"])
     return _to_schema(unique, BSP_FX, by)
 
 

@@ -75,7 +75,9 @@ def test_psa_silver_keeps_the_newest_copy(spark):
 
 def test_psa_silver_keeps_unreadable_periods_for_the_checks(spark):
     rows = psa_silver(_psa(spark, ("C", "2024M13", 1.0, "b"), ("C", "bad", 2.0, "b2"), ("C", "2024M02", 3.0, "b"))).collect()
-    assert sorted((str(r.period_date), r.value) for r in rows) == [("2024-02-01", 3.0), ("None", 2.0)]
+    assert sorted((str(r.period_date), r.value) for r in rows) == [
+        ("2024-02-01", 3.0), ("None", 1.0), ("None", 2.0)
+    ]
 
 
 def test_fx_silver_casts_before_dropping(spark):
@@ -287,8 +289,10 @@ def test_backfill_is_repeatable_and_shrinks(spark, store):
 
 def test_silver_without_rows(spark, store):
     empty_rates = _fx(spark).withColumn("rate", F.lit(None).cast("double"))
-    assert run_month(store, "bsp_fx", empty_rates, date(2024, 1, 1)).status == "SUCCESS"
-    assert store.runs().first().records_ingested == 0
+    assert run_month(store, "bsp_fx", empty_rates, date(2024, 1, 1)).status == "FAILED"
+    run = store.runs().first()
+    assert run.records_ingested == 0 and "no rows" in run.error_message
+    assert store.table("dataset_versions").count() == 0 and not store.batch_processed("bsp_fx", date(2024, 1, 1))
     with pytest.raises(ValueError):
         run_backfill(store, "bsp_fx", _fx(spark), date(2030, 1, 1), date(2030, 2, 1), batch_date="rate_date")
 
@@ -303,3 +307,25 @@ def test_failed_run_is_recorded(spark, store):
 def test_nothing_to_serve_yet(spark, store):
     with pytest.raises(serving.NoSnapshot):
         serving.latest_snapshot(spark, store.lake, store.table("dataset_versions"), "gold_exchange_rates")
+
+
+def test_empty_month_of_a_backfill_keeps_its_gold(spark, store):
+    months = [f"2024-{m:02d}-{d:02d}" for m in (1, 2, 3) for d in range(1, 26)]
+    records = spark.createDataFrame(
+        [(m, "USD/PHP", 56.0, "s") for m in months], "rate_date string, currency_pair string, rate double, source string"
+    )
+    span = (date(2024, 1, 1), date(2024, 3, 1))
+    run_backfill(store, "bsp_fx", records, *span, batch_date="rate_date")
+    bad = spark.createDataFrame([("n/a", "USD/PHP", 1.0, "s")], records.schema)
+    again = records.filter("rate_date NOT LIKE '2024-03%'").union(bad)
+    results = run_backfill(store, "bsp_fx", again, *span, batch_date="rate_date")
+    assert [r.status for r in results] == ["SUCCESS", "SUCCESS", "FAILED"]
+    gold = spark.read.parquet(store.lake.gold("gold_exchange_rates"))
+    assert {(r["month"], r["count"]) for r in gold.groupBy("month").count().collect()} == {(1, 25), (2, 25), (3, 25)}
+    assert store.table("dataset_versions").count() == 5
+    checks = store.table("quality_results").filter(f"run_id = '{results[2].run_id}'").collect()
+    assert {r.check_name: r.passed for r in checks}["row_count_min"] is False
+    served = serving.latest_snapshot(spark, store.lake, store.table("dataset_versions"), "gold_exchange_rates")
+    assert served.count() == 25
+    undated = spark.read.option("recursiveFileLookup", True).parquet(store.lake.quarantine("bsp_fx"))
+    assert [r.rate_date for r in undated.collect()] == ["n/a"]

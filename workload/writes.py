@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.contracts import load_contract
-from stratalake.layout import Lake
+from stratalake.layout import Lake, readable
 from stratalake.plans.bronze import land, read_bronze
 from stratalake.plans.gold import Batch, batch_columns, publish
 from stratalake.plans.metadata import MetadataStore
@@ -199,7 +199,7 @@ def _backfill_overwrite(spark: SparkSession, sf: str) -> DataFrame:
       FROM lineitem GROUP BY 1),
     judged AS (SELECT run_date, coalesce(n, 0) AS n FROM months LEFT JOIN pairs USING (run_date))
     SELECT strftime(run_date, '%Y-%m-%d') AS run_date, 'bsp_fx' AS source,
-           CASE WHEN n >= 20 OR n = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS status,
+           CASE WHEN n >= 20 THEN 'SUCCESS' WHEN n = 0 THEN 'FAILED' ELSE 'PARTIAL' END AS status,
            CASE WHEN n >= 20 THEN n ELSE 0 END AS records_ingested,
            CASE WHEN n >= 20 THEN 0 ELSE n END AS records_rejected
     FROM judged""",
@@ -216,6 +216,68 @@ def _backfill_chain(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "backfill_empty_month",
+    """
+    WITH pairs AS (
+      SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, l_suppkey,
+             max(l_extendedprice) AS rate
+      FROM lineitem GROUP BY ALL),
+    published AS (
+      SELECT month, count(*) AS rows, sum(rate) AS rates FROM pairs GROUP BY 1 HAVING count(*) >= 20)
+    SELECT strftime(month, '%Y-%m-%d') AS month, rows, round(rates, 2) AS rates,
+           CASE WHEN year(month) = 1996 THEN 1 ELSE 2 END AS versions
+    FROM published""",
+)
+def _backfill_empty_month(spark: SparkSession, sf: str) -> DataFrame:
+    """Every shipping month published, then all redone from records that lack 1996.
+
+    The gold of 1996 stays as it was, without a second version.
+    """
+    store = _store(spark, "backfill-empty-month")
+    records = ship_monthly(spark, sf).drop("fetched_at", "batch_id")
+    bounds = records.agg(F.min("rate_date").alias("first"), F.max("rate_date").alias("last")).first()
+    span = date.fromisoformat(bounds.first), date.fromisoformat(bounds.last)
+    run_backfill(store, "bsp_fx", records, *span, batch_date="rate_date")
+    lacking = records.filter(~F.col("rate_date").startswith("1996"))
+    run_backfill(store, "bsp_fx", lacking, *span, batch_date="rate_date")
+    folder = store.lake.gold("gold_exchange_rates")
+    if readable(spark, folder):
+        stored = spark.read.parquet(folder)
+    else:  # no month of a small table has the rows that the contract asks for
+        stored = spark.createDataFrame([], "rate double, year int, month int")
+    month = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.lit(1))
+    gold = stored.groupBy(month.alias("month")).agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum("rate"), 2).alias("rates")
+    )
+    versions = store.table("dataset_versions").groupBy("partition_key").agg(
+        F.count(F.lit(1)).cast("int").alias("versions")
+    )
+    key = F.date_format("month", "'year='yyyy'/month='MM")
+    return gold.join(versions, key == F.col("partition_key")).select("month", "rows", "rates", "versions")
+
+
+@query(
+    "snapshot_text_partition",
+    """
+    SELECT p_type || '/' || p_size AS pair, p_partkey, p_size % 2 = 0 AS rewritten
+    FROM part WHERE p_size % 2 = 0 OR p_size > 25""",
+)
+def _snapshot_text_partition(spark: SparkSession, sf: str) -> DataFrame:
+    """A snapshot partitioned by texts with slashes and spaces, redone without some of them."""
+    folder = shared_folder(spark, "snapshot-text-partition")
+    pair = F.concat_ws("/", "p_type", F.col("p_size").cast("string"))
+    rows = table(spark, sf, "part").select(
+        pair.alias("pair"), "p_partkey", "p_size", F.lit("2024").alias("year"), F.lit("01").alias("month")
+    )
+    flagged = rows.withColumn("rewritten", F.lit(False))
+    write_snapshots(flagged, folder, [_JANUARY], ["pair"])
+    even = rows.filter("p_size % 2 = 0").withColumn("rewritten", F.lit(True))
+    odd = rows.filter("p_size % 2 = 1 AND p_size > 25").withColumn("rewritten", F.lit(False))
+    write_snapshots(even.unionByName(odd), folder, [_JANUARY], ["pair"])
+    return spark.read.parquet(folder).select("pair", "p_partkey", "rewritten")
+
+
 @query(
     "stage_metrics",
     f"""
