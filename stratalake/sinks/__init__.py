@@ -5,13 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from stratalake.layout import batch_folder, file_system, folder_exists
 
 SNAPSHOT_COLUMNS = ("year", "month")
-_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def arranged(df: DataFrame, partition_cols: Sequence[str], sort_cols: Sequence[str] = ()) -> DataFrame:
@@ -44,15 +42,18 @@ def write_snapshots(
 
     ``df`` carries its snapshot as text columns ``year`` and ``month`` and holds all rows of each.
     Dynamic overwrite alone would leave behind partitions that an earlier, larger version of a
-    snapshot had. Those are removed once the new ones are in place, so an interrupted job never
-    loses data and a re-run finishes the work.
+    snapshot had: folders that got no new file. Those are removed once the new ones are in place, so
+    an interrupted job never loses data and a re-run finishes the work. ``df`` is evaluated once.
     """
     spark = df.sparkSession
-    columns = [*SNAPSHOT_COLUMNS, *partition_cols]
-    stale = _stale_folders(spark, path, df, days, partition_cols)
-    write_partitioned(df, path, columns, sort_cols)
-    for folder in stale:
-        _delete_folder(spark, f"{path}/{folder}")
+    months = [f"{path}/{batch_folder(day)}" for day in days]
+    before = {month: _files_below(spark, month) for month in months}
+    write_partitioned(df, path, [*SNAPSHOT_COLUMNS, *partition_cols], sort_cols)
+    for month in months:
+        now = _files_below(spark, month)
+        fresh = {folder for folder, files in now.items() if files - before[month].get(folder, set())}
+        for folder in now.keys() - fresh:
+            _delete_folder(spark, folder)
 
 
 def read_snapshots(spark: SparkSession, path: str, days: Sequence[date]) -> DataFrame | None:
@@ -65,29 +66,20 @@ def read_snapshots(spark: SparkSession, path: str, days: Sequence[date]) -> Data
     return spark.read.option("basePath", path).parquet(*present) if present else None
 
 
-def _folder_of(partition_cols: Sequence[str]) -> Column:
-    """Partition folder of a row; ``year`` and ``month`` may be text or the integers read back."""
-    month = F.lpad(F.col("month").cast("string"), 2, "0")
-    parts = [F.concat(F.lit("year="), "year"), F.concat(F.lit("month="), month)]
-    for column in partition_cols:
-        value = F.coalesce(F.col(column).cast("string"), F.lit(_NULL_FOLDER))
-        parts.append(F.concat(F.lit(f"{column}="), value))
-    return F.concat_ws("/", *parts).alias("folder")
+def _files_below(spark: SparkSession, month: str) -> dict[str, set[str]]:
+    """Data files of one batch month by the partition folder that holds them.
 
-
-def _stale_folders(
-    spark: SparkSession, path: str, df: DataFrame, days: Sequence[date], partition_cols: Sequence[str]
-) -> list[str]:
-    """Existing folders of the given months that the new rows do not fill.
-
-    One row per stale folder reaches the driver, which has to delete exactly these.
+    Names come from the file system as the writer made them, so no value has to be escaped.
     """
-    old = read_snapshots(spark, path, days)
-    if old is None:
-        return []
-    before = old.select(_folder_of(partition_cols)).distinct()
-    after = df.select(_folder_of(partition_cols)).distinct()
-    return [row.folder for row in before.join(after, "folder", "left_anti").collect()]
+    if not folder_exists(spark, month):
+        return {}
+    files, target = file_system(spark, month)
+    listed, found = files.listFiles(target, True), {}
+    while listed.hasNext():
+        file = listed.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            found.setdefault(file.getParent().toString(), set()).add(file.getName())
+    return found
 
 
 def _delete_folder(spark: SparkSession, folder: str) -> None:
