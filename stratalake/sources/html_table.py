@@ -1,13 +1,15 @@
 """HTML tables to rows of cell texts, and the two published tables built on them.
 
 A page is turned into delimited text by a few regular-expression passes over the whole document,
-inside the JVM, and then split. Unclosed rows and cells end where the next one starts. A table
-nested in the first table ends it.
+inside the JVM, and then split. Unclosed rows and cells end where the next one starts. The rows of a
+table nested in the first one are rows like its others.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from html import entities
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,43 +32,74 @@ _IGNORED = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 _MARK = "\x1d"
 _SPACE = "[\\s\u00a0]*"
 
-# The named entities publishers use in table cells. "amp" has to come last.
-_NAMED_ENTITIES = {
-    "lt": "<",
-    "gt": ">",
-    "quot": '"',
-    "apos": "'",
-    "copy": "©",
-    "deg": "°",
-    "plusmn": "±",
-    "middot": "·",
-    "times": "×",
-    "ndash": "–",
-    "mdash": "—",
-    "hellip": "…",
-    "minus": "−",
-    "amp": "&",
-}
+_REFERENCE = r"&(?:#\d+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);"
+_REPLACEMENT = "\ufffd"
 
 
-def _decode_numeric(text: Column, pattern: str, code_of) -> Column:
-    """Replace every numeric character reference; the fold runs over distinct references only."""
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+def _named_references() -> Column:
+    """The named character references of the HTML standard, as a map from name to characters."""
+    names = {f"&{name}": text for name, text in entities.html5.items() if name.endswith(";")}
+    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
 
-    def replaced(acc: Column, reference: Column) -> Column:
-        code_point = F.lpad(code_of(F.regexp_extract(reference, pattern, 1)), 8, "0")
-        return F.replace(acc, reference, F.decode(F.unhex(code_point), "UTF-32"))
 
-    return F.when(text.rlike(pattern), F.aggregate(found, text, replaced)).otherwise(text)
+def _character(reference: Column) -> Column:
+    """What a character reference stands for; an unknown name stays as it is."""
+    digits = F.regexp_extract(reference, r"^&#0*(\d+);$", 1)
+    hexes = F.regexp_extract(reference, r"^&#[xX]0*([0-9a-fA-F]+);$", 1)
+    # More digits than the largest code point has cannot be one.
+    code = F.when((digits != "") & (F.length(digits) <= 7), digits.try_cast("int")).when(
+        (hexes != "") & (F.length(hexes) <= 6), F.conv(hexes, 16, 10).try_cast("int")
+    )
+    valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    character = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code)), 8, "0")), "UTF-32")
+    named = F.coalesce(F.try_element_at(_named_references(), reference), reference)
+    numeric = F.coalesce(character, F.lit(_REPLACEMENT))
+    return F.when(F.substring(reference, 2, 1) == "#", numeric).otherwise(named)
 
 
 def decode_entities(text: Column) -> Column:
-    """Named and numeric character references to characters."""
-    decoded = _decode_numeric(text, r"&#(\d{1,7});", lambda n: F.hex(n.cast("int")))
-    decoded = _decode_numeric(decoded, r"&#[xX]([0-9a-fA-F]{1,6});", lambda n: n)
-    for name, character in _NAMED_ENTITIES.items():
-        decoded = F.replace(decoded, F.lit(f"&{name};"), F.lit(character))
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    """Named and numeric character references to characters, in one pass.
+
+    The text is split at its references and put together again, so what a reference gives is never
+    read as a reference itself. A number that is no character becomes U+FFFD.
+    """
+    between = F.split(text, _REFERENCE)
+    found = F.concat(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)), F.array(F.lit("")))
+    pieces = F.zip_with(
+        between,
+        found,
+        lambda piece, reference: F.concat(
+            piece, F.when(reference == "", reference).otherwise(_character(reference))
+        ),
+    )
+    return F.when(text.rlike(_REFERENCE), F.array_join(pieces, "")).otherwise(text)
+
+
+def _first_container(html: Column, container: str) -> Column:
+    """The content of the first ``container``, with everything nested in it.
+
+    The page is cut before every start and end tag of the container; pieces are taken until as
+    many containers have ended as have begun.
+    """
+    after = F.regexp_extract(html, rf"(?is)<{container}\b[^>]*>(.*)\z", 1)
+    simple = F.regexp_extract(after, rf"(?is)\A(.*?)(?:</{container}\s*>|\z)", 1)
+    pieces = F.split(after, rf"(?i)(?=</?{container}\b)")
+    depth = F.aggregate(
+        pieces,
+        F.struct(F.lit(1).alias("depth"), F.array().cast("array<string>").alias("taken")),
+        lambda acc, piece: F.when(acc["depth"] == 0, acc).otherwise(
+            F.struct(
+                (
+                    acc["depth"]
+                    + F.when(piece.rlike(rf"(?i)\A</{container}"), -1)
+                    .when(piece.rlike(rf"(?i)\A<{container}"), 1)
+                    .otherwise(0)
+                ).alias("depth"),
+                F.concat(acc["taken"], F.array(piece)).alias("taken"),
+            )
+        ),
+    )
+    return F.when(simple.rlike(rf"(?i)<{container}\b"), F.array_join(depth["taken"], "")).otherwise(simple)
 
 
 def _marked(names: Sequence[str]) -> str:
@@ -88,8 +121,7 @@ def extract_rows(
     """
     structural = [*row_tags, *cell_tags]
     tag_pattern = rf"(?i){_SPACE}<(/?(?:{'|'.join(structural)}))\b[^>]*>{_SPACE}"
-    container_pattern = rf"(?is)<{container}\b[^>]*>(.*?)(?:</{container}\s*>|\z)"
-    body = F.regexp_extract(F.regexp_replace(html, _IGNORED, ""), container_pattern, 1)
+    body = _first_container(F.regexp_replace(html, _IGNORED, ""), container)
     blanks = F.regexp_replace("_body", r"(?i)&(?:nbsp|#160|#xa0);", "\u00a0")
 
     text = F.regexp_replace("_body", tag_pattern, f"{_MARK}$1{_MARK}")

@@ -10,12 +10,61 @@ from pyspark.sql import functions as F
 from stratalake.constants import PSA_LIVE_SOURCE
 from stratalake.functions.numeric import unit_of
 
-_DIMENSION = "map<string,struct<category:struct<label:map<string,string>>>>"
+# Dimensions stay raw text at first: next to them offices put "id", "size" and "role".
+_FIELDS = "value:array<double>,dimension:map<string,string>,id:array<string>"
 # The cube sits below "dataset" or is the document itself.
-_DOCUMENT = (
-    f"dataset struct<value:array<double>,dimension:{_DIMENSION}>, "
-    f"value array<double>, dimension {_DIMENSION}"
-)
+_DOCUMENT = f"dataset struct<{_FIELDS}>, " + _FIELDS.replace(":", " ", 1).replace(
+    ",dimension:", ", dimension "
+).replace(",id:", ", id ")
+_NOT_DIMENSIONS = ("id", "size", "role")
+_CATEGORY = "category struct<label:map<string,string>,index:string>"
+
+
+def _labels(category: Column) -> Column:
+    """Labels in the order of the members: that of ``index`` (list or positions), else their own."""
+    names, index = category["label"], category["index"]
+    listed = F.from_json(index, "array<string>")
+    placed = F.map_entries(F.from_json(index, "map<string,int>"))
+    sorted_codes = F.transform(
+        F.array_sort(F.transform(placed, lambda e: F.struct(e["value"].alias("at"), e["key"].alias("code")))),
+        lambda e: e["code"],
+    )
+    codes = F.when(F.substring(F.ltrim(index), 1, 1) == "[", listed).otherwise(sorted_codes)
+    named = F.transform(codes, lambda code: F.coalesce(F.try_element_at(names, code), code))
+    return F.coalesce(named, F.map_values(names))
+
+
+def _cubes(documents: DataFrame, doc: str, keep: Sequence[str]) -> DataFrame:
+    """``keep..., _values, _members, _labels``: members is the number of dimensions."""
+    parsed = documents.select(*keep, F.from_json(doc, _DOCUMENT).alias("_doc")).select(
+        *keep,
+        F.coalesce("_doc.dataset.value", "_doc.value").alias("_values"),
+        F.coalesce("_doc.dataset.dimension", "_doc.dimension").alias("_raw"),
+        F.coalesce("_doc.dataset.id", "_doc.id").alias("_id"),
+    )
+    members = F.map_filter("_raw", lambda name, _: ~name.isin(*_NOT_DIMENSIONS))
+    order = F.coalesce(
+        "_id", F.from_json(F.try_element_at("_raw", F.lit("id")), "array<string>"), F.map_keys(members)
+    )
+    last = F.try_element_at(members, F.try_element_at(order, F.lit(-1)))
+    return parsed.select(
+        *keep,
+        "_values",
+        F.size(members).alias("_members"),
+        _labels(F.from_json(last, _CATEGORY)["category"]).alias("_labels"),
+    )
+
+
+def rejected_cubes(documents: DataFrame, doc: str, key: str, min_dimensions: int = 2) -> DataFrame:
+    """``key, reason`` of the documents that give no cell at all."""
+    cubes = _cubes(documents, doc, [key])
+    reason = (
+        F.when(F.col("_values").isNull() | (F.col("_members") < 0), "no cube")
+        .when(F.col("_members") < min_dimensions, "too few dimensions")
+        .when(F.coalesce(F.size("_labels"), F.lit(0)) <= 0, "no labels")
+        .when(~F.exists(F.slice("_values", 1, F.size("_labels")), lambda v: v.isNotNull()), "no values")
+    )
+    return cubes.select(key, reason.alias("reason")).filter("reason IS NOT NULL")
 
 
 def decode_json_stat(
@@ -27,15 +76,10 @@ def decode_json_stat(
     leading values: the first member of every other dimension. Values beyond the labels are other
     members and are left out, as are cubes with fewer than ``min_dimensions`` dimensions.
     """
-    cubes = documents.select(*keep, F.from_json(doc, _DOCUMENT).alias("_doc")).select(
-        *keep,
-        F.coalesce("_doc.dataset.value", "_doc.value").alias("_values"),
-        F.coalesce("_doc.dataset.dimension", "_doc.dimension").alias("_dims"),
-    )
-    members = F.map_values("_dims")
-    last_labels = F.map_values(F.try_element_at(members, F.lit(-1))["category"]["label"])
+    cubes = _cubes(documents, doc, keep)
+    last_labels = F.col("_labels")
     # Zip before exploding: each output row then carries its own cell, not the whole label list.
-    cells = cubes.filter(F.size(members) >= min_dimensions).select(
+    cells = cubes.filter(F.col("_members") >= min_dimensions).select(
         *keep,
         F.posexplode(
             F.arrays_zip(

@@ -6,8 +6,8 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from stratalake.sources.fallback import primary_or_fallback
-from stratalake.sources.html_table import extract_rows, fx_records, policy_records
-from stratalake.sources.json_stat import cpi_records, decode_json_stat
+from stratalake.sources.html_table import decode_entities, extract_rows, fx_records, policy_records
+from stratalake.sources.json_stat import cpi_records, decode_json_stat, rejected_cubes
 from stratalake.sources.seed_csv import read_cpi_seed, read_fx_seed
 
 
@@ -120,3 +120,46 @@ def test_policy_date_type(spark):
     html = "<table><tr><td>June 20, 2024</td><td>6.5</td></tr></table>"
     row = policy_records(spark.createDataFrame([(html,)], "html string"), "html").first()
     assert date.fromisoformat(row.decision_date) == date(2024, 6, 20)
+
+
+def test_every_reference_is_decoded_once(spark):
+    cases = {
+        "&#00000065;": "A", "&eacute;&Auml;": "éÄ", "&#9999999;": "\ufffd", "&#xD800;": "\ufffd", "&#0;": "\ufffd",
+        "&#99999999999999;": "\ufffd", "&#38;lt;": "&lt;", "&amp;amp;": "&amp;", "&nosuch;&": "&nosuch;&",
+        "a&lt;b&gt;c": "a<b>c", "&#x1F600;": "\U0001f600",
+    }
+    frame = spark.createDataFrame([(k, v) for k, v in cases.items()], "text string, expected string")
+    for row in frame.withColumn("got", decode_entities(F.col("text"))).collect():
+        assert row.got == row.expected, row.text
+
+
+def test_rows_around_a_nested_table_stay(spark):
+    html = """<table><tr><td>2011</td><td>1</td></tr><tr><td><table><tr><td>2013</td><td>3</td></tr></table></td></tr>
+    <tr><td>2012</td><td>2</td></tr></table><table><tr><td>2014</td><td>4</td></tr></table>"""
+    rows = fx_records(spark.createDataFrame([(html,)], "html string"), "html").collect()
+    assert sorted((r.rate_date, r.rate) for r in rows) == [("2011-01-01", 1.0), ("2012-01-01", 2.0), ("2013-01-01", 3.0)]
+
+
+def test_csv_columns_are_bound_by_name_in_every_file(spark, tmp_path):
+    folder = tmp_path / "fx files"
+    folder.mkdir()
+    (folder / "a.csv").write_text("rate_date,currency_pair,rate,source\n2023-01-01,USD/PHP,56.1,s\n")
+    (folder / "b.csv").write_text("rate,source,currency_pair,rate_date\n56.2,t,EUR/PHP,2023-02-01\nbad,t,x,2023-04-01\n")
+    (folder / "c.csv").write_text("rate_date,rate\n2023-03-01,56.3\n")
+    rows = read_fx_seed(spark, str(folder)).orderBy("rate_date").collect()
+    assert [tuple(r) for r in rows] == [
+        ("2023-01-01", "USD/PHP", 56.1, "s"), ("2023-02-01", "EUR/PHP", 56.2, "t"), ("2023-03-01", "USD/PHP", 56.3, "bsp_fixture"),
+    ]
+    cpi = tmp_path / "cpi.csv"
+    cpi.write_text("period,value,series_code\n2023M01,abc,CPI_ALL_ITEMS\n2023M02,7,CPI_ALL_ITEMS\n")
+    assert [r.value for r in read_cpi_seed(spark, str(cpi)).orderBy("period").collect()] == [None, 7.0]
+
+
+def test_json_stat_with_id_size_and_role(spark):
+    dims = {"Geo": {"category": {"label": {"p": "PH"}}}, "Time": {"category": {"index": {"b": 1, "a": 0}, "label": {"b": "2024M02", "a": "2024M01"}}}}
+    inside = {"dataset": {"value": [1, 2], "dimension": {"id": ["Geo", "Time"], "size": [1, 2], "role": {"time": ["Time"]}, **dims}}}
+    bare = {"id": ["Time", "Geo"], "size": [2, 1], "value": [5], "dimension": {"Time": dims["Time"], "Geo": {"category": {"index": ["p"]}}}}
+    got = _decode(spark, json.dumps(inside), json.dumps(bare))
+    assert got == [(0, 0, "2024M01", 1.0), (0, 1, "2024M02", 2.0), (1, 0, "p", 5.0)]
+    frame = spark.createDataFrame([(1, json.dumps(inside)), (2, "nonsense"), (3, "{}"), (4, None)], "id int, doc string")
+    assert sorted(r.id for r in rejected_cubes(frame, "doc", "id").collect()) == [2, 3, 4]

@@ -14,8 +14,8 @@ from stratalake.operators.monthly import pivot_months, unpivot_months
 from stratalake.plans.bronze import content_digests, first_copies, resolve_paths
 from stratalake.session import shared_folder, staged
 from stratalake.sources.fallback import concat_series, primary_or_fallback
-from stratalake.sources.html_table import extract_rows, fx_records, policy_records
-from stratalake.sources.json_stat import cpi_records
+from stratalake.sources.html_table import decode_entities, extract_rows, fx_records, policy_records
+from stratalake.sources.json_stat import cpi_records, decode_json_stat, rejected_cubes
 from stratalake.sources.seed_csv import read_cpi_seed, read_fx_seed
 from workload import query
 from workload.tables import table
@@ -279,6 +279,123 @@ def _csv_seed_cpi(spark: SparkSession, sf: str) -> DataFrame:
     return read_cpi_seed(spark, folder)
 
 
+@query(
+    "csv_mixed_headers",
+    """
+    SELECT strftime(ts, '%Y-%m-%d') AS rate_date, event_type AS currency_pair, value AS rate,
+           CASE event_id % 3 WHEN 0 THEN 'bsp_fixture' WHEN 1 THEN 'a' ELSE 'b' END AS source
+    FROM events""",
+)
+def _csv_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """One folder of seed files with three headers: two column orders, and no source column."""
+    folder = shared_folder(spark, "csv-mixed-headers")
+    day = F.date_format("ts", "yyyy-MM-dd").alias("rate_date")
+    pair, rate = F.col("event_type").alias("currency_pair"), F.col("value").alias("rate")
+    layouts = {
+        0: [day, pair, rate],
+        1: [rate, F.lit("a").alias("source"), pair, day],
+        2: [day, pair, rate, F.lit("b").alias("source")],
+    }
+    for rest, columns in layouts.items():
+        part = table(spark, sf, "events").filter(F.col("event_id") % 3 == rest).select(*columns)
+        part.write.mode("append").option("header", True).csv(folder)
+    return read_fx_seed(spark, folder)
+
+
+@query(
+    "csv_bad_cells",
+    """
+    SELECT o_orderpriority AS series_code, strftime(o_orderdate, '%YM%m') AS period,
+           CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice END AS value, '' AS unit,
+           'psa_fixture' AS source
+    FROM orders""",
+)
+def _csv_bad_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Every fourth value is no number: it costs the value, not the job."""
+    folder = shared_folder(spark, "csv-bad-cells")
+    value = F.when(F.col("o_orderkey") % 4 == 0, "n/k").otherwise(F.col("o_totalprice").cast("string"))
+    table(spark, sf, "orders").select(
+        value.alias("value"),
+        F.date_format("o_orderdate", "yyyy'M'MM").alias("period"),
+        F.col("o_orderpriority").alias("series_code"),
+    ).write.option("header", True).csv(folder)
+    return read_cpi_seed(spark, folder)
+
+
+# ---------------------------------------------------------------- documents that offices serve
+
+
+@query(
+    "html_entities",
+    """
+    SELECT c_custkey, 'é' || chr(CAST(65 + c_custkey % 26 AS INTEGER)) || '&lt;' || c_name || '\ufffd' AS text
+    FROM customer""",
+)
+def _html_entities(spark: SparkSession, sf: str) -> DataFrame:
+    """Named, padded, escaped and impossible character references around a name."""
+    number = F.lpad((65 + F.col("c_custkey") % 26).cast("string"), 12, "0")
+    text = F.concat(F.lit("&eacute;&#"), number, F.lit(";&#38;lt;"), F.col("c_name"), F.lit("&#9999999;"))
+    return table(spark, sf, "customer").select("c_custkey", decode_entities(text).alias("text"))
+
+
+@query(
+    "html_nested_table",
+    """
+    SELECT o_orderkey, strftime(make_date(CAST(y AS INTEGER), 1, 1), '%Y-%m-%d') AS rate_date, rate
+    FROM (SELECT o_orderkey, unnest([2011, 2013, 2012]) AS y,
+                 unnest([o_totalprice, o_totalprice + 1, o_totalprice + 2]) AS rate FROM orders)""",
+)
+def _html_nested_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows before, inside and after a table nested in the first one; the next table is not read."""
+
+    def row(year: int, more: int) -> list[F.Column]:
+        return [F.lit(f"<tr><td>{year}</td><td>"), (F.col("o_totalprice") + more).cast("string"), F.lit("</td></tr>")]
+
+    page = F.concat(
+        F.lit("<table>"), *row(2011, 0), F.lit("<tr><td><table>"), *row(2013, 1),
+        F.lit("</table></td></tr>"), *row(2012, 2), F.lit("</table><table>"), *row(2014, 3), F.lit("</table>"),
+    )
+    pages = table(spark, sf, "orders").select("o_orderkey", page.alias("html"))
+    return fx_records(pages, "html", keep=["o_orderkey"]).select("o_orderkey", "rate_date", "rate")
+
+
+def _full_cubes(spark: SparkSession, sf: str) -> DataFrame:
+    """A cube per order with id, size and role, members in the order of an index; some unusable."""
+    doc = F.format_string(
+        '{"dataset":{"value":[%s,%s],"dimension":{"id":["Geo","Time"],"size":[1,2],"role":{"time":["Time"]},'
+        '"Geo":{"category":{"label":{"p":"PH"}}},"Time":{"category":{"index":{"b":1,"a":0},'
+        '"label":{"b":"2024M02","a":"2024M01"}}}}}}',
+        F.col("o_orderkey").cast("string"),
+        F.col("o_custkey").cast("string"),
+    )
+    kind = F.col("o_orderkey") % 5
+    broken = F.when(kind == 3, "no json").when(kind == 4, '{"value":[1],"dimension":{"Time":{}}}').otherwise(doc)
+    return table(spark, sf, "orders").select("o_orderkey", broken.alias("doc"))
+
+
+@query(
+    "json_stat_full",
+    """
+    SELECT o_orderkey, label, CAST(value AS DOUBLE) AS value
+    FROM (SELECT o_orderkey, unnest(['2024M01', '2024M02']) AS label,
+                 unnest([o_orderkey, o_custkey]) AS value FROM orders WHERE o_orderkey % 5 < 3)""",
+)
+def _json_stat_full(spark: SparkSession, sf: str) -> DataFrame:
+    cells = decode_json_stat(_full_cubes(spark, sf), "doc", ["o_orderkey"])
+    return cells.select("o_orderkey", "label", "value")
+
+
+@query(
+    "document_rejects",
+    """
+    SELECT o_orderkey, CASE o_orderkey % 5 WHEN 3 THEN 'no cube' ELSE 'too few dimensions' END AS reason
+    FROM orders WHERE o_orderkey % 5 >= 3""",
+)
+def _document_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that give no cell, and why."""
+    return rejected_cubes(_full_cubes(spark, sf), "doc", "o_orderkey")
+
+
 # ---------------------------------------------------------------- fallback and union
 
 
