@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -9,9 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-#: Up to this many pairs a recode is an expression; beyond it, use a lookup table.
-MAX_INLINE_RECODE = 200
-
 
 def project(df: DataFrame, schema: StructType) -> DataFrame:
     """The schema's columns, each once, in schema order and type."""
@@ -60,16 +58,11 @@ def stamp(df: DataFrame, values: Mapping[str, Any]) -> DataFrame:
 
 
 def recode(df: DataFrame, column: str, codes: Mapping[str, str]) -> DataFrame:
-    """Replace listed codes, pass others through. The map is a literal in the expression."""
+    """Replace listed codes, pass others through. Any number of codes is one map literal."""
     if not codes:
         return df
-    if len(codes) > MAX_INLINE_RECODE:
-        raise ValueError(f"{len(codes)} codes: join a lookup table with recode_from instead")
-    recoded = None
-    for old, new in codes.items():
-        hit = F.col(column) == old
-        recoded = F.when(hit, F.lit(new)) if recoded is None else recoded.when(hit, F.lit(new))
-    return df.withColumn(column, recoded.otherwise(F.col(column)))
+    known = F.from_json(F.lit(json.dumps(dict(codes))), "map<string,string>")
+    return df.withColumn(column, F.coalesce(F.try_element_at(known, F.col(column)), F.col(column)))
 
 
 def recode_from(df: DataFrame, column: str, lookup: DataFrame, old: str, new: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Latest row per key, newest N, deduplication.
 
-``row_number() = 1`` is planned with a group limit on both sides of the shuffle: each map task
-sends one row per key, however many copies of a hot key it holds.
+A small ``row_number() <= n`` is planned with a group limit on both sides of the shuffle: each map
+task sends n rows per key, however many rows of a hot key it holds. The planner gives up on that
+for a large n; rows are then ranked in parts of their key first, and only the first n of each part
+meet.
 """
 
 from __future__ import annotations
@@ -12,12 +14,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Spark's default limit for ranking before the shuffle, and the parts of a key beyond it.
+_GROUP_LIMIT = 1000
+_PARTS = 64
+
+
 def newest_first(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).desc_nulls_last() for c in columns]
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows of each key; ``order`` has to be total for a repeatable result."""
+    if n > _GROUP_LIMIT:
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(_PARTS))
+        parts = Window.partitionBy(*keys, "_part").orderBy(*order)
+        ranked = df.withColumn("_part", part).withColumn("_rank", F.row_number().over(parts))
+        df = ranked.filter(F.col("_rank") <= n).drop("_part", "_rank")
     ranked = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= n).drop("_rank")
 

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from stratalake.contracts import load_contract
 from stratalake.operators.change import classify_change
-from stratalake.operators.columns import recode_from
+from stratalake.operators.columns import recode, recode_from
 from stratalake.operators.filters import in_set
+from stratalake.operators.latest import top_per_key
 from stratalake.operators.monthly import monthly_trend, monthly_trend_outer
-from stratalake.operators.quality import apply_checks
+from stratalake.operators.quality import CheckConfig, apply_checks, quality_stats
 from stratalake.plans.gold import conform, map_to_gold
 from stratalake.plans.silver import fx_silver, policy_silver, psa_silver
 from stratalake.session import staged
@@ -196,3 +197,96 @@ def monthly_trend_query(spark: SparkSession, sf: str) -> DataFrame:
 @query("monthly_trend_outer", _TREND)
 def _monthly_trend_outer(spark: SparkSession, sf: str) -> DataFrame:
     return monthly_trend_outer(*_macro_and_fx(spark, sf))
+
+
+# ---------------------------------------------------------------- rows that must not vanish
+
+_SPOILED = "CASE WHEN o_orderkey % 5 = 0 THEN 'unreadable ' || o_orderkey % 50"
+
+
+@query(
+    "psa_bad_periods",
+    f"""
+    WITH raw AS (
+      SELECT 'CPI_ALL_ITEMS' AS series_code, o_totalprice AS value, o_orderdate AS day,
+             {_SPOILED} END AS bad FROM orders),
+    best AS (SELECT CASE WHEN bad IS NULL THEN strftime(day, '%Y-%m-01') END AS period_date,
+                    bad, max(value) AS value FROM raw GROUP BY 1, 2)
+    SELECT period_date, value FROM best""",
+)
+def _psa_bad_periods(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows without a readable period: one per raw text reaches the checks."""
+    bad = F.when(
+        F.col("o_orderkey") % 5 == 0,
+        F.concat(F.lit("unreadable "), (F.col("o_orderkey") % 50).cast("string")),
+    )
+    bronze = table(spark, sf, "orders").select(
+        F.lit("CPI_ALL_ITEMS").alias("series_code"),
+        F.coalesce(bad, F.date_format("o_orderdate", "yyyy'M'MM")).alias("period"),
+        F.col("o_totalprice").alias("value"),
+        F.lit("u").alias("unit"),
+        F.lit("s").alias("source"),
+        F.lit("2024-01-01").cast("timestamp").alias("fetched_at"),
+        F.lit("b").alias("batch_id"),
+    )
+    return psa_silver(bronze).select("period_date", "value")
+
+
+@query(
+    "fx_bad_dates",
+    f"""
+    WITH raw AS (
+      SELECT o_totalprice AS rate, o_orderdate AS day, {_SPOILED} END AS bad FROM orders),
+    best AS (SELECT CASE WHEN bad IS NULL THEN CAST(day AS DATE) END AS period, bad, max(rate) AS rate
+             FROM raw GROUP BY 1, 2)
+    SELECT count(*) AS total, count(period) AS clean, count(*) - count(period) AS rejected,
+           (count(*) - count(period)) / count(*) AS failure_rate FROM best""",
+)
+def _fx_bad_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """The failure rate counts every row whose date cannot be read."""
+    bad = F.when(
+        F.col("o_orderkey") % 5 == 0,
+        F.concat(F.lit("unreadable "), (F.col("o_orderkey") % 50).cast("string")),
+    )
+    bronze = table(spark, sf, "orders").select(
+        F.coalesce(bad, F.date_format("o_orderdate", "yyyy-MM-dd")).alias("rate_date"),
+        F.lit("USD/PHP").alias("currency_pair"),
+        F.col("o_totalprice").alias("rate"),
+        F.lit("s").alias("source"),
+        F.lit("2024-01-01").cast("timestamp").alias("fetched_at"),
+        F.lit("b").alias("batch_id"),
+    )
+    stats = quality_stats(fx_silver(bronze), [CheckConfig("no_nulls", columns=["period_date"])])
+    return stats.select("total", "clean", "rejected", "failure_rate")
+
+
+@query(
+    "recode_many",
+    "SELECT o_orderkey, 'customer ' || o_custkey AS customer FROM orders",
+)
+def _recode_many(spark: SparkSession, sf: str) -> DataFrame:
+    """A recode of as many codes as there are customers up to 3,000; others come from a join."""
+    codes = {str(n): f"customer {n}" for n in range(3000)}
+    orders = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"))
+    recoded = recode(orders, "customer", codes)
+    names = table(spark, sf, "customer").select(
+        F.col("c_custkey").cast("string").alias("old"),
+        F.concat(F.lit("customer "), F.col("c_custkey").cast("string")).alias("new"),
+    )
+    return recode_from(recoded, "customer", names, "old", "new")
+
+
+@query(
+    "top_1500_per_key",
+    """
+    SELECT l_returnflag, l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+    QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice DESC, l_orderkey,
+                               l_linenumber, l_partkey, l_suppkey, l_quantity) <= 1500""",
+)
+def _top_1500_per_key(spark: SparkSession, sf: str) -> DataFrame:
+    """More rows per key than the planner ranks before the shuffle."""
+    order = [F.col("l_extendedprice").desc()] + [
+        F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    ]
+    top = top_per_key(table(spark, sf, "lineitem"), ["l_returnflag"], order, 1500)
+    return top.select("l_returnflag", "l_orderkey", "l_linenumber", "l_extendedprice")
