@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.constants import CUT, HIKE, HOLD
+from stratalake.session import staged
 
 
 def direction_of(value: Column, previous: Column) -> Column:
@@ -36,46 +37,63 @@ def previous_value_split(
     series: Sequence[str],
     order: Sequence[str],
     value: str,
-    bucket: Column,
+    buckets: Sequence[Column],
     out: str = "previous",
 ) -> DataFrame:
     """Lag for series of any size, including a single hot or global one.
 
-    ``bucket`` cuts a series into consecutive ranges of ``order``: a month of its date, or a date
-    and a range of a unique key within it, which bounds the bucket whatever the data. Rows are only
-    ever sorted inside their bucket. The first row of a bucket takes the last value of the nearest
-    earlier bucket, found on one pre-aggregated row per series and bucket. ``value`` must not be
-    NULL.
+    ``buckets`` cut a series into consecutive ranges of ``order``, from coarse to fine: a year, a
+    day, a range of a unique key within the day. Rows are only ever sorted inside their finest
+    bucket, and keep its partitioning to the end. The first row of a bucket takes the last value of
+    the one before it; those values are carried level by level, each sorted inside the next coarser
+    bucket, so no window holds more than one level's buckets of one bucket above. ``value`` must
+    not be NULL.
     """
-    bucketed = df.withColumn("_bucket", bucket)
-    inside = Window.partitionBy(*series, "_bucket").orderBy(*order)
-    rows = bucketed.withColumn("_lag", F.lag(value).over(inside))
-
-    edge = F.max_by(value, F.struct(*order)).alias("_edge")
-    edges = bucketed.groupBy(*series, "_bucket").agg(edge)
-    across = Window.partitionBy(*series).orderBy("_bucket")
-    carried = edges.withColumn("_carried", F.lag("_edge").over(across)).drop("_edge")
-
-    keys = [*series, "_bucket"]
-    carried = carried.withColumnsRenamed({k: f"_c{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_c{k}")) for k in keys]
-    joined = rows.join(carried, same, "left")
+    # Keys without NULL, so that the join is an equality on what the windows are partitioned by.
+    keys = [f"_key{i}" for i in range(len(series))]
+    levels = [f"_level{i}" for i in range(len(buckets))]
+    texts = [F.col(c).cast("string") for c in series]
+    bucketed = df.withColumns(
+        {k: F.coalesce(F.concat(F.lit("="), t), F.lit("-")) for k, t in zip(keys, texts)}
+        | dict(zip(levels, buckets))
+    )
+    inside = Window.partitionBy(*keys, *levels).orderBy(*order)
+    rows = bucketed.withColumns(
+        {"_lag": F.lag(value).over(inside), "_next": F.lead(F.lit(1)).over(inside)}
+    )
+    lasts = rows.filter(F.col("_next").isNull()).select(*keys, *levels, F.col(value).alias("_edge"))
+    lasts = staged(lasts, "lag-edges")  # every level needs them
+    carried = _carried(lasts, keys, levels)
+    joined = rows.join(carried, [*keys, *levels], "left")
     return joined.withColumn(out, F.coalesce("_lag", "_carried")).drop(
-        "_bucket", "_lag", "_carried", *[f"_c{k}" for k in keys]
+        "_lag", "_next", "_carried", *keys, *levels
     )
 
 
+def _carried(lasts: DataFrame, keys: list[str], levels: list[str]) -> DataFrame:
+    """``keys, levels, _carried``: the last value before each bucket, from one row per bucket."""
+    above = [*keys, *levels[:-1]]
+    beside = Window.partitionBy(*above).orderBy(levels[-1])
+    here = lasts.withColumn("_carried", F.lag("_edge").over(beside)).drop("_edge")
+    if len(levels) == 1:
+        return here
+    upper = lasts.groupBy(*above).agg(F.max_by("_edge", levels[-1]).alias("_edge"))
+    upper = _carried(upper, keys, levels[:-1]).withColumnRenamed("_carried", "_above")
+    joined = here.join(upper, above, "left")
+    return joined.withColumn("_carried", F.coalesce("_carried", "_above")).drop("_above")
+
+
 def classify_change(
     df: DataFrame,
     series: Sequence[str],
     order: Sequence[str],
     value: str,
-    bucket: Column | None = None,
+    buckets: Sequence[Column] = (),
     out: str = "direction",
 ) -> DataFrame:
     """Add the direction of change against the previous value in ``order``."""
-    if bucket is None:
+    if not buckets:
         lagged = previous_value(df, series, order, value, "_previous")
     else:
-        lagged = previous_value_split(df, series, order, value, bucket, "_previous")
+        lagged = previous_value_split(df, series, order, value, buckets, "_previous")
     return lagged.withColumn(out, direction_of(F.col(value), F.col("_previous"))).drop("_previous")

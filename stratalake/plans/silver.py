@@ -92,7 +92,8 @@ def policy_silver(
     known = F.col("direction").isNull() | F.col("direction").isin(DIRECTIONS)
     past = not_after(plausible.filter(known), "decision_date", as_of)
     unique = dedup(past, [*groups, *POLICY_KEY], [*_NEWEST, "overnight_rp"])
-    classified = classify_change(unique, groups, ["decision_date"], "overnight_rp")
+    years = [F.year("decision_date")]
+    classified = classify_change(unique, groups, ["decision_date"], "overnight_rp", years)
     return _to_schema(classified, BSP_POLICY, groups)
 
 

@@ -111,18 +111,27 @@ def _directions(rows):
 def test_split_change_equals_brute_force(spark, data):
     rows = [(s, d, r) for (s, d), r in data.items()]
     df = spark.createDataFrame(rows, "series string, day date, rate double")
-    for bucket in (None, F.trunc("day", "month"), F.year("day")):
-        got = classify_change(df, ["series"], ["day"], "rate", bucket)
+    month = F.trunc("day", "month")
+    for buckets in ([], [month], [F.year("day"), month, F.col("day")]):
+        got = classify_change(df, ["series"], ["day"], "rate", buckets)
         assert _rows(got.select("series", "day", "direction")) == _directions(rows)
 
 
 def test_split_change_over_one_global_series(spark):
     rows = [("x", date(2020 + i // 12, i % 12 + 1, 1), float(i % 5)) for i in range(60)]
     df = spark.createDataFrame(rows, "series string, day date, rate double").drop("series")
-    got = classify_change(df, [], ["day"], "rate", F.year("day")).select(F.lit("x"), "day", "direction")
+    got = classify_change(df, [], ["day"], "rate", [F.year("day")]).select(F.lit("x"), "day", "direction")
     assert _rows(got) == _directions(rows)
 
 
+def test_split_change_of_a_series_without_a_name(spark):
+    rows = [(None if i % 2 else "-", date(2020 + i // 6, i % 12 + 1, 1), float(i % 5)) for i in range(48)]
+    df = spark.createDataFrame(rows, "series string, day date, rate double")
+    got = classify_change(df, ["series"], ["day"], "rate", [F.year("day"), F.col("day")])
+    plain = classify_change(df, ["series"], ["day"], "rate")
+    assert got.exceptAll(plain).count() == plain.exceptAll(got).count() == 0 and got.columns == plain.columns
+
+
 def test_upserts(spark):
     target = spark.createDataFrame([(1, 10, "old"), (2, 10, "keep")], "k int, t int, v string")
     updates = spark.createDataFrame([(1, 11, "new"), (1, 12, "newest"), (2, 9, "late"), (3, 1, "first")], "k int, t int, v string")

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__
 from oracle import connect, differences
+from workload import load_all
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = __spark_entry__.queries(), __spark_entry__.oracle_sql()
@@ -14,7 +15,7 @@ def db():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(load_all()))
 def test_same_rows_as_sql(spark, db, name):
     df = QUERIES[name](spark, SF)
     if name in SQL:

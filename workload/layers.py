@@ -101,15 +101,16 @@ def _policy_single_series(spark: SparkSession, sf: str) -> DataFrame:
 def _policy_direction(spark: SparkSession, sf: str) -> DataFrame:
     """Five series over all orders: far too large to sort one in a task, so each is split.
 
-    A bucket is a day and a range of a million order keys. Keys are unique, so is its bound.
+    A bucket is a range of a million order keys of a day of a year. Keys are unique, so a bucket is
+    bounded, and so is what is carried: ranges of a day, days of a year, years.
     """
-    key_range = F.floor(F.col("o_orderkey") / 1_000_000).alias("keys")
+    key_range = F.floor(F.col("o_orderkey") / 1_000_000)
     return classify_change(
         table(spark, sf, "orders"),
         ["o_orderpriority"],
         ["o_orderdate", "o_orderkey"],
         "o_totalprice",
-        bucket=F.struct(F.to_date("o_orderdate").alias("day"), key_range),
+        buckets=[F.year("o_orderdate"), F.to_date("o_orderdate"), key_range],
     ).select("o_orderkey", "o_orderpriority", "direction")
 
 
