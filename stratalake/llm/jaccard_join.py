@@ -5,8 +5,9 @@ shingle. Its product with its transpose holds the overlaps of all pairs. Size-de
 that product sparse: with columns in one global order, two linked rows meet in the first
 n - ceil(t n) + 1 columns of both, and the first column in which they meet is so early that what
 follows it can still reach the overlap that their sizes ask for. Only those entries are multiplied,
-block by block of columns. Pairs that meet too late for the bound are discarded; for the others the
-whole overlap is accumulated and compared with it.
+block by block of columns. Pairs that meet too late for the bound are discarded, and so are those
+whose parities (a bit per range of columns) differ in too many places; for the others the whole
+overlap is accumulated and compared with the bound.
 
 * Order: columns that occur often come last. Which they are is counted in every task and summed;
   ``ORDERED_COLUMNS`` bounds how many are told apart. This shapes the work, never the result.
@@ -42,11 +43,13 @@ from stratalake.session import staged
 
 PERCENT = 75
 ORDERED_COLUMNS = 1 << 19
-LONG_COLUMN = 64
-_BLOCK_ENTRIES = 2_000_000
-_TASK_ENTRIES = 4_000_000
+LONG_COLUMN = 8
+_BLOCK_ENTRIES = 500_000
+_TASK_ENTRIES = 2_000_000
 _FILTER_BITS = 1 << 22
-_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+_LEAST_BITS = 256
+_PROFILE = ["n", "class", "parity", "hashes", "counts"]
+_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def overlap_needed(sizes, percent: int):
@@ -64,6 +67,17 @@ def set_class(found: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(found.tobytes(), seed=len(found)) - (1 << 63)
 
 
+def parity(found: np.ndarray) -> np.ndarray:
+    """Whether the number of shingles in each hash range is odd: a bit per range, and twice as many
+    ranges as shingles, rounded up to a power of two. Two sets differ in at least as many shingles
+    as their parities differ in bits. The halves of a parity, one over the other, are the parity
+    over half as many ranges, so sets of different sizes can be compared."""
+    bits = max(_LEAST_BITS, 1 << (2 * len(found) - 1).bit_length()) if len(found) else _LEAST_BITS
+    bits = min(bits, 1 << 24)
+    counts = np.bincount((found >> np.uint64(40)).astype(np.int64) % bits, minlength=bits)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def _signed(values) -> pa.Array:
     return pa.array(np.asarray(values).view(np.int64))
 
@@ -82,7 +96,7 @@ def _profiles(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     narrow = _texts(docs, text_col, *keys)
     types = {f.name: f.dataType.simpleString() for f in narrow.schema.fields[:-1]}
     schema = ", ".join(f"`{k}` {t}" for k, t in types.items()) + (
-        ", n int, class bigint, hashes array<bigint>, counts array<int>"
+        ", n int, class bigint, parity array<bigint>, hashes array<bigint>, counts array<int>"
     )
     n_keys = len(keys)
 
@@ -92,10 +106,11 @@ def _profiles(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:
         columns = [pa.nulls(1, t) for t in key_types] + [
             pa.nulls(1, pa.int32()),
             pa.nulls(1, pa.int64()),
+            pa.nulls(1, pa.list_(pa.int64())),
             _lists(values.view(np.int64), pa.int64()),
             _lists(counts.astype(np.int32), pa.int32()),
         ]
-        return pa.RecordBatch.from_arrays(columns, [*keys, "n", "class", "hashes", "counts"])
+        return pa.RecordBatch.from_arrays(columns, [*keys, *_PROFILE])
 
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, seen, entries, key_types = [], set(), 0, []
@@ -107,10 +122,11 @@ def _profiles(docs: DataFrame, keys: list[str], text_col: str) -> DataFrame:
             columns = [batch[i] for i in range(n_keys)] + [
                 pa.array([len(s) for s in sets], pa.int32()),
                 pa.array(classes, pa.int64()),
+                pa.array([parity(s) for s in sets], pa.list_(pa.int64())),
                 pa.nulls(rows, pa.list_(pa.int64())),
                 pa.nulls(rows, pa.list_(pa.int32())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, [*keys, "n", "class", "hashes", "counts"])
+            yield pa.RecordBatch.from_arrays(columns, [*keys, *_PROFILE])
             for found, number in zip(sets, classes, strict=True):
                 if number is not None and number not in seen:
                     seen.add(number)
@@ -144,10 +160,10 @@ def _frequent_columns(profiles: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             least = at + 1
             break
         kept += histogram[at]
-    found = counted.where(level >= least).toPandas()
-    values = found["value"].to_numpy(np.int64).view(np.uint64)
+    found = counted.where(level >= least).toArrow()
+    values = found["value"].to_numpy().view(np.uint64)
     order = np.argsort(values)
-    return values[order], found["n"].to_numpy(np.int64)[order]
+    return values[order], found["n"].to_numpy()[order]
 
 
 def _ordered_prefix(
@@ -359,19 +375,39 @@ def _sets(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
     return near.join(wanted, "class", "left_semi").dropDuplicates(["class"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _may_link(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose parities leave room for the overlap they need."""
+    sides = [
+        classes.select(*[F.col(c).alias(f"{c}_{side}") for c in ("n", "parity")], F.col("class").alias(side))
+        for side in ("a", "b")
+    ]
+    # Linked sets differ by less than half in size, so at most one folding makes parities alike.
+    folded = "zip_with(slice({0}, 1, size({0}) div 2), slice({0}, size({0}) div 2 + 1, size({0}) div 2), (x, y) -> x ^ y)"
+    alike = "CASE WHEN size({0}) > size({1}) THEN " + folded + " ELSE {0} END"
+    left, right = alike.format("parity_a", "parity_b"), alike.format("parity_b", "parity_a")
+    differ = f"aggregate(zip_with({left}, {right}, (x, y) -> bit_count(x ^ y)), 0, (s, c) -> s + c)"
+    sizes = "(CAST(n_a AS BIGINT) + n_b)"
+    need = f"({percent} * {sizes} + {99 + percent}) div {100 + percent}"
+    return (
+        pairs.join(sides[0], "a").join(sides[1], "b").where(f"{differ} <= {sizes} - 2 * ({need})").select("a", "b")
+    )
+
+
+def _verified(
+    docs: DataFrame, text_col: str, pairs: DataFrame, classes: DataFrame, percent: int
+) -> DataFrame:
     """The pairs (a, b) that are linked, by their full overlap."""
+    near = staged(_may_link(pairs, classes, percent), "jaccard-near")
+    if near.isEmpty():
+        return near
+    wanted = near.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    sets = staged(_sets(docs, text_col, staged(wanted, "jaccard-wanted")), "jaccard-sets")
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
-    overlap = F.size(F.array_intersect("sa", "sb"))
-    sizes = F.size("sa") + F.size("sb")
-    return (
-        pairs.select("a", "b")
-        .join(left, "a")
-        .join(right, "b")
-        .where(overlap.cast("bigint") * (100 + percent) >= sizes.cast("bigint") * percent)
-        .select("a", "b")
-    )
+    overlap = F.size(F.array_intersect("sa", "sb")).cast("bigint")
+    sizes = F.size("sa").cast("bigint") + F.size("sb")
+    linked = near.join(left, "a").join(right, "b").where(overlap * (100 + percent) >= sizes * percent)
+    return staged(linked.select("a", "b"), "jaccard-edges")
 
 
 def _reachable(percent: int, left: str, right: str) -> str:
@@ -455,14 +491,11 @@ def linked_classes(
     pairs = staged(
         met.unionByName(_first_of_column(hot, percent)).distinct(), "jaccard-pairs"
     )
-    wanted = (
-        pairs.select(F.col("a").alias("class"))
-        .unionByName(pairs.select(F.col("b").alias("class")))
-        .unionByName(hot.select("class"))
-        .distinct()
+    classes = staged(
+        profiles.where("class IS NOT NULL").select("class", "n", "parity").dropDuplicates(["class"]),
+        "jaccard-classes",
     )
-    sets = staged(_sets(docs, text_col, staged(wanted, "jaccard-wanted")), "jaccard-sets")
-    edges = staged(_verified(pairs, sets, percent), "jaccard-edges")
+    edges = _verified(docs, text_col, pairs, classes, percent)
     found = connected_components(edges)
     if hot.isEmpty():
         return found
@@ -470,7 +503,7 @@ def linked_classes(
         _across_components(hot, found, percent).join(pairs, ["a", "b"], "left_anti"),
         "jaccard-across",
     )
-    more = staged(_verified(across, sets, percent), "jaccard-edges")
+    more = _verified(docs, text_col, across, classes, percent)
     if more.isEmpty():
         return found
     return connected_components(edges.unionByName(more))
