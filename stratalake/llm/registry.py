@@ -8,7 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stratalake.llm import co_training, decontamination, exact_dedup, interpolated_lm, jaccard_join, packing, sharding, site_style, toxicity, warc
+from stratalake.llm import (
+    co_training,
+    decontamination,
+    exact_dedup,
+    interpolated_lm,
+    jaccard_join,
+    packing,
+    sharding,
+    site_style,
+    toxicity,
+    warc,
+)
 from stratalake.llm.common import fold_of, on_workers, table
 
 
