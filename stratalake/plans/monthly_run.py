@@ -6,6 +6,7 @@ backfill is one Spark job per layer over all months, not a loop of jobs.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from stratalake.constants import BSP_FX, PSA
 from stratalake.contracts import load_contract
-from stratalake.layout import batch_folder, first_day, folder_exists
+from stratalake.functions.digest import fingerprint
+from stratalake.layout import batch_folder, first_day, folder_size
 from stratalake.operators.columns import project
 from stratalake.plans.bronze import land, land_batches, make_batch_id, read_bronze
 from stratalake.plans.gold import Batch, Published, publish
@@ -94,19 +96,67 @@ def run_backfill(
         _quarantine_undated(store, source, tagged.filter(F.col("_batch").isNull()), batch_id)
 
     def bronze() -> DataFrame:
-        wanted = record_schema(source)
-        typed = project(dated, wanted.add("_batch", "date"))
-        land_batches(store.lake, source, typed, F.col("_batch"), now(), F.lit(batch_id))
-        root = store.lake.bronze(source)
-        folders = [f"{root}/{batch_folder(d)}/batch_id={batch_id}" for d in days]
-        landed = [f for f in folders if folder_exists(store.spark, f)]
-        if not landed:
-            raise ValueError("an empty record set cannot be landed")
-        return read_bronze(store, source, *landed)
+        typed = project(dated, record_schema(source).add("_batch", "date"))
+        return _land_months(store, source, typed, batch_id)
 
     return _chain(store, source, bronze, batches, as_of)
 
 
+def _land_months(store: MetadataStore, source: str, rows: DataFrame, batch_id: str) -> DataFrame:
+    """Land records of many months (``_batch``) in one job, each content once, and read them back.
+
+    As in :func:`stratalake.plans.bronze.land`, a month whose content has landed before, under
+    whatever month, is not written again; the others get an entry in the manifest.
+    """
+    root, fields = store.lake.bronze(source), record_schema(source).fieldNames()
+    # One row per month of the job.
+    prints = {r["_batch"]: r["sha256_hash"] for r in fingerprint(rows, fields, ["_batch"]).collect()}
+    if not prints:
+        raise ValueError("an empty record set cannot be landed")
+    first: dict[str, date] = {}  # the month under which a new content lands
+    path_of: dict[str, str] = {}
+    for day in sorted(prints):
+        content = prints[day]
+        if content not in path_of:
+            earlier = store.landed_path(source, content)
+            path_of[content] = earlier or f"{root}/{batch_folder(day)}/batch_id={batch_id}"
+            if not earlier:
+                first[content] = day
+    at = now()
+    if first:
+        new = rows.filter(F.col("_batch").isin(list(first.values())))
+        land_batches(store.lake, source, new, F.col("_batch"), at, F.lit(batch_id))
+        entries = [
+            {
+                "source": source,
+                "fetch_date": day,
+                "file_path": path_of[content],
+                "sha256_hash": content,
+                "batch_id": batch_id,
+                "fetched_at": at,
+                "status": "SUCCESS",
+                "byte_size": folder_size(store.spark, path_of[content]),
+            }
+            for content, day in first.items()
+        ]
+        store.write("file_manifest", entries)
+    # Rows are read once per content; a content of several months is multiplied by a small list.
+    months: dict[str, list[date]] = {}
+    for day, content in sorted(prints.items()):
+        months.setdefault(path_of[content], []).append(day)
+    landed = read_bronze(store, source, *months).withColumn(
+        "_path", F.regexp_extract(F.input_file_name(), r"(year=\d+/month=\d+/batch_id=[^/]+)/", 1)
+    )
+    known = F.from_json(
+        F.lit(json.dumps({p.removeprefix(f"{root}/"): [str(d) for d in ds] for p, ds in months.items()})),
+        "map<string,array<string>>",
+    )
+    dated = landed.withColumn("_month", F.explode(F.try_element_at(known, F.col("_path"))))
+    return dated.withColumns(
+        {"year": F.substring("_month", 1, 4), "month": F.substring("_month", 6, 2)}
+    ).drop("_path", "_month")
+
+
 def _chain(
     store: MetadataStore, source: str, bronze_of, batches: Sequence[Batch], as_of: date | None
 ) -> list[RunResult]:

@@ -329,3 +329,15 @@ def test_empty_month_of_a_backfill_keeps_its_gold(spark, store):
     assert served.count() == 25
     undated = spark.read.option("recursiveFileLookup", True).parquet(store.lake.quarantine("bsp_fx"))
     assert [r.rate_date for r in undated.collect()] == ["n/a"]
+
+
+def test_backfill_lands_a_content_once(spark, store):
+    span = (date(2024, 1, 1), date(2024, 3, 1))
+    for _ in range(2):
+        results = run_backfill(store, "bsp_fx", _fx(spark, 30), *span)
+        assert [r.status for r in results] == ["SUCCESS"] * 3
+    manifest = store.table("file_manifest").collect()
+    assert len(manifest) == 1 and manifest[0].byte_size > 0 and manifest[0].fetch_date == date(2024, 1, 1)
+    assert spark.read.parquet(store.lake.bronze("bsp_fx")).count() == 30
+    gold = spark.read.parquet(store.lake.gold("gold_exchange_rates"))
+    assert {(r["month"], r["count"]) for r in gold.groupBy("month").count().collect()} == {(1, 30), (2, 30), (3, 30)}
