@@ -78,7 +78,8 @@ def row_keys(docs: DataFrame) -> tuple[DataFrame, tuple[str, ...]]:
 def without_rows(docs: DataFrame, gone: DataFrame, purpose: str) -> DataFrame:
     """The rows of ``docs`` whose keys are not in ``gone``, with all their columns."""
     meta = docs.metadataColumn("_metadata")
-    listed = staged(gone.select(FILE, ROW).distinct(), purpose)
+    with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}):
+        listed = staged(gone.select(FILE, ROW).distinct(), purpose)
     keyed = docs.select(
         F.struct(*[docs[c] for c in docs.columns]).alias("row"),
         meta.getField("file_path").alias(FILE),

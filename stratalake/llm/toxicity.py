@@ -132,39 +132,65 @@ def marginals(model: Field, emission: np.ndarray, lengths: np.ndarray) -> np.nda
     return 1.0 / (1.0 + np.exp(-np.clip(odds, -500, 500)))
 
 
-def toxic_stems(docs: list[set[str]], toxic: list[bool]) -> set[str]:
-    """Stems that mark toxic documents."""
-    clean = Counter(s for d, y in zip(docs, toxic, strict=True) if not y for s in d)
+class Stems:
+    """Numbers for the stems of a sample's words. Documents are arrays of numbers: sets of texts
+    would take many times the memory."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.of_word: dict[str, np.ndarray] = {}
+
+    def of(self, word: str) -> np.ndarray:
+        found = self.of_word.get(word)
+        if found is None:
+            numbers = [self.number.setdefault(s, len(self.number)) for s in stems(word)] if word else []
+            found = self.of_word[word] = np.array(numbers, np.int32)
+        return found
+
+    def document(self, words: set[str]) -> np.ndarray:
+        parts = [self.of(w) for w in words]
+        return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int32)
+
+
+def toxic_stems(docs: list[np.ndarray], toxic: list[bool], n_stems: int) -> set[int]:
+    """Numbers of the stems that mark toxic documents."""
+
+    def counted(members: list[np.ndarray]) -> np.ndarray:
+        return np.bincount(np.concatenate([np.zeros(0, np.int32), *members]), minlength=n_stems)
+
+    clean = counted([d for d, y in zip(docs, toxic, strict=True) if not y])
     n_clean = sum(not y for y in toxic)
     open_docs = [d for d, y in zip(docs, toxic, strict=True) if y]
-    found: set[str] = set()
+    found: set[int] = set()
     while open_docs:
-        inside = Counter(s for d in open_docs for s in d)
+        inside = counted(open_docs)
         rate = len(open_docs) / (len(open_docs) + n_clean)
-        tests = len(inside)
+        tests = int((inside > 0).sum())
 
-        def chance(stem: str, n: int) -> float:
+        def chance(n: int, missed: int) -> float:
             """Expected number of stems as one-sided as this one, by chance (log)."""
-            missed = clean[stem]
             ways = math.lgamma(n + missed + 1) - math.lgamma(n + 1) - math.lgamma(missed + 1)
             return ways + n * math.log(rate) + missed * math.log1p(-rate) + math.log(tests)
 
-        new = {
-            s for s, n in inside.items() if n >= 15 * clean[s] and chance(s, n) < math.log(0.3)
-        }
+        one_sided = np.flatnonzero((inside > 0) & (inside >= 15 * clean))
+        new = [s for s in one_sided.tolist() if chance(int(inside[s]), int(clean[s])) < math.log(0.3)]
         if not new:
             break
-        found |= new
-        open_docs = [d for d in open_docs if not d & new]
+        found.update(new)
+        marked = np.array(new, np.int32)
+        open_docs = [d for d in open_docs if not np.isin(d, marked).any()]
     return found
 
 
-def _chunks(texts: list[str], toxic: list[bool], marked: set[str], forms: dict[str, str]):
+def _chunks(
+    texts: list[str], toxic: list[bool], marked: set[int], forms: dict[str, str], known: Stems
+):
     """Token sequences and tags: all chunks with a toxic token, and as many without."""
     with_t, without = [], []
+    is_marked = {w: not marked.isdisjoint(n.tolist()) for w, n in known.of_word.items()}
     for text, y in zip(texts, toxic, strict=True):
         tokens = [forms[t] for t in text.split()]
-        tags = [bool(y and w and not marked.isdisjoint(stems(w))) for w in tokens]
+        tags = [y and is_marked[w] for w in tokens]
         for i in range(0, len(tokens), _CHUNK):
             chunk = (tokens[i : i + _CHUNK], tags[i : i + _CHUNK])
             (with_t if any(chunk[1]) else without).append(chunk)
@@ -265,10 +291,18 @@ def train(texts: list[str | None], toxic: list[int]) -> Field:
         model.fit = (math.log(share / (1 - share)), 0.0, 0.0, 0.0)
         return model
     forms = {t: word_form(t) for text in texts for t in text.split()}
-    docs = [{s for t in set(text.split()) if forms[t] for s in stems(forms[t])} for text in texts]
-    marked = toxic_stems(docs, labels)
-    model = train_field(_chunks(texts, labels, marked, forms))
-    x = np.array([[1.0, *summed_up(c)] for c in _scored(model, texts, {})])
+    known = Stems()
+    docs = [known.document({forms[t] for t in text.split()}) for text in texts]
+    marked = toxic_stems(docs, labels, len(known.number))
+    del docs
+    chunks = _chunks(texts, labels, marked, forms, known)
+    del known, forms
+    model = train_field(chunks)
+    del chunks
+    sums = []
+    for at in range(0, len(texts), 500):
+        sums += [[1.0, *summed_up(c)] for c in _scored(model, texts[at : at + 500], {})]
+    x = np.array(sums)
     model.fit = tuple(_logistic(x, np.array(labels, float)).tolist())
     return model
 
