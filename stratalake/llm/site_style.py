@@ -4,10 +4,16 @@ The DOMs of a host's pages are merged: elements with the same path of tags, clas
 node of the host's style tree. A node's presentation importance is the entropy of the child
 sequences that its pages show there; its content importance falls with the entropy with which the
 same texts are spread over the pages. Both are mixed into one importance per node; branches of
-low importance are the same on all pages and are removed from each page. Elements whose tag, role,
-class or id says that they are no article text (menus, headers, footers, sidebars, notices, adverts,
-forms, comments) have no importance anywhere. If a page marks its article or main part, only that
-is looked at.
+low importance are the same on all pages and are removed from each page. If a page marks its
+article or main part, only that is looked at.
+
+Elements whose tag or role says that they are no article text (menus, headers, footers, asides, forms)
+have no importance, unless all article and main parts of the page lie in them or a form holds most of
+the page's text. Words in a class or id (menus, sidebars, notices, adverts, comments) only lower a
+node's importance, by the share of such words in its name; the style tree decides. Where the tree has
+seen the node on one page only, such an element goes, unless it holds most of the page's text or its
+name also says article and it holds the headline. An element around an article or main part is never
+noise by its name.
 
 A host's node is judged only from ``LEAST_PAGES`` pages on, and a page that would lose half of its
 text or more by judged branches keeps them all: such a host is one of copies, not of boilerplate.
@@ -26,7 +32,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -39,6 +45,8 @@ from stratalake.session import staged
 
 LEAST_PAGES = 8
 LOW = 0.2
+#: How much of its importance a node loses if its name has noise words alone.
+NAME_WEIGHT = 0.8
 _GAMMA = 0.9
 BROADCAST_NODES = 1_000_000
 _TASK_FEATURES = 200_000
@@ -72,6 +80,8 @@ CLOSED_BY = {
 }
 SCOPE = set("ul ol dl table article section div main aside nav header footer form td th body".split())
 MAIN_TAGS = {"article", "main"}
+REPLY_WORDS = {"comment", "reply", "replies"}
+ARTICLE_WORDS = set("article entry post story content main body hentry".split())
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -84,30 +94,59 @@ _DIGITS = re.compile(r"\d+")
 
 
 @dataclass
+class Suspect:
+    """An element that may be noise: by its tag or role, else by the words of its name."""
+
+    tag: str
+    node: int
+    by_tag: bool
+    article_name: bool
+    mains: int = 0  # article and main parts inside
+    headline: bool = False
+    chars: int = 0
+
+
+@dataclass(slots=True)
 class Open:
     """An element that is open."""
 
     tag: str
     node: int
-    noise: bool
-    main: bool
+    main: bool  # it is a main part or lies in one
+    judged: bool  # blocks, and inline elements with a suspect name, are nodes of the tree
+    nodes: tuple[int, ...]  # judged nodes on the way to it
+    suspects: tuple[int, ...]  # places of the suspects it lies in or is
     children: list[str] = field(default_factory=list)
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
-    """A run of text without a block boundary, and the nodes it lies in."""
+    """Text without a block boundary or the border of a suspect, and the nodes it lies in."""
 
     text: str
     nodes: tuple[int, ...]
     main: bool
+    suspects: tuple[int, ...]
+    run: int  # blocks of a run have no block boundary between them
+    space: tuple[bool, bool]  # white space before and after the text
+    named: tuple[int, ...] = ()  # nodes of suspects by name that are noise unless the tree keeps them
 
 
-_KNOWN: dict[tuple[int, str, str], tuple[int, bool, bool]] = {}
+@dataclass
+class Style:
+    """What an element's tag and attributes say."""
 
+    node: int
+    by_tag: bool
+    share: float  # of noise words in its class and id
+    article_name: bool
+    main: bool
+
+
+_KNOWN: dict[tuple[int, str, str], Style] = {}
 
-def _node(parent: int, tag: str, attributes: str) -> tuple[int, bool, bool]:
-    """Number of the style-tree node, whether it is noise, whether it starts the main part."""
+
+def _node(parent: int, tag: str, attributes: str) -> Style:
     key = (parent, tag, attributes if len(attributes) < 200 else "")
     if key in _KNOWN and len(attributes) < 200:
         return _KNOWN[key]
@@ -115,41 +154,62 @@ def _node(parent: int, tag: str, attributes: str) -> tuple[int, bool, bool]:
     for name, *values in _ATTRIBUTE.findall(attributes):
         named[name.lower()] = next((v for v in values if v), "")
     words = {w.lower() for w in _PARTS.findall(f"{named['class']} {named['id']}")}
-    noise = tag in NOISE_TAGS or named["role"].lower() in NOISE_ROLES
-    noise = noise or (tag not in ("html", "body") and not words.isdisjoint(NOISE_WORDS))
+    main = tag in MAIN_TAGS or named["role"].lower() == "main"
+    share = len(words & NOISE_WORDS) / len(words) if words and tag not in ("html", "body", "main") else 0.0
     look = _DIGITS.sub("#", f"{parent}|{tag}|{named['class']}|{named['id']}")
-    value = (xxhash.xxh3_64_intdigest(look) >> 1, noise, tag in MAIN_TAGS or named["role"] == "main")
+    value = Style(
+        xxhash.xxh3_64_intdigest(look) >> 1,
+        tag in NOISE_TAGS or named["role"].lower() in NOISE_ROLES,
+        0.0 if main and (share < 0.5 or share == 0.5 and words.isdisjoint(REPLY_WORDS)) else share,
+        not words.isdisjoint(ARTICLE_WORDS),
+        main,
+    )
     if len(_KNOWN) >= 50_000:
         _KNOWN.clear()
     _KNOWN[key] = value
     return value
 
 
-def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
-    """The page's text blocks outside noise, in order, and (node, child sequence) of its elements."""
+def parse(page: str) -> tuple[list[Block], list[tuple[int, str]], dict[int, float]]:
+    """The page's text blocks outside noise by tag, in order; (node, child sequence) of its elements;
+    the share of noise words of the nodes that are suspects by name."""
     blocks: list[Block] = []
-    looks: list[tuple[int, str]] = []
-    stack: list[Open] = [Open("", 0, False, False)]
+    looks: list[tuple[int, str, tuple[int, ...]]] = []
+    suspects: list[Suspect] = []
+    shares: dict[int, float] = {}
+    mains = 0
+    run = 0
+    stack: list[Open] = [Open("", 0, False, False, (), ())]
     pieces: list[str] = []
 
     def text(piece: str) -> None:
-        if piece and not stack[-1].noise:
+        if piece:
             pieces.append(piece)
 
-    def flush() -> None:
+    def flush(boundary: bool = True) -> None:
+        nonlocal run
         if pieces:
-            words = entities.unescape("".join(pieces)).split()
+            raw = entities.unescape("".join(pieces))
+            words = raw.split()
             pieces.clear()
             if words:
-                nodes = tuple(o.node for o in stack[1:] if o.tag in BLOCK)
-                blocks.append(Block(" ".join(words), nodes, any(o.main for o in stack)))
+                at, joined = stack[-1], " ".join(words)
+                space = (raw[0].isspace(), raw[-1].isspace())
+                blocks.append(Block(joined, at.nodes, at.main, at.suspects, run, space))
+                for place in at.suspects:
+                    suspects[place].chars += len(joined)
+            elif blocks and blocks[-1].run == run:
+                blocks[-1].space = (blocks[-1].space[0], True)
+        run += boundary
 
     def close(count: int) -> None:
         """Close the innermost ``count`` elements."""
         for _ in range(count):
+            if stack[-1].tag not in BLOCK and len(stack[-1].suspects) > len(stack[-2].suspects):
+                flush(boundary=False)
             gone = stack.pop()
-            if not gone.noise and gone.tag in BLOCK:
-                looks.append((gone.node, ",".join(gone.children)))
+            if gone.judged:
+                looks.append((gone.node, ",".join(gone.children), gone.suspects))
 
     def close_open(tags: set[str], scope: set[str]) -> None:
         for depth in range(1, len(stack)):
@@ -189,7 +249,7 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
             if tag in CLOSED_BY:
                 close_open(CLOSED_BY[tag], SCOPE - {tag} if tag in ("td", "th") else SCOPE)
         parent = stack[-1]
-        node, noise, main = _node(parent.node, tag, attributes)
+        style = _node(parent.node, tag, attributes)
         if not parent.children or parent.children[-1] != tag:
             parent.children.append(tag)
         if tag in VOID or attributes.endswith("/") and tag in RAW:
@@ -198,10 +258,43 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]]]:
             over = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = over.end() if over else end
             continue
-        stack.append(Open(tag, node, noise or parent.noise, main))
+        inside = parent.suspects
+        if style.main and style.share == 0:
+            mains += 1
+            for place in inside:
+                suspects[place].mains += 1
+        elif tag == "h1":
+            for place in inside:
+                suspects[place].headline = True
+        if style.by_tag or style.share:
+            if tag not in BLOCK:
+                flush(boundary=False)
+            inside = (*inside, len(suspects))
+            suspects.append(Suspect(tag, style.node, style.by_tag, style.article_name))
+            if style.share and not style.by_tag:
+                shares[style.node] = style.share
+        judged = tag in BLOCK or style.share > 0 and not style.by_tag
+        nodes = (*parent.nodes, style.node) if judged else parent.nodes
+        stack.append(Open(tag, style.node, parent.main or style.main, judged, nodes, inside))
     flush()
     close(len(stack) - 1)
-    return blocks, looks
+    most = sum(len(b.text) for b in blocks) / 2
+    gone, named = set(), set()
+    for place, found in enumerate(suspects):
+        if found.by_tag:
+            around = found.mains == mains > 0 or found.tag == "form" and found.chars > most
+            if not around:
+                gone.add(place)
+        elif not (found.mains or found.chars > most):
+            named.add(place)
+    # A headline in an element whose name also says article is left to the tree.
+    named -= {p for p in named if suspects[p].article_name and suspects[p].headline}
+    blocks = [b for b in blocks if not b.suspects or gone.isdisjoint(b.suspects)]
+    for block in blocks:
+        if block.suspects:
+            block.named = tuple(suspects[p].node for p in block.suspects if p in named)
+    seen = [(node, look) for node, look, inside in looks if not inside or gone.isdisjoint(inside)]
+    return blocks, seen, shares
 
 
 def close_open_inline(stack: list[Open], tag: str, close) -> None:
@@ -214,19 +307,33 @@ def close_open_inline(stack: list[Open], tag: str, close) -> None:
             return
 
 
-def main_blocks(page: str) -> list[Block]:
-    blocks, _ = parse(page)
+def main_blocks(page: str, kept: Set[int] = frozenset()) -> list[Block]:
+    blocks = [b for b in parse(page)[0] if kept.issuperset(b.named)]
     return [b for b in blocks if b.main] or blocks
 
 
-def extract(page: str | None, low: set[int]) -> str:
-    """The page's text without the branches in ``low``."""
-    blocks = main_blocks(page) if page else []
+def _joined(blocks: list[Block]) -> str:
+    """Texts of blocks, one line per run."""
+    parts: list[str] = []
+    before = None
+    for block in blocks:
+        if before is not None:
+            same = before.run == block.run
+            parts.append(("" if not (before.space[1] or block.space[0]) else " ") if same else "\n")
+        parts.append(block.text)
+        before = block
+    return "".join(parts)
+
+
+def extract(page: str | None, low: set[int], kept: Set[int] = frozenset()) -> str:
+    """The page's text without the branches in ``low``; ``kept`` are nodes that their name makes
+    suspect and the tree keeps."""
+    blocks = main_blocks(page, kept) if page else []
     if low:
-        kept = [b for b in blocks if low.isdisjoint(b.nodes)]
-        if 2 * sum(len(b.text) for b in kept) > sum(len(b.text) for b in blocks):
-            blocks = kept
-    return "\n".join(b.text for b in blocks)
+        left = [b for b in blocks if low.isdisjoint(b.nodes)]
+        if 2 * sum(len(b.text) for b in left) > sum(len(b.text) for b in blocks):
+            blocks = left
+    return _joined(blocks)
 
 
 def host_of(url: Column) -> Column:
@@ -238,16 +345,19 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) >> 1
 
 
-#: Kinds of features of a node: that a page has it, a child sequence, a text.
-_PAGE, _LOOK, _CONTENT = 0, 1, 2
+#: Kinds of features of a node: that a page has it, a child sequence, a text, the share of noise words
+#: in its name in thousandths.
+_PAGE, _LOOK, _CONTENT, _NAME = 0, 1, 2, 3
 
 
 def _page_features(page: str) -> Iterator[tuple[int, int, int, int]]:
     """(node, kind, feature, times) of a page."""
-    blocks, looks = parse(page)
+    blocks, looks, shares = parse(page)
     counts: dict[tuple[int, int, int], int] = {}
     for node, look in looks:
         counts[node, _PAGE, 0] = 1
+        if node in shares:
+            counts[node, _NAME, round(1000 * shares[node])] = 1
         key = (node, _LOOK, _hash(look))
         counts[key] = counts.get(key, 0) + 1
     for block in blocks:
@@ -260,7 +370,8 @@ def _page_features(page: str) -> Iterator[tuple[int, int, int, int]]:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """Rows (host, node, pages, presentation, content, importance) of all hosts' style trees."""
+    """Rows (host, node, pages, presentation, content, importance, noise_words) of all hosts' style
+    trees; noise_words is the share in the name of a node that its name makes suspect."""
     narrow = pages.select(host_of(pages["url"]).alias("host"), pages["html"].cast("string").alias("html"))
     names = ["host", "node", "kind", "feature", "pages", "times", "spread"]
     schema = (
@@ -302,6 +413,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
         F.sum(F.when(look, F.col("times") * F.log("times"))).alias("looks"),
         F.count(F.when(look, 1)).alias("kinds"),
         F.avg(F.when(content, entropy)).alias("entropy"),
+        F.max(F.when(F.col("kind") == _NAME, F.col("feature") / 1000)).alias("noise_words"),
     )
     several = F.col("pages") > 1
     shown = (F.log("looked") - F.col("looks") / F.col("looked")) / F.log("pages")
@@ -316,12 +428,17 @@ def style_tree(pages: DataFrame) -> DataFrame:
         presentation.alias("presentation"),
         content.alias("content"),
         ((1 - share) * presentation + share * content).alias("importance"),
+        "noise_words",
     )
 
 
 def low_branches(tree: DataFrame) -> DataFrame:
-    """Rows (host, node) of the branches to remove."""
-    return tree.where((F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LOW)).select("host", "node")
+    """Rows (host, node, low) of the branches to remove, and of those suspect by name to keep."""
+    judged = F.col("pages") >= LEAST_PAGES
+    low = judged & (F.col("importance") < LOW)
+    named = (1 - NAME_WEIGHT * F.col("noise_words")) * F.col("importance") >= LOW
+    keep = (F.col("pages") > 1) & F.coalesce(named, F.lit(False))
+    return tree.where(low | keep).select("host", "node", low.alias("low"))
 
 
 def main_text(
@@ -335,14 +452,19 @@ def main_text(
         *keys, host_of(pages["url"]).alias("__host"), pages["html"].cast("string").alias("__html")
     )
     if low.count() <= broadcast_nodes:
-        by_host: dict[str, set[int]] = {}
+        by_host: dict[str, tuple[set[int], set[int]]] = {}
         for row in low.collect():
-            by_host.setdefault(row.host, set()).add(row.node)
+            by_host.setdefault(row.host, (set(), set()))[0 if row.low else 1].add(row.node)
         held = spark.sparkContext.broadcast(by_host)
     else:
         held = None
-        of_host = low.groupBy(F.col("host").alias("__host")).agg(F.collect_set("node").alias("__low"))
-        narrow = narrow.join(of_host, "__host", "left").select(*keys, "__host", "__html", "__low")
+        of_host = low.groupBy(F.col("host").alias("__host")).agg(
+            F.collect_set(F.when(F.col("low"), F.col("node"))).alias("__low"),
+            F.collect_set(F.when(~F.col("low"), F.col("node"))).alias("__kept"),
+        )
+        narrow = narrow.join(of_host, "__host", "left").select(
+            *keys, "__host", "__html", "__low", "__kept"
+        )
     schema = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema if not f.name.startswith("__")
     ) + ", text string"
@@ -352,10 +474,11 @@ def main_text(
         for batch in batches:
             hosts, texts = batch[n].to_pylist(), batch[n + 1].to_pylist()
             if held is None:
-                lows = [set(x or ()) for x in batch[n + 2].to_pylist()]
+                low_kept = zip(batch[n + 2].to_pylist(), batch[n + 3].to_pylist(), strict=True)
+                judged = [(set(low or ()), set(kept or ())) for low, kept in low_kept]
             else:
-                lows = [held.value.get(h, set()) for h in hosts]
-            done = [extract(page, low) for page, low in zip(texts, lows, strict=True)]
+                judged = [held.value.get(h, (set(), set())) for h in hosts]
+            done = [extract(page, *sets) for page, sets in zip(texts, judged, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch[i] for i in range(n)] + [pa.array(done, pa.string())],
                 [*batch.schema.names[:n], "text"],

@@ -132,3 +132,35 @@ def test_odd_rows(spark):
     assert got[4, ""] == "<" * 5000
     frame = spark.createDataFrame([], "page_id long, url string, html string")
     assert main_text(frame).collect() == []
+
+
+WRAPPED = {
+    "<div class='layout no-sidebar'><article><p>long text</p></article></div><div class='sidebar'>s</div>": "long text",
+    "<div class='content has-sidebar'><p>long text of it</p><div class='sidebar'>s</div></div>": "long text of it",
+    "<div class='post comments-open'><div class='entry-header'><h1>T</h1></div><p>long text</p></div>": "T\nlong text",
+    "<article class='post comments-open'><p>text of it</p></article><div class=comments><article "
+    "class='comment-body'>reply</article></div>": "text of it",
+    "<form><div class=menu>m</div><p>the whole page lies in a form</p></form>": "the whole page lies in a form",
+    "<aside><main><p>k</p></main></aside>": "k",
+    "<p>one <span class='share'>x</span> line, foo<button>b</button>bar</p>": "one line, foobar",
+}
+
+
+@pytest.mark.parametrize("page", WRAPPED)
+def test_wrappers_with_a_noise_word_keep_the_article(page):
+    assert extract(page, set()) == WRAPPED[page]
+
+
+@pytest.mark.parametrize("broadcast_nodes", [0, 1_000_000])
+def test_names_lower_importance_and_the_tree_decides(spark, broadcast_nodes):
+    def page(i):
+        return (
+            f"<body><div class='lead banner-text'>lead of {i}</div><div class='info-banner'>same for all</div>"
+            f"<div class='sidebar'><p>side {i % 2}</p></div><p>{' '.join(f'w{i}x{k}' for k in range(20))}</p></body>"
+        )
+
+    rows = [(i, f"http://n.example/{i}", page(i)) for i in range(12)]
+    got = _texts(spark, rows, broadcast_nodes=broadcast_nodes)
+    for i in range(12):
+        words = " ".join(f"w{i}x{k}" for k in range(20))
+        assert got[i, f"http://n.example/{i}"] == f"lead of {i}\n{words}"
