@@ -29,7 +29,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = site_style.main_text(table(spark, sf_dir, "pages"))
+    texts = site_style.main_text(table(spark, sf_dir, "pages"), caution=site_style.EAGER)
     return texts.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
 
 

@@ -15,8 +15,11 @@ seen the node on one page only, such an element goes, unless it holds most of th
 name also says article and it holds the headline. An element around an article or main part is never
 noise by its name.
 
-A host's node is judged only from ``LEAST_PAGES`` pages on, and a page that would lose half of its
-text or more by judged branches keeps them all: such a host is one of copies, not of boilerplate.
+Importance is weighted by confidence: ``caution`` imaginary pages of full importance stand beside a
+node's own pages, so few pages must agree more than many to make a branch low. Pages of a host with
+the same text (tags, scripts and white space aside) count as one page together: a host or group of
+copies says nothing about boilerplate and keeps its text. Pages that differ in any text are pages of
+their own.
 
 Statistics are summed inside tasks first and then by (host, node, feature), so a hot host is spread
 over all of its features. The judged branches of all hosts are broadcast if there are at most
@@ -43,7 +46,8 @@ from pyspark.sql import functions as F
 from stratalake.llm.common import settings
 from stratalake.session import staged
 
-LEAST_PAGES = 8
+#: Imaginary pages of full importance. At 1 a node needs five pages to be low, at ``EAGER`` two.
+CAUTION, EAGER = 1.0, 0.4
 LOW = 0.2
 #: How much of its importance a node loses if its name has noise words alone.
 NAME_WEIGHT = 0.8
@@ -91,6 +95,7 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
+_NO_TEXT = r"(?is)<(script|style|template|noscript)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>|\s+"
 
 
 @dataclass
@@ -307,8 +312,8 @@ def close_open_inline(stack: list[Open], tag: str, close) -> None:
             return
 
 
-def main_blocks(page: str, kept: Set[int] = frozenset()) -> list[Block]:
-    blocks = [b for b in parse(page)[0] if kept.issuperset(b.named)]
+def main_blocks(page: str, low: Set[int] = frozenset(), kept: Set[int] = frozenset()) -> list[Block]:
+    blocks = [b for b in parse(page)[0] if low.isdisjoint(b.nodes) and kept.issuperset(b.named)]
     return [b for b in blocks if b.main] or blocks
 
 
@@ -325,14 +330,10 @@ def _joined(blocks: list[Block]) -> str:
     return "".join(parts)
 
 
-def extract(page: str | None, low: set[int], kept: Set[int] = frozenset()) -> str:
+def extract(page: str | None, low: Set[int], kept: Set[int] = frozenset()) -> str:
     """The page's text without the branches in ``low``; ``kept`` are nodes that their name makes
     suspect and the tree keeps."""
-    blocks = main_blocks(page, kept) if page else []
-    if low:
-        left = [b for b in blocks if low.isdisjoint(b.nodes)]
-        if 2 * sum(len(b.text) for b in left) > sum(len(b.text) for b in blocks):
-            blocks = left
+    blocks = main_blocks(page, low, kept) if page else []
     return _joined(blocks)
 
 
@@ -369,16 +370,37 @@ def _page_features(page: str) -> Iterator[tuple[int, int, int, int]]:
         yield node, kind, feature, times
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
+def _digest() -> Column:
+    """Digest of a page's host and text, white space aside."""
+    text = F.regexp_replace(F.coalesce("html", F.lit("")), _NO_TEXT, "")
+    return F.xxhash64("host", text)
+
+
+def _narrow(pages: DataFrame) -> DataFrame:
+    return pages.select(host_of(pages["url"]).alias("host"), pages["html"].cast("string").alias("html"))
+
+
+def copied_pages(pages: DataFrame) -> DataFrame:
+    """Rows (digest, copies) of the texts that several pages of a host have."""
+    digests = _narrow(pages).select(_digest().alias("digest"))
+    return digests.groupBy("digest").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+
+
+def style_tree(pages: DataFrame, copies: DataFrame | None = None) -> DataFrame:
     """Rows (host, node, pages, presentation, content, importance, noise_words) of all hosts' style
-    trees; noise_words is the share in the name of a node that its name makes suspect."""
-    narrow = pages.select(host_of(pages["url"]).alias("host"), pages["html"].cast("string").alias("html"))
+    trees; noise_words is the share in the name of a node that its name makes suspect. Pages in
+    ``copies`` share the weight of one page."""
+    narrow = _narrow(pages).withColumn("weight", F.lit(1.0))
+    if copies is not None:
+        weight = 1 / F.coalesce("copies", F.lit(1))
+        keyed = _narrow(pages).withColumn("digest", _digest())
+        narrow = keyed.join(copies, "digest", "left").select("host", "html", weight.alias("weight"))
     names = ["host", "node", "kind", "feature", "pages", "times", "spread"]
     schema = (
-        "host string, node bigint, kind int, feature bigint, pages bigint, times bigint, "
+        "host string, node bigint, kind int, feature bigint, pages double, times double, "
         "spread double"
     )
-    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+    kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
 
     def batch_of(sums: dict) -> pa.RecordBatch:
         rows = [(*key, *value) for key, value in sums.items()]
@@ -388,12 +410,12 @@ def style_tree(pages: DataFrame) -> DataFrame:
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple, list] = {}
         for batch in batches:
-            for host, page in zip(batch[0].to_pylist(), batch[1].to_pylist(), strict=True):
+            for host, page, weight in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for node, kind, feature, times in _page_features(page or ""):
-                    at = sums.setdefault((host, node, kind, feature), [0, 0, 0.0])
-                    at[0] += 1
-                    at[1] += times
-                    at[2] += times * math.log(times)
+                    at = sums.setdefault((host, node, kind, feature), [0.0, 0.0, 0.0])
+                    at[0] += weight
+                    at[1] += weight * times
+                    at[2] += weight * times * math.log(times)
             if len(sums) > _TASK_FEATURES:
                 yield batch_of(sums)
                 sums = {}
@@ -402,7 +424,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
     counted = (
         narrow.mapInArrow(features, schema)
         .groupBy("host", "node", "kind", "feature")
-        .agg(F.sum("pages").alias("pages"), F.sum("times").alias("times"), F.sum("spread").alias("spread"))
+        .agg(*[F.round(F.sum(c), 9).alias(c) for c in ("pages", "times", "spread")])
     )
     # Entropy of a feature over pages: log(times) - sum(c log c) / times.
     look, content = F.col("kind") == _LOOK, F.col("kind") == _CONTENT
@@ -432,22 +454,29 @@ def style_tree(pages: DataFrame) -> DataFrame:
     )
 
 
-def low_branches(tree: DataFrame) -> DataFrame:
+def low_branches(tree: DataFrame, caution: float = CAUTION) -> DataFrame:
     """Rows (host, node, low) of the branches to remove, and of those suspect by name to keep."""
-    judged = F.col("pages") >= LEAST_PAGES
-    low = judged & (F.col("importance") < LOW)
-    named = (1 - NAME_WEIGHT * F.col("noise_words")) * F.col("importance") >= LOW
-    keep = (F.col("pages") > 1) & F.coalesce(named, F.lit(False))
+    pages = F.col("pages")
+    importance = (pages * F.col("importance") + caution) / (pages + caution)
+    low = (pages > 1) & (importance < LOW)
+    named = (1 - NAME_WEIGHT * F.col("noise_words")) * importance >= LOW
+    keep = ~low & (pages > 1) & F.coalesce(named, F.lit(False))
     return tree.where(low | keep).select("host", "node", low.alias("low"))
 
 
 def main_text(
-    pages: DataFrame, keys: tuple[str, ...] = ("page_id", "url"), broadcast_nodes: int = BROADCAST_NODES
+    pages: DataFrame,
+    keys: tuple[str, ...] = ("page_id", "url"),
+    broadcast_nodes: int = BROADCAST_NODES,
+    caution: float = CAUTION,
 ) -> DataFrame:
     """Rows (*keys, text) of all rows of ``pages`` (url, html and the keys)."""
     spark = pages.sparkSession
     with settings(spark, _BATCHES):
-        low = staged(low_branches(style_tree(pages)), "low-branches")
+        copies = staged(copied_pages(pages), "copied-pages")
+        if copies.count() <= broadcast_nodes:
+            copies = F.broadcast(copies)
+        low = staged(low_branches(style_tree(pages, copies), caution), "low-branches")
     narrow = pages.select(
         *keys, host_of(pages["url"]).alias("__host"), pages["html"].cast("string").alias("__html")
     )

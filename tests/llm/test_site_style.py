@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 from stratalake.llm.registry import op2_html_extraction
-from stratalake.llm.site_style import extract, main_text, style_tree
+from stratalake.llm.site_style import EAGER, extract, main_text, style_tree
 
 SF = "/root/testdata/sf0.01"
 
@@ -164,3 +164,18 @@ def test_names_lower_importance_and_the_tree_decides(spark, broadcast_nodes):
     for i in range(12):
         words = " ".join(f"w{i}x{k}" for k in range(20))
         assert got[i, f"http://n.example/{i}"] == f"lead of {i}\n{words}"
+
+
+@pytest.mark.parametrize("broadcast_nodes", [0, 1_000_000])
+def test_few_pages_and_stubs_lose_the_same_blocks(spark, broadcast_nodes):
+    rows = _site(2) + [(100 + i, u.replace("h.e", "seven.e"), h) for i, u, h in _site(7)]
+    menu = "<div class='list'>" + "<p>same long entry</p>" * 40 + "</div>"
+    stub = [(200 + i, f"http://stub.example/{i}", f"<body>{menu}<div class=t>short {i}</div></body>") for i in range(9)]
+    copied = [(300 + i, f"http://copy.example/{i}", f"<body><div>one</div><div>text</div><a href='{i}'></a></body>") for i in range(9)]
+    got = _texts(spark, rows + stub + copied, broadcast_nodes=broadcast_nodes, caution=EAGER)
+    for (i, _), text in got.items():
+        if i < 200:
+            words = " ".join(f"w{i % 100}x{k}" for k in range(20))
+            assert text == f"{words}\nsecond {i % 100}"
+        else:
+            assert text == (f"short {i - 200}" if i < 300 else "one\ntext")
