@@ -15,6 +15,7 @@ whatever their names, are ignored.
 from __future__ import annotations
 
 import math
+import re
 import sys
 import zlib
 from array import array
@@ -35,13 +36,17 @@ _GROUP_PIECES = 200_000
 _CACHED_PARTS = 200_000
 _CACHED_LENGTH = 32
 _TOKEN_BYTES = 4
+#: A space that is not before a word, found fast; one that also has white space before it.
+_LOOSE, _INSIDE = re.compile(r" (?:\s|\Z)"), re.compile(r"\s (?:\s|\Z)")
 
 
 class Tokenizer:
     """Byte-level BPE from a file of ranks; gives a text's ids as little-endian 32-bit numbers.
 
     The split pattern takes one space into the word after it and never looks back over it, so a
-    text without double spaces falls apart at its spaces and frequent parts are looked up.
+    text falls apart at its spaces and frequent parts are looked up. A space after white space that is
+    not before a word lies inside a run of white space (of any script), which the pattern takes as one
+    part: texts with such a space are encoded whole.
     """
 
     def __init__(self, ranks_path: str, pattern: str):
@@ -72,7 +77,7 @@ class Tokenizer:
         return ids
 
     def encode(self, text: str) -> bytes:
-        if "  " in text:
+        if "  " in text or _LOOSE.search(text) and _INSIDE.search(text):
             return self._raw(text)
         first, *rest = text.split(" ")
         return self._raw(first) + b"".join(map(self._part, rest))

@@ -100,3 +100,15 @@ def test_best_fit_follows_the_rule():
         made, ends = model(lengths, 100, limit)
         assert max(bins) + 1 == made
         assert [o + n for o, n in zip(offsets, lengths)] == ends
+
+
+def test_white_space_of_any_script_is_cut_as_the_library_cuts_it():
+    ours, theirs = tokenizer(*PATHS), library()
+    samples = ["a \xa0 \xa0 b", "a\xa0 ", "\n \n a", "a \u3000 \u2003 b", "x\xa0 y", "a\x85 \x85 b"]
+    rng = random.Random(6)
+    samples += ["".join(rng.choices("  \n\t\xa0\xa0\u3000a'sé1. ", k=30)) for _ in range(1000)]
+    samples += ["".join(rng.choices(" \xa0a", k=12)).replace("  ", " ") for _ in range(1000)]
+    for text in samples:
+        assert np.frombuffer(ours.encode(text), "<u4").tolist() == theirs.encode(
+            text, add_special_tokens=False
+        ).ids, repr(text)
