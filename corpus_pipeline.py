@@ -67,7 +67,10 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return packing.pack_documents(
-        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+        docs,
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        added=packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json")),
     )
 
 

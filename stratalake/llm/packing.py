@@ -14,6 +14,7 @@ whatever their names, are ignored.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 import sys
@@ -49,7 +50,7 @@ class Tokenizer:
     part: texts with such a space are encoded whole.
     """
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, added: tuple[tuple[str, int], ...] = ()):
         from tiktoken import Encoding
         from tiktoken.load import load_tiktoken_bpe
 
@@ -58,6 +59,8 @@ class Tokenizer:
             "ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
         self._known: dict[str, bytes] = {}
+        self._added = {token: i.to_bytes(_TOKEN_BYTES, "little") for token, i in added}
+        self._borders = re.compile(f"({'|'.join(map(re.escape, self._added))})")
 
     def _raw(self, text: str) -> bytes:
         ids = array("I", self._ids(text))
@@ -77,18 +80,31 @@ class Tokenizer:
         return ids
 
     def encode(self, text: str) -> bytes:
+        """Ids of ``text``; added tokens in it have their own and end the text before them."""
+        if self._added and any(token in text for token in self._added):
+            parts = self._borders.split(text)
+            return b"".join(self._added[p] if p in self._added else self._plain(p) for p in parts if p)
+        return self._plain(text)
+
+    def _plain(self, text: str) -> bytes:
         if "  " in text or _LOOSE.search(text) and _INSIDE.search(text):
             return self._raw(text)
         first, *rest = text.split(" ")
         return self._raw(first) + b"".join(map(self._part, rest))
 
 
-_TOKENIZERS: dict[tuple[str, str], Tokenizer] = {}
+def added_tokens(json_path: str) -> tuple[tuple[str, int], ...]:
+    """The added tokens of a ``tokenizers`` file and their ids."""
+    with open(json_path, encoding="utf-8") as file:
+        return tuple((t["content"], t["id"]) for t in json.load(file)["added_tokens"])
+
 
+_TOKENIZERS: dict[tuple, Tokenizer] = {}
 
-def tokenizer(ranks_path: str, pattern: str) -> Tokenizer:
+
+def tokenizer(ranks_path: str, pattern: str, added: tuple[tuple[str, int], ...] = ()) -> Tokenizer:
     """One tokenizer per worker process and file."""
-    key = (ranks_path, pattern)
+    key = (ranks_path, pattern, added)
     if key not in _TOKENIZERS:
         _TOKENIZERS[key] = Tokenizer(*key)
     return _TOKENIZERS[key]
@@ -111,6 +127,7 @@ def token_pieces(
     id_col: str = "doc_id",
     text_col: str = "text",
     with_ids: bool = False,
+    added: tuple[tuple[str, int], ...] = (),
 ) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32[, ids]) of all documents."""
     end = end_id.to_bytes(_TOKEN_BYTES, "little")
@@ -120,7 +137,7 @@ def token_pieces(
         schema, names = schema + ", ids binary", [*names, "ids"]
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(ranks_path, pattern).encode
+        encode = tokenizer(ranks_path, pattern, added).encode
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
@@ -209,11 +226,16 @@ def pack_pieces(
 
 
 def pack_documents(
-    docs: DataFrame, ranks_path: str, pattern: str, max_tokens: int = MAX_TOKENS, **columns: str
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    max_tokens: int = MAX_TOKENS,
+    added: tuple[tuple[str, int], ...] = (),
+    **columns: str,
 ) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     with settings(docs.sparkSession, {"spark.sql.execution.arrow.maxBytesPerBatch": "16m"}):
         pieces = staged(
-            token_pieces(docs, ranks_path, pattern, max_tokens, **columns), "token-pieces"
+            token_pieces(docs, ranks_path, pattern, max_tokens, added=added, **columns), "token-pieces"
         )
     return pack_pieces(pieces, max_tokens)

@@ -87,6 +87,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"),
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
         public_tokenizers.PATTERN,
+        added=packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json")),
     )
 
 

@@ -8,7 +8,8 @@ import pandas as pd
 import public_tokenizers
 from tokenizers import Tokenizer as Library
 
-from stratalake.llm.packing import best_fit, cut, pack_documents, tokenizer
+from stratalake.llm import packing
+from stratalake.llm.packing import added_tokens, best_fit, cut, pack_documents, tokenizer
 from stratalake.llm.registry import op10_packing
 
 SF = "/root/testdata/sf0.001"
@@ -112,3 +113,19 @@ def test_white_space_of_any_script_is_cut_as_the_library_cuts_it():
         assert np.frombuffer(ours.encode(text), "<u4").tolist() == theirs.encode(
             text, add_special_tokens=False
         ).ids, repr(text)
+
+
+def test_added_tokens_are_those_of_the_library_at_its_default(spark, tmp_path):
+    json_path = public_tokenizers.path("byte_bpe_50k.json")
+    ours, theirs = tokenizer(*PATHS, added_tokens(json_path)), Library.from_file(json_path)
+    samples = [
+        "<|endoftext|> x", "a <|endoftext|>", "a\xa0 <|endoftext|><|endoftext|>\n \n b", "<|endoftext|", "",
+        "it <|endoftext|>'s", "x  <|endoftext|>  y",
+    ]
+    for text in samples:
+        ids = theirs.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ours.encode(text), "<u4").tolist() == ids, repr(text)
+    assert theirs.encode(samples[0], add_special_tokens=False).ids == [50256, 2124]
+    spark.createDataFrame([(1, samples[0])], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    row = op10_packing(spark, str(tmp_path)).first()
+    assert (row.length, row.ids_crc32) == (3, zlib.crc32(np.array([50256, 2124, 0], "<u4").tobytes()))
