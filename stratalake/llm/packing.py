@@ -5,7 +5,8 @@ in groups of about ``_GROUP_SEQUENCES`` sequences' worth of tokens, so a group n
 corpus, and every group is packed by itself. Pieces arrive longest first. A fixed number of bins
 is open; a bit set marks which amounts of free space occur among them, so the tightest bin that
 still fits is the lowest set bit from the piece's length upwards. When all bins are open and none
-fits, the fullest closes.
+fits, the fullest closes. With ``OPEN_BINS`` above a group's usual number of sequences that happens
+only if most pieces are longer than half a sequence; else a group is plain best fit decreasing.
 
 Defined cases: a NULL text is empty; an empty document is its end token alone. A NULL id and
 repeated rows are packed like any others. An empty table gives an empty result. Other columns,
@@ -196,7 +197,7 @@ def best_fit(lengths: list[int], capacity: int, open_bins: int) -> tuple[list[in
 def pack_pieces(
     pieces: DataFrame, max_tokens: int = MAX_TOKENS, open_bins: int = OPEN_BINS
 ) -> DataFrame:
-    """``pieces`` with sequence_id and offset."""
+    """``pieces``, rows of Parquet files, with sequence_id and offset."""
     totals = pieces.agg(F.sum("length").alias("tokens"), F.count(F.lit(1)).alias("pieces")).first()
     groups = max(
         1,
@@ -215,7 +216,9 @@ def pack_pieces(
         group["offset"] = offsets
         return group.drop(columns="bucket")
 
-    bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups))
+    # The place in the file tells repeated rows apart, so they do not meet in one group.
+    place = pieces.metadataColumn("_metadata").getField("row_index")
+    bucket = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", place), F.lit(groups))
     schema = (
         "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, "
         "sequence_id bigint, offset bigint"

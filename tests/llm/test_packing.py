@@ -129,3 +129,12 @@ def test_added_tokens_are_those_of_the_library_at_its_default(spark, tmp_path):
     spark.createDataFrame([(1, samples[0])], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     row = op10_packing(spark, str(tmp_path)).first()
     assert (row.length, row.ids_crc32) == (3, zlib.crc32(np.array([50256, 2124, 0], "<u4").tobytes()))
+
+
+def test_repeated_rows_are_spread_over_the_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "_GROUP_PIECES", 50)
+    rows = [(None, None)] * 600 + [(7, "same text")] * 600
+    got = pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), *PATHS).toPandas()
+    check_laws(got, rows)
+    sizes = (got.sequence_id.astype("int64") // 2**32).value_counts()
+    assert len(sizes) > 12 and sizes.max() < 150
