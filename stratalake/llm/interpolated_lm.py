@@ -4,7 +4,8 @@ The model mixes the maximum-likelihood estimates of the orders 2, 1 and 0,
     p(w | v) = l2 c(v w) / c(v) + l1 c(w) / N + l0 / (V + 1),
 with weights that depend on how often the context v was seen (buckets by the power of two of its
 frequency). Counts come from the learning documents without one fold; the weights are learned on
-that deleted fold by expectation-maximisation. V + 1 leaves room for one unknown word.
+that deleted fold by expectation-maximisation. V + 1 leaves room for one unknown word. With
+``all_learned`` the scores' counts come from all learning documents, the deleted fold included.
 
 Counting is done once per batch and column block. A batch (documents that stand together in a file)
 sends the distinct words and word pairs it holds, with its own counts, to the block of their hash;
@@ -149,7 +150,7 @@ def _deleted_apart(ids: list, texts: list) -> list[tuple[int, list, list]]:
     ]
 
 
-def _requests(docs: DataFrame, blocks: int, batch_rows: int) -> DataFrame:
+def _requests(docs: DataFrame, blocks: int, batch_rows: int, all_learned: bool) -> DataFrame:
     """The distinct words and pairs of every part of every batch, by block."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +168,7 @@ def _requests(docs: DataFrame, blocks: int, batch_rows: int) -> DataFrame:
                     rows = [
                         (
                             kind, block, file, batch, 2 * first + deleted, _packed(distinct[a:b]),
-                            _small(n_learned[a:b]) if kind == 0 else None, _small(n_main[a:b]),
+                            _small(n_learned[a:b]) if kind == 0 or all_learned else None, _small(n_main[a:b]),
                         )
                         for block, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))
                         if a < b
@@ -197,9 +198,9 @@ def _reply(asked: pd.DataFrame) -> pd.DataFrame:
     carries the block's totals."""
     hashes = [_unpacked(h) for h in asked["hashes"]]
     distinct, place = np.unique(np.concatenate(hashes), return_inverse=True)
-    words = int(asked["kind"].iloc[0]) == 0
+    both = asked["learned"].notna().all()
     totals = {}
-    for column in ("learned", "main") if words else ("main",):
+    for column in ("learned", "main") if both else ("main",):
         counts = np.concatenate([_counts(c) for c in asked[column]])
         totals[column] = np.zeros(len(distinct), np.int64)
         np.add.at(totals[column], place, counts)
@@ -233,18 +234,18 @@ def bucket_of(context_count: np.ndarray) -> np.ndarray:
     )
 
 
-def _looked_up(replies: pd.DataFrame, texts: list) -> tuple[Tokens, np.ndarray, ...]:
-    """Tokens, and per token the counts: learned and main of the word, main of pair and context."""
+def _looked_up(replies: pd.DataFrame, texts: list, counted: str = "main") -> tuple[Tokens, np.ndarray, ...]:
+    """Tokens, and per token the counts: learned of the word; ``counted`` of word, context and pair."""
     t = tokens_of(texts)
     columns = []
     for kind, values in enumerate((t.word, t.pair)):
         own = replies[replies["kind"] == kind].sort_values("block")
         distinct, place = np.unique(values, return_inverse=True)
-        for column in ("learned", "main") if kind == 0 else ("main",):
+        for column in ("learned", counted) if kind == 0 else (counted,):
             counts = np.concatenate([_counts(c) for c in own[column]])
             columns.append(counts[place])
-            if kind == 0 and column == "main":  # every context is a token of the same part
-                columns.append(counts[np.searchsorted(distinct, t.context)])
+        if kind == 0:  # every context is a token of the same part
+            columns.append(counts[np.searchsorted(distinct, t.context)])
     learned, main, context, pair = columns
     return t, learned, main, context, pair
 
@@ -294,7 +295,9 @@ def learn_weights(events: pd.DataFrame, r0: float, rounds: int = 50) -> np.ndarr
     return weights
 
 
-def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score_corpus(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", all_learned: bool = False
+) -> DataFrame:
     """One row per row of ``docs`` (rows of Parquet files): doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score."""
     spark = docs.sparkSession
@@ -304,13 +307,13 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     blocks = max(1, math.ceil(size / 12 / _BLOCK_ENTRIES))
     batch_rows = max(1, BATCH_BYTES * about[1] // max(size, 1))
     with settings(spark, _SETTINGS):
-        replies = staged(_requests(rows, blocks, batch_rows).groupBy("kind", "block").applyInPandas(_reply, _REPLY), "lm-replies")
+        replies = staged(_requests(rows, blocks, batch_rows, all_learned).groupBy("kind", "block").applyInPandas(_reply, _REPLY), "lm-replies")
         sums = replies.where("kind = 0").agg(*[F.sum(c) for c in ("n_learned", "vocabulary", "n_main", "vocabulary_main")]).first()
         totals = Totals(*(int(x or 0) for x in sums))
         answers = replies.select(F.col("file").alias(FILE), "batch", "kind", "block", "part", "learned", "main")
         batched = rows.withColumn("batch", F.floor(F.col(ROW) / batch_rows))
         weights = learn_weights(_events(batched, answers, totals).toArrow().to_pandas(), 1.0 / (totals.vocabulary_main + 1))
-        return _scored(batched, answers, totals, weights)
+        return _scored(batched, answers, totals, weights, "learned" if all_learned else "main")
 
 
 def _events(batched: DataFrame, answers: DataFrame, totals: Totals) -> DataFrame:
@@ -336,14 +339,17 @@ def _events(batched: DataFrame, answers: DataFrame, totals: Totals) -> DataFrame
     return found.groupBy("bucket", "b2", "b1").agg(F.sum("n").alias("n"))
 
 
-def _scored(batched: DataFrame, answers: DataFrame, totals: Totals, weights: np.ndarray) -> DataFrame:
+def _scored(
+    batched: DataFrame, answers: DataFrame, totals: Totals, weights: np.ndarray, counted: str
+) -> DataFrame:
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    model = Totals(totals.learned, totals.vocabulary, totals.learned, totals.vocabulary) if counted == "learned" else totals
 
     def score(documents: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         out = []
         for own, mine in _groups(documents, replies) if len(documents) else ():
-            t, learned, main, context, pair = _looked_up(mine, own["text"].tolist())
-            r2, r1, r0 = _ratios(context, pair, main, totals)
+            t, learned, words, context, pair = _looked_up(mine, own["text"].tolist(), counted)
+            r2, r1, r0 = _ratios(context, pair, words, model)
             w = weights[bucket_of(context)]
             logs = np.log10(w[:, 0] * r2 + w[:, 1] * r1 + w[:, 2] * r0)
             base = np.log10((learned + 1) / (totals.learned + totals.vocabulary + 1))

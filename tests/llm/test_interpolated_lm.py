@@ -108,3 +108,29 @@ def test_hashes_survive_packing():
     values = np.unique(np.random.default_rng(0).integers(0, 2**64, 1000, dtype=np.uint64))
     assert (lm._unpacked(lm._packed(values)) == values).all()
     assert len(lm._unpacked(lm._packed(values[:0]))) == 0
+
+
+def test_all_learning_documents_count_if_asked_for(spark, tmp_path, monkeypatch):
+    weights = np.tile([0.5, 0.3, 0.2], (lm.BUCKETS, 1))
+    monkeypatch.setattr(lm, "learn_weights", lambda events, r0: weights)
+    monkeypatch.setattr(lm, "BATCH_BYTES", 500)
+    rows = [(i, f"the cat {i % 6} sat on only{i} mat") for i in range(80)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    frame.repartition(2).write.parquet(str(tmp_path / "a"))
+    words, pairs = Counter(), Counter()
+    for i, text in rows:
+        if fold(i) != 2:
+            t = tokens(text)
+            words.update(t)
+            pairs.update(zip([None, *t], t))
+    n, r0 = sum(words.values()), 1 / (len(words) + 1)
+    expected = {}
+    for i, text in rows:
+        t = tokens(text)
+        expected[i] = sum(
+            math.log10(0.5 * (pairs[a, b] / words[a] if words[a] else 0) + 0.3 * words[b] / n + 0.2 * r0)
+            for a, b in zip([None, *t], t)
+        )
+    got = lm.score_corpus(spark.read.parquet(str(tmp_path / "a")), all_learned=True).collect()
+    assert len(got) == len(rows)
+    assert all(math.isclose(r.score, expected[r.doc_id], rel_tol=1e-9) for r in got)
