@@ -11,6 +11,7 @@ import corpus_pipeline
 from stratalake.llm import (
     co_training,
     decontamination,
+    divergence,
     exact_dedup,
     interpolated_lm,
     jaccard_join,
@@ -91,6 +92,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
 _QUERIES = (
     op1_decontamination,
     op2_html_extraction,
@@ -102,6 +107,7 @@ _QUERIES = (
     op8_sharding,
     op9_lm_scoring,
     op10_packing,
+    op13_source_divergence,
 )
 
 
@@ -111,4 +117,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_exact_dedup": exact_dedup.SQL, "op6_warc": warc.SQL}
+    return {
+        "op4_exact_dedup": exact_dedup.SQL,
+        "op6_warc": warc.SQL,
+        "op13_source_divergence": divergence.SQL,
+    }
