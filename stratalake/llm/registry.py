@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from stratalake.llm import (
+    bottom_k,
     co_training,
     decontamination,
     divergence,
@@ -18,6 +19,7 @@ from stratalake.llm import (
     packing,
     sharding,
     site_style,
+    term_scan,
     toxicity,
     warc,
 )
@@ -92,6 +94,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = (table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return term_scan.ranked_documents(docs, items)
+
+
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bottom_k.near_duplicates(table(spark, sf_dir, "documents"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
 
@@ -107,6 +120,8 @@ _QUERIES = (
     op8_sharding,
     op9_lm_scoring,
     op10_packing,
+    op11_ranked_search,
+    op12_minhash_dedup,
     op13_source_divergence,
 )
 
@@ -120,5 +135,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op4_exact_dedup": exact_dedup.SQL,
         "op6_warc": warc.SQL,
+        "op11_ranked_search": term_scan.SQL,
         "op13_source_divergence": divergence.SQL,
     }
