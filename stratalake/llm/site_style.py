@@ -16,14 +16,20 @@ name also says article and it holds the headline. An element around an article o
 noise by its name.
 
 Importance is weighted by confidence: ``caution`` imaginary pages of full importance stand beside a
-node's own pages, so few pages must agree more than many to make a branch low. Pages of a host with
-the same text (tags, scripts and white space aside) count as one page together: a host or group of
-copies says nothing about boilerplate and keeps its text. Pages that differ in any text are pages of
-their own.
+node's own pages, so few pages must agree more than many to make a branch low. Inside an article or
+main part it is at least ``CAUTION``: a sentence that two articles share is no evidence. Pages of a
+host whose main parts (the whole page, if it marks none) agree but for white space count as one page
+together, whatever stands around them: versions or copies say nothing about boilerplate. If
+low branches hold most of a main part's text, its pages are near copies of one another, and it is kept
+whole; a page that marks a main part never falls back to what lies around it.
+
+A header inside a main part that holds a headline belongs to it. As in browsers, elements nested deeper
+than ``DEEPEST`` levels are read as children of that level.
 
 Statistics are summed inside tasks first and then by (host, node, feature), so a hot host is spread
 over all of its features. The judged branches of all hosts are broadcast if there are at most
-``BROADCAST_NODES`` of them (8 bytes each); beyond that, pages are joined with those of their host.
+``BROADCAST_NODES`` of them (8 bytes each); beyond that, pages are joined with those of their host. The
+copied main parts are broadcast up to the same number (16 bytes each) and joined beyond.
 
 Defined cases: a NULL or empty html gives an empty text; a NULL url is a host of its own. Unclosed and
 stray tags are read as browsers do in the main. Repeated rows are pages like any others. An empty
@@ -38,6 +44,7 @@ import re
 from collections.abc import Iterator, Set
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -53,6 +60,8 @@ LOW = 0.2
 NAME_WEIGHT = 0.8
 _GAMMA = 0.9
 BROADCAST_NODES = 1_000_000
+#: Levels of nesting that browsers keep.
+DEEPEST = 512
 _TASK_FEATURES = 200_000
 _BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
@@ -95,10 +104,10 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
-_NO_TEXT = r"(?is)<(script|style|template|noscript)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>|\s+"
+HEADLINES = set("h1 h2 h3 h4 h5 h6".split())
 
 
-@dataclass
+@dataclass(slots=True)
 class Suspect:
     """An element that may be noise: by its tag or role, else by the words of its name."""
 
@@ -106,35 +115,58 @@ class Suspect:
     node: int
     by_tag: bool
     article_name: bool
+    in_main: bool
+    outer: Suspect | None  # the next one around it
     mains: int = 0  # article and main parts inside
-    headline: bool = False
+    headline: bool = False  # an h1 inside
+    heading: bool = False  # any heading inside
     chars: int = 0
+    gone: bool = False  # noise by tag, or inside such
+    named: bool = False  # noise by its name unless the tree keeps it
 
 
 @dataclass(slots=True)
-class Open:
-    """An element that is open."""
+class Element:
+    """An element, linked to the one around it: a page needs as much as it has elements, however
+    deeply they are nested."""
 
     tag: str
     node: int
     main: bool  # it is a main part or lies in one
     judged: bool  # blocks, and inline elements with a suspect name, are nodes of the tree
-    nodes: tuple[int, ...]  # judged nodes on the way to it
-    suspects: tuple[int, ...]  # places of the suspects it lies in or is
+    above: Element | None
+    depth: int
+    suspect: Suspect | None  # the innermost suspect that it is or lies in
     children: list[str] = field(default_factory=list)
 
 
 @dataclass(slots=True)
 class Block:
-    """Text without a block boundary or the border of a suspect, and the nodes it lies in."""
+    """Text without a block boundary or the border of a suspect, and the element it lies in."""
 
     text: str
-    nodes: tuple[int, ...]
-    main: bool
-    suspects: tuple[int, ...]
+    element: Element
     run: int  # blocks of a run have no block boundary between them
     space: tuple[bool, bool]  # white space before and after the text
-    named: tuple[int, ...] = ()  # nodes of suspects by name that are noise unless the tree keeps them
+
+    def nodes(self) -> set[int]:
+        """The judged nodes that it lies in."""
+        found, at = set(), self.element
+        while at is not None:
+            if at.judged:
+                found.add(at.node)
+            at = at.above
+        return found
+
+
+@dataclass(slots=True)
+class Page:
+    """Text blocks outside noise by tag, in order, (element, child sequence) of the elements outside
+    it, and the share of noise words of nodes that are suspects by name."""
+
+    blocks: list[Block]
+    looks: list[tuple[Element, str]]
+    shares: dict[int, float]
 
 
 @dataclass
@@ -175,16 +207,14 @@ def _node(parent: int, tag: str, attributes: str) -> Style:
     return value
 
 
-def parse(page: str) -> tuple[list[Block], list[tuple[int, str]], dict[int, float]]:
-    """The page's text blocks outside noise by tag, in order; (node, child sequence) of its elements;
-    the share of noise words of the nodes that are suspects by name."""
+def parse(page: str) -> Page:
     blocks: list[Block] = []
-    looks: list[tuple[int, str, tuple[int, ...]]] = []
+    looks: list[tuple[Element, str]] = []
     suspects: list[Suspect] = []
     shares: dict[int, float] = {}
     mains = 0
     run = 0
-    stack: list[Open] = [Open("", 0, False, False, (), ())]
+    stack: list[Element] = [Element("", 0, False, False, None, 0, None)]
     pieces: list[str] = []
 
     def text(piece: str) -> None:
@@ -200,9 +230,9 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]], dict[int, floa
             if words:
                 at, joined = stack[-1], " ".join(words)
                 space = (raw[0].isspace(), raw[-1].isspace())
-                blocks.append(Block(joined, at.nodes, at.main, at.suspects, run, space))
-                for place in at.suspects:
-                    suspects[place].chars += len(joined)
+                blocks.append(Block(joined, at, run, space))
+                if at.suspect:
+                    at.suspect.chars += len(joined)
             elif blocks and blocks[-1].run == run:
                 blocks[-1].space = (blocks[-1].space[0], True)
         run += boundary
@@ -210,11 +240,12 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]], dict[int, floa
     def close(count: int) -> None:
         """Close the innermost ``count`` elements."""
         for _ in range(count):
-            if stack[-1].tag not in BLOCK and len(stack[-1].suspects) > len(stack[-2].suspects):
+            if stack[-1].tag not in BLOCK and stack[-1].suspect is not stack[-2].suspect:
                 flush(boundary=False)
             gone = stack.pop()
             if gone.judged:
-                looks.append((gone.node, ",".join(gone.children), gone.suspects))
+                looks.append((gone, ",".join(gone.children)))
+            gone.children.clear()
 
     def close_open(tags: set[str], scope: set[str]) -> None:
         for depth in range(1, len(stack)):
@@ -253,6 +284,9 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]], dict[int, floa
             close_open({"p"}, {"button", "table", "td", "th"})
             if tag in CLOSED_BY:
                 close_open(CLOSED_BY[tag], SCOPE - {tag} if tag in ("td", "th") else SCOPE)
+        if len(stack) > DEEPEST:
+            flush(boundary=False)
+            close(1)
         parent = stack[-1]
         style = _node(parent.node, tag, attributes)
         if not parent.children or parent.children[-1] != tag:
@@ -263,46 +297,57 @@ def parse(page: str) -> tuple[list[Block], list[tuple[int, str]], dict[int, floa
             over = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
             at = over.end() if over else end
             continue
-        inside = parent.suspects
+        suspect = parent.suspect
         if style.main and style.share == 0:
             mains += 1
-            for place in inside:
-                suspects[place].mains += 1
-        elif tag == "h1":
-            for place in inside:
-                suspects[place].headline = True
+            if suspect:
+                suspect.mains += 1
+        elif tag in HEADLINES and suspect:
+            suspect.heading = True
+            suspect.headline |= tag == "h1"
         if style.by_tag or style.share:
             if tag not in BLOCK:
                 flush(boundary=False)
-            inside = (*inside, len(suspects))
-            suspects.append(Suspect(tag, style.node, style.by_tag, style.article_name))
+            suspect = Suspect(tag, style.node, style.by_tag, style.article_name, parent.main, suspect)
+            suspects.append(suspect)
             if style.share and not style.by_tag:
                 shares[style.node] = style.share
         judged = tag in BLOCK or style.share > 0 and not style.by_tag
-        nodes = (*parent.nodes, style.node) if judged else parent.nodes
-        stack.append(Open(tag, style.node, parent.main or style.main, judged, nodes, inside))
+        stack.append(
+            Element(tag, style.node, parent.main or style.main, judged, parent, len(stack), suspect)
+        )
     flush()
     close(len(stack) - 1)
+    _judge_suspects(suspects, blocks, mains)
+    return Page(
+        [b for b in blocks if not (b.element.suspect and b.element.suspect.gone)],
+        [(e, look) for e, look in looks if not (e.suspect and e.suspect.gone)],
+        shares,
+    )
+
+
+def _judge_suspects(suspects: list[Suspect], blocks: list[Block], mains: int) -> None:
+    """Which suspects are noise. An element comes after those around it."""
+    for found in reversed(suspects):
+        if found.outer:
+            found.outer.mains += found.mains
+            found.outer.headline |= found.headline
+            found.outer.heading |= found.heading
+            found.outer.chars += found.chars
     most = sum(len(b.text) for b in blocks) / 2
-    gone, named = set(), set()
-    for place, found in enumerate(suspects):
+    for found in suspects:
         if found.by_tag:
             around = found.mains == mains > 0 or found.tag == "form" and found.chars > most
-            if not around:
-                gone.add(place)
-        elif not (found.mains or found.chars > most):
-            named.add(place)
-    # A headline in an element whose name also says article is left to the tree.
-    named -= {p for p in named if suspects[p].article_name and suspects[p].headline}
-    blocks = [b for b in blocks if not b.suspects or gone.isdisjoint(b.suspects)]
-    for block in blocks:
-        if block.suspects:
-            block.named = tuple(suspects[p].node for p in block.suspects if p in named)
-    seen = [(node, look) for node, look, inside in looks if not inside or gone.isdisjoint(inside)]
-    return blocks, seen, shares
+            own_header = found.tag == "header" and found.in_main and found.heading
+            found.gone = not (around or own_header)
+        else:
+            # A headline in an element whose name also says article is left to the tree.
+            left = found.article_name and found.headline
+            found.named = not (found.mains or found.chars > most or left)
+        found.gone = found.gone or bool(found.outer and found.outer.gone)
 
 
-def close_open_inline(stack: list[Open], tag: str, close) -> None:
+def close_open_inline(stack: list[Element], tag: str, close) -> None:
     """An inline end tag closes its element unless a block began inside it."""
     for depth in range(1, len(stack)):
         if stack[-depth].tag == tag:
@@ -312,9 +357,44 @@ def close_open_inline(stack: list[Open], tag: str, close) -> None:
             return
 
 
-def main_blocks(page: str, low: Set[int] = frozenset(), kept: Set[int] = frozenset()) -> list[Block]:
-    blocks = [b for b in parse(page)[0] if low.isdisjoint(b.nodes) and kept.issuperset(b.named)]
-    return [b for b in blocks if b.main] or blocks
+def _low(element: Element, low: Set[int], known: dict[int, bool]) -> bool:
+    """Whether an element lies in a low branch."""
+    chain, at = [], element
+    while at is not None and id(at) not in known:
+        chain.append(at)
+        at = at.above
+    found = known[id(at)] if at is not None else False
+    for one in reversed(chain):
+        found = found or one.judged and one.node in low
+        known[id(one)] = found
+    return found
+
+
+def _unwanted(suspect: Suspect | None, kept: Set[int]) -> bool:
+    """Whether a suspect or one around it is noise by its name."""
+    while suspect is not None:
+        if suspect.named and suspect.node not in kept:
+            return True
+        suspect = suspect.outer
+    return False
+
+
+def main_blocks(page: Page, low: Set[int] = frozenset(), kept: Set[int] = frozenset()) -> list[Block]:
+    """Blocks of the main part; of the whole page if it marks none."""
+    wanted: dict[int, bool] = {}
+    blocks = []
+    for block in page.blocks:
+        key = id(block.element.suspect)
+        if key not in wanted:
+            wanted[key] = not _unwanted(block.element.suspect, kept)
+        if wanted[key]:
+            blocks.append(block)
+    main = [b for b in blocks if b.element.main]
+    known: dict[int, bool] = {}
+    stay = [b for b in main or blocks if not _low(b.element, low, known)]
+    if main and 2 * sum(len(b.text) for b in stay) < sum(len(b.text) for b in main):
+        return main  # near copies of one article
+    return stay
 
 
 def _joined(blocks: list[Block]) -> str:
@@ -333,7 +413,7 @@ def _joined(blocks: list[Block]) -> str:
 def extract(page: str | None, low: Set[int], kept: Set[int] = frozenset()) -> str:
     """The page's text without the branches in ``low``; ``kept`` are nodes that their name makes
     suspect and the tree keeps."""
-    blocks = main_blocks(page, low, kept) if page else []
+    blocks = main_blocks(parse(page), low, kept) if page else []
     return _joined(blocks)
 
 
@@ -346,54 +426,75 @@ def _hash(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text) >> 1
 
 
-#: Kinds of features of a node: that a page has it, a child sequence, a text, the share of noise words
-#: in its name in thousandths.
+#: Kinds of features of a node: that a page has it (1: inside a main part), a child sequence, a text,
+#: the share of noise words in its name in thousandths.
 _PAGE, _LOOK, _CONTENT, _NAME = 0, 1, 2, 3
 
 
-def _page_features(page: str) -> Iterator[tuple[int, int, int, int]]:
+def _page_features(page: Page) -> Iterator[tuple[int, int, int, int]]:
     """(node, kind, feature, times) of a page."""
-    blocks, looks, shares = parse(page)
     counts: dict[tuple[int, int, int], int] = {}
-    for node, look in looks:
-        counts[node, _PAGE, 0] = 1
-        if node in shares:
-            counts[node, _NAME, round(1000 * shares[node])] = 1
+    for element, look in page.looks:
+        node = element.node
+        counts[node, _PAGE, int(element.main)] = 1
+        if node in page.shares:
+            counts[node, _NAME, round(1000 * page.shares[node])] = 1
         key = (node, _LOOK, _hash(look))
         counts[key] = counts.get(key, 0) + 1
-    for block in blocks:
+    for block in page.blocks:
         feature = _hash(block.text)
-        for node in set(block.nodes):
+        for node in block.nodes():
             key = (node, _CONTENT, feature)
             counts[key] = counts.get(key, 0) + 1
     for (node, kind, feature), times in counts.items():
         yield node, kind, feature, times
 
 
-def _digest() -> Column:
-    """Digest of a page's host and text, white space aside."""
-    text = F.regexp_replace(F.coalesce("html", F.lit("")), _NO_TEXT, "")
-    return F.xxhash64("host", text)
+def main_digest(host: str, page: Page) -> int:
+    """Digest of a page's host and the text of its main part, white space aside."""
+    text = "".join(b.text for b in main_blocks(page))
+    return _hash(f"{host}\n{text.replace(' ', '')}")
 
 
 def _narrow(pages: DataFrame) -> DataFrame:
     return pages.select(host_of(pages["url"]).alias("host"), pages["html"].cast("string").alias("html"))
 
 
+def _with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = zip(batch["host"].to_pylist(), batch["html"].to_pylist(), strict=True)
+        digests = [main_digest(host, parse(page or "")) for host, page in rows]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(digests, pa.int64())], ["host", "html", "digest"]
+        )
+
+
 def copied_pages(pages: DataFrame) -> DataFrame:
-    """Rows (digest, copies) of the texts that several pages of a host have."""
-    digests = _narrow(pages).select(_digest().alias("digest"))
+    """Rows (digest, copies) of the main parts that several pages of a host have."""
+    digests = _narrow(pages).mapInArrow(_with_digest, "host string, html string, digest bigint")
     return digests.groupBy("digest").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
-def style_tree(pages: DataFrame, copies: DataFrame | None = None) -> DataFrame:
-    """Rows (host, node, pages, presentation, content, importance, noise_words) of all hosts' style
-    trees; noise_words is the share in the name of a node that its name makes suspect. Pages in
-    ``copies`` share the weight of one page."""
-    narrow = _narrow(pages).withColumn("weight", F.lit(1.0))
-    if copies is not None:
+def _weights(copies: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    found = copies.toArrow()
+    digests = found["digest"].to_numpy()
+    order = np.argsort(digests)
+    return digests[order], 1 / found["copies"].to_numpy()[order]
+
+
+def style_tree(
+    pages: DataFrame, copies: DataFrame | None = None, broadcast_nodes: int = BROADCAST_NODES
+) -> DataFrame:
+    """Rows (host, node, pages, presentation, content, importance, noise_words, main) of all hosts'
+    style trees; noise_words is the share in the name of a node that its name makes suspect. Pages
+    whose main part is in ``copies`` share the weight of one page."""
+    narrow = _narrow(pages).withColumn("weight", F.lit(None).cast("double"))
+    held = None
+    if copies is not None and copies.count() <= broadcast_nodes:
+        held = pages.sparkSession.sparkContext.broadcast(_weights(copies))
+    elif copies is not None:
+        keyed = _narrow(pages).mapInArrow(_with_digest, "host string, html string, digest bigint")
         weight = 1 / F.coalesce("copies", F.lit(1))
-        keyed = _narrow(pages).withColumn("digest", _digest())
         narrow = keyed.join(copies, "digest", "left").select("host", "html", weight.alias("weight"))
     names = ["host", "node", "kind", "feature", "pages", "times", "spread"]
     schema = (
@@ -402,6 +503,14 @@ def style_tree(pages: DataFrame, copies: DataFrame | None = None) -> DataFrame:
     )
     kinds = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
 
+    def weight_of(host: str, page: Page) -> float:
+        if held is None or not len(held.value[0]):
+            return 1.0
+        digests, weights = held.value
+        digest = main_digest(host, page)
+        at = min(int(np.searchsorted(digests, digest)), len(digests) - 1)
+        return float(weights[at]) if digests[at] == digest else 1.0
+
     def batch_of(sums: dict) -> pa.RecordBatch:
         rows = [(*key, *value) for key, value in sums.items()]
         columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
@@ -410,8 +519,10 @@ def style_tree(pages: DataFrame, copies: DataFrame | None = None) -> DataFrame:
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[tuple, list] = {}
         for batch in batches:
-            for host, page, weight in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for node, kind, feature, times in _page_features(page or ""):
+            for host, html, weight in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                page = parse(html or "")
+                weight = weight_of(host, page) if weight is None else weight
+                for node, kind, feature, times in _page_features(page):
                     at = sums.setdefault((host, node, kind, feature), [0.0, 0.0, 0.0])
                     at[0] += weight
                     at[1] += weight * times
@@ -436,6 +547,7 @@ def style_tree(pages: DataFrame, copies: DataFrame | None = None) -> DataFrame:
         F.count(F.when(look, 1)).alias("kinds"),
         F.avg(F.when(content, entropy)).alias("entropy"),
         F.max(F.when(F.col("kind") == _NAME, F.col("feature") / 1000)).alias("noise_words"),
+        F.max(F.when(F.col("kind") == _PAGE, F.col("feature"))).alias("main"),
     )
     several = F.col("pages") > 1
     shown = (F.log("looked") - F.col("looks") / F.col("looked")) / F.log("pages")
@@ -451,19 +563,52 @@ def style_tree(pages: DataFrame, copies: DataFrame | None = None) -> DataFrame:
         content.alias("content"),
         ((1 - share) * presentation + share * content).alias("importance"),
         "noise_words",
+        (F.col("main") == 1).alias("main"),
     )
 
 
 def low_branches(tree: DataFrame, caution: float = CAUTION) -> DataFrame:
     """Rows (host, node, low) of the branches to remove, and of those suspect by name to keep."""
     pages = F.col("pages")
-    importance = (pages * F.col("importance") + caution) / (pages + caution)
+    imaginary = F.when(F.col("main"), max(caution, CAUTION)).otherwise(caution)
+    importance = (pages * F.col("importance") + imaginary) / (pages + imaginary)
     low = (pages > 1) & (importance < LOW)
     named = (1 - NAME_WEIGHT * F.col("noise_words")) * importance >= LOW
     keep = ~low & (pages > 1) & F.coalesce(named, F.lit(False))
     return tree.where(low | keep).select("host", "node", low.alias("low"))
 
 
+def _keys(host: str, nodes: np.ndarray) -> np.ndarray:
+    """One number per node of a host."""
+    return nodes ^ np.int64(_hash(f"host {host}"))
+
+
+class _Branches:
+    """Judged branches of all hosts: sorted numbers, 8 bytes each."""
+
+    def __init__(self, low: DataFrame):
+        found = low.toArrow()
+        hosts = found["host"].combine_chunks().dictionary_encode()
+        salts = np.array([_hash(f"host {h}") for h in hosts.dictionary.to_pylist()], np.int64)
+        keys = found["node"].to_numpy() ^ salts[hosts.indices.to_numpy()] if len(found) else np.zeros(0, np.int64)
+        is_low = found["low"].to_numpy().astype(bool)
+        self.low, self.kept = np.sort(keys[is_low]), np.sort(keys[~is_low])
+
+    @staticmethod
+    def _of(held: np.ndarray, keys: np.ndarray, nodes: np.ndarray) -> set[int]:
+        if not len(held) or not len(keys):
+            return set()
+        at = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+        return set(nodes[held[at] == keys].tolist())
+
+    def of(self, host: str, page: Page) -> tuple[set[int], set[int]]:
+        """The low and the kept ones among a page's nodes."""
+        own = {e.node for e, _ in page.looks}
+        nodes = np.fromiter(own, np.int64, len(own))
+        keys = _keys(host, nodes)
+        return self._of(self.low, keys, nodes), self._of(self.kept, keys, nodes)
+
+
 def main_text(
     pages: DataFrame,
     keys: tuple[str, ...] = ("page_id", "url"),
@@ -474,17 +619,12 @@ def main_text(
     spark = pages.sparkSession
     with settings(spark, _BATCHES):
         copies = staged(copied_pages(pages), "copied-pages")
-        if copies.count() <= broadcast_nodes:
-            copies = F.broadcast(copies)
-        low = staged(low_branches(style_tree(pages, copies), caution), "low-branches")
+        low = staged(low_branches(style_tree(pages, copies, broadcast_nodes), caution), "low-branches")
     narrow = pages.select(
         *keys, host_of(pages["url"]).alias("__host"), pages["html"].cast("string").alias("__html")
     )
     if low.count() <= broadcast_nodes:
-        by_host: dict[str, tuple[set[int], set[int]]] = {}
-        for row in low.collect():
-            by_host.setdefault(row.host, (set(), set()))[0 if row.low else 1].add(row.node)
-        held = spark.sparkContext.broadcast(by_host)
+        held = spark.sparkContext.broadcast(_Branches(low))
     else:
         held = None
         of_host = low.groupBy(F.col("host").alias("__host")).agg(
@@ -501,13 +641,14 @@ def main_text(
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, texts = batch[n].to_pylist(), batch[n + 1].to_pylist()
-            if held is None:
-                low_kept = zip(batch[n + 2].to_pylist(), batch[n + 3].to_pylist(), strict=True)
-                judged = [(set(low or ()), set(kept or ())) for low, kept in low_kept]
-            else:
-                judged = [held.value.get(h, (set(), set())) for h in hosts]
-            done = [extract(page, *sets) for page, sets in zip(texts, judged, strict=True)]
+            done = []
+            for i, (host, html) in enumerate(zip(batch[n].to_pylist(), batch[n + 1].to_pylist(), strict=True)):
+                page = parse(html or "")
+                if held is None:
+                    low, kept = (set(batch[n + k][i].as_py() or ()) for k in (2, 3))
+                else:
+                    low, kept = held.value.of(host, page)
+                done.append(_joined(main_blocks(page, low, kept)))
             yield pa.RecordBatch.from_arrays(
                 [batch[i] for i in range(n)] + [pa.array(done, pa.string())],
                 [*batch.schema.names[:n], "text"],

@@ -179,3 +179,67 @@ def test_few_pages_and_stubs_lose_the_same_blocks(spark, broadcast_nodes):
             assert text == f"{words}\nsecond {i % 100}"
         else:
             assert text == (f"short {i - 200}" if i < 300 else "one\ntext")
+
+
+def _words(i, n=20):
+    return " ".join(f"w{i}x{k}" for k in range(n))
+
+
+def _article(host, pages, **how):
+    rows = [(i, f"http://{host}/{i}", html) for i, html in enumerate(pages)]
+    got = _texts(spark=how.pop("spark"), rows=rows, caution=EAGER, **how)
+    return [got[i, f"http://{host}/{i}"] for i in range(len(pages))]
+
+
+@pytest.mark.parametrize("broadcast_nodes", [0, 1_000_000])
+def test_versions_of_one_article_keep_it(spark, broadcast_nodes):
+    def page(i, views):
+        return (
+            f"<body><div class=top>Most read today: {['cats', 'dogs', 'fish'][i % 3]}</div><article><h1>T {views}</h1>"
+            f"<p>{_words(1)}</p><p>the end</p></article></body>"
+        )
+
+    for n in (2, 3, 9):
+        got = _article(f"v{n}.example", [page(i, i) for i in range(n)], spark=spark, broadcast_nodes=broadcast_nodes)
+        assert got == [f"T {i}\n{_words(1)}\nthe end" for i in range(n)]
+
+
+def test_near_copies_of_one_article_keep_it(spark):
+    pages = [
+        f"<body><div>same</div><main><h1>T</h1><p class=a>{_words(1)}</p><p class=b>{_words(2)}</p>"
+        f"<div class=views>seen by {'x' * (i + 1)}</div></main></body>"
+        for i in range(8)
+    ]
+    got = _article("near.example", pages, spark=spark)
+    assert got == [f"T\n{_words(1)}\n{_words(2)}\nseen by {'x' * (i + 1)}" for i in range(8)]
+
+
+def test_a_sentence_that_two_articles_share_stays(spark):
+    pages = [
+        f"<main><h1>Soup {w}</h1><p class=yield>Serves four people.</p><p>{_words(w)}</p></main>" for w in "ab"
+    ]
+    got = _article("r.example", pages, spark=spark)
+    assert got == [f"Soup {w}\nServes four people.\n{_words(w)}" for w in "ab"]
+
+
+def test_a_line_in_all_of_many_different_articles_goes(spark):
+    pages = [
+        f"<article><p>{_words(i)}</p><div class=follow><p>Follow us for more</p></div></article>" for i in range(12)
+    ]
+    assert _article("f.example", pages, spark=spark) == [_words(i) for i in range(12)]
+
+
+def test_a_header_with_a_headline_belongs_to_its_article():
+    page = (
+        "<header><h1>Site</h1></header><article><header><h2>T</h2><p>by me</p><nav>n</nav></header><p>text</p>"
+        "<section><header>no headline</header><p>more</p></section><footer>f</footer></article>"
+    )
+    assert extract(page, set()) == "T\nby me\ntext\nmore"
+
+
+def test_unclosed_tags_cost_in_proportion(spark):
+    deep = {n: "<div class='c'><p>" * n + "x" for n in (12_500, 50_000)}
+    assert [extract(page, set()) for page in deep.values()] == ["x", "x"]
+    rows = [(1, "http://deep.example/1", deep[50_000]), (2, "http://deep.example/2", "<nav>" * 100_000 + "<main>y")]
+    got = _texts(spark, rows, caution=EAGER)
+    assert got == {(1, rows[0][1]): "x", (2, rows[1][1]): "y"}
