@@ -30,35 +30,59 @@ def row_digest(columns: Sequence[str]) -> Column:
     return sha256_hex(F.concat(*[framed(c) for c in sorted(columns)]))
 
 
-def fingerprint(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), out: str = "sha256_hash"
-) -> DataFrame:
-    """Order-independent fingerprint of whole row sets, one per group.
+def _lanes() -> list[str]:
+    return [f"lane{lane}" for lane in range(_LANES)]
+
+
+def lane_sums(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """``by..., row_count, lane0...``: what the fingerprint of a row set is made from, per group.
 
     Row digests are added up lane by lane, so every map task sends one short row per group and a
     group of any size needs neither a sort nor a collected list. Repeated rows count (a plain XOR
     would cancel them).
     """
     digest = F.col("_digest")
-    lane_sums = [
-        F.sum(
-            F.conv(F.substring(digest, 1 + lane * _LANE_DIGITS, _LANE_DIGITS), 16, 10).cast(
-                "decimal(20,0)"
-            )
-        ).alias(f"_lane{lane}")
-        for lane in range(_LANES)
+    sums = [
+        F.coalesce(
+            F.sum(
+                F.conv(F.substring(digest, 1 + lane * _LANE_DIGITS, _LANE_DIGITS), 16, 10).cast(
+                    "decimal(20,0)"
+                )
+            ),
+            F.lit(0),
+        )
+        .cast("decimal(38,0)")
+        .alias(name)
+        for lane, name in enumerate(_lanes())
     ]
-    sums = (
+    return (
         df.select(*by, row_digest(columns).alias("_digest"))
         .groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("row_count"), *lane_sums)
+        .agg(F.count(F.lit(1)).alias("row_count"), *sums)
     )
-    parts = [F.col("row_count").cast("string")] + [
-        F.coalesce(F.col(f"_lane{lane}").cast("string"), F.lit("0")) for lane in range(_LANES)
+
+
+def merged_lanes(sums: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Lane sums of larger groups from those of their parts, without reading a row again."""
+    added = [
+        F.coalesce(F.sum(lane), F.lit(0)).cast("decimal(38,0)").alias(lane) for lane in _lanes()
     ]
+    return sums.groupBy(*by).agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count"), *added)
+
+
+def lanes_fingerprint(sums: DataFrame, by: Sequence[str] = (), out: str = "sha256_hash") -> DataFrame:
+    """The fingerprint that lane sums stand for."""
+    parts = [F.col(c).cast("string") for c in ("row_count", *_lanes())]
     return sums.select(*by, "row_count", sha256_hex(F.concat_ws(":", *parts)).alias(out))
 
 
+def fingerprint(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), out: str = "sha256_hash"
+) -> DataFrame:
+    """Order-independent fingerprint of whole row sets, one per group."""
+    return lanes_fingerprint(lane_sums(df, columns, by), by, out)
+
+
 def all_true(flags: Sequence[Column]) -> Column:
     """AND of all flags; an empty list is true."""
     return reduce(lambda a, b: a & b, flags, F.lit(True))

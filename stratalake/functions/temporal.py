@@ -53,7 +53,10 @@ def iso_text(day: Column) -> Column:
 
 
 def iso_timestamp_text(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
+    """ISO text; microseconds are shown where there are any."""
+    fraction = F.date_format(moment, "SSSSSS")
+    whole = F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.when(fraction == "000000", whole).otherwise(F.concat_ws(".", whole, fraction))
 
 
 def month_sequence(start: Column, end: Column) -> Column:

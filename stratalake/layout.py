@@ -76,3 +76,45 @@ def folder_size(spark: SparkSession, path: str) -> int:
     """Bytes stored below a folder."""
     files, target = file_system(spark, path)
     return files.getContentSummary(target).getLength()
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """All data files below a folder, or the file itself, in order of their names."""
+    files, target = file_system(spark, path)
+    listed, found = files.listFiles(target, True), []
+    while listed.hasNext():
+        file = listed.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            found.append(file.toString())
+    return sorted(found)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    files, target = file_system(spark, folder)
+    files.delete(target, True)
+
+
+def move_folder(spark: SparkSession, folder: str, to: str) -> None:
+    """Rename a folder; what was at ``to`` is replaced."""
+    files, source = file_system(spark, folder)
+    _, target = file_system(spark, to)
+    files.mkdirs(target.getParent())
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"{folder} could not be moved to {to}")
+
+
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Paths directly below a folder, in order; none if it does not exist."""
+    files, target = file_system(spark, folder)
+    return sorted(s.getPath().toString() for s in files.listStatus(target)) if files.exists(target) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    files, target = file_system(spark, path)
+    stream = files.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.constants import CUT, HIKE, HOLD
+from stratalake.operators.latest import latest_per_key
 from stratalake.session import staged
 
 
@@ -97,3 +98,53 @@ def classify_change(
     else:
         lagged = previous_value_split(df, series, order, value, buckets, "_previous")
     return lagged.withColumn(out, direction_of(F.col(value), F.col("_previous"))).drop("_previous")
+
+
+def year_edges(df: DataFrame, series: Sequence[str], day: str, value: str) -> DataFrame:
+    """``series..., year, first, last, last_value``: one row per series and year."""
+    return df.groupBy(*series, F.year(day).alias("year")).agg(
+        F.min(day).alias("first"), F.max(day).alias("last"), F.max_by(value, day).alias("last_value")
+    )
+
+
+def late_years(edges: DataFrame, late: DataFrame, series: Sequence[str], day: str) -> DataFrame:
+    """``year`` of every stored or late row whose label can change.
+
+    A late row changes its own label and that of the row after it. That row lies in the same year
+    or is the first one of the series' next year, among stored and late ones.
+    """
+    keys = [*series, "year"]
+    known = edges.select(*keys, F.lit(0).alias("_given"))
+    given = late.select(*series, F.year(day).alias("year"), F.lit(1).alias("_given"))
+    years = known.unionByName(given).groupBy(*keys).agg(F.max("_given").alias("_given"))
+    following = Window.partitionBy(*series).orderBy("year")
+    after = years.withColumn("_after", F.lead("year").over(following)).filter("_given = 1")
+    return after.select(F.explode(F.array("year", "_after")).alias("year")).filter("year IS NOT NULL").distinct()
+
+
+def relabelled(
+    stored: DataFrame,
+    late: DataFrame,
+    outside: DataFrame,
+    series: Sequence[str],
+    day: str,
+    value: str,
+    out: str = "direction",
+) -> DataFrame:
+    """Stored rows of some years together with late ones, labelled anew.
+
+    A late row replaces the stored one of its series and day. ``outside`` holds the edges
+    (:func:`year_edges`) of all other years: the row before a year's first one is the last of an
+    earlier year, so those rows themselves are not needed.
+    """
+    columns = [c for c in late.columns if c != out]
+    both = stored.select(*columns, F.lit(0).alias("_late")).unionByName(
+        late.select(*columns, F.lit(1).alias("_late"))
+    )
+    newest = latest_per_key(both, [*series, day], ["_late"]).drop("_late")
+    before = outside.select(*series, F.col("last").alias(day), F.col("last_value").alias(value))
+    rows = newest.withColumn("_edge", F.lit(False)).unionByName(
+        before.withColumn("_edge", F.lit(True)), allowMissingColumns=True
+    )
+    labelled = classify_change(rows, series, [day], value, [F.year(day)], out)
+    return labelled.filter(~F.col("_edge")).drop("_edge")

@@ -17,17 +17,24 @@ def upsert_latest(
     return latest_per_key(target.unionByName(updates), keys, newest_by)
 
 
+def first_per_key(rows: DataFrame, keys: Sequence[str], oldest_by: Sequence[str]) -> DataFrame:
+    """The row with the least ``oldest_by`` per key, reduced in every map task."""
+    firsts = rows.groupBy(*keys).agg(
+        F.min_by(F.struct(*rows.columns), F.struct(*oldest_by)).alias("_row")
+    )
+    return firsts.select("_row.*")
+
+
 def insert_absent(
     target: DataFrame, rows: DataFrame, keys: Sequence[str], oldest_by: Sequence[str]
 ) -> DataFrame:
     """The rows to append: first of each new key, keys the target already has left out.
 
     Both sides are reduced to one row per key before they meet, so no hot key meets a single task.
+    For a target much larger than ``rows`` use :class:`stratalake.sinks.upsert.KeyIndex`.
     """
-    firsts = rows.groupBy(*keys).agg(
-        F.min_by(F.struct(*rows.columns), F.struct(*oldest_by)).alias("_row")
-    )
-    return firsts.select("_row.*").join(target.select(*keys).distinct(), list(keys), "left_anti")
+    firsts = first_per_key(rows, keys, oldest_by)
+    return firsts.join(target.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def coalesce_update(target: DataFrame, patch: DataFrame, keys: Sequence[str]) -> DataFrame:

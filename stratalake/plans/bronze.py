@@ -3,19 +3,31 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratalake.functions.digest import fingerprint, row_digest
-from stratalake.layout import Lake, batch_folder, first_day, folder_size
+from stratalake.layout import (
+    Lake,
+    batch_folder,
+    delete_folder,
+    first_day,
+    folder_exists,
+    folder_size,
+    move_folder,
+)
 from stratalake.operators.columns import project, stamp
 from stratalake.plans.metadata import MetadataStore, now
 from stratalake.schemas import get_bronze_schema, record_schema
 from stratalake.sinks import write_partitioned
 
+#: Fixed value: how Spark names the partition folder of NULL.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def make_batch_id() -> str:
     return str(uuid.uuid4())
@@ -36,6 +48,116 @@ def bronze_schema(source: str):
         return record_schema(source).add("fetched_at", "timestamp").add("batch_id", "string")
 
 
+@dataclass(frozen=True)
+class Content:
+    """Records of one batch month as they are stored in the pending folder."""
+
+    day: date
+    row_count: int
+    sha256_hash: str
+
+
+class PendingBatch:
+    """Records written once to a folder that no reader of bronze sees, to be committed or discarded.
+
+    The source is evaluated by that write alone. What is fingerprinted, counted and committed is
+    what was stored, so a source that gives other rows each time it is evaluated cannot land rows
+    that its manifest entry does not describe. Committing renames folders.
+
+    A commit announces its paths in the manifest, renames, then confirms. If it is interrupted, the
+    next landing of the same content finds the announced folder and confirms that one.
+    """
+
+    def __init__(
+        self,
+        lake: Lake,
+        store: MetadataStore,
+        source: str,
+        records: DataFrame,
+        batch_date: Column,
+        fetched_at: datetime | None = None,
+        batch_id: str | None = None,
+    ) -> None:
+        self.lake, self.store, self.source, self.spark = lake, store, source, store.spark
+        self.fetched_at, self.batch_id = fetched_at or now(), batch_id or make_batch_id()
+        self.folder = f"{lake.bronze(source)}/_pending/{uuid.uuid4().hex}"
+        rows = stamped(records, self.fetched_at, self.batch_id).withColumns(
+            {"year": F.date_format(batch_date, "yyyy"), "month": F.date_format(batch_date, "MM")}
+        )
+        self._schema = bronze_schema(source)
+        columns = [f.name for f in self._schema.fields if f.name != "batch_id"]
+        try:
+            write_partitioned(rows.select(*columns, "year", "month"), self.folder, ["year", "month"])
+        except Exception:
+            self._record([{"fetch_date": None, "status": "FAILED"}])
+            self.discard()
+            raise
+
+    def rows(self) -> DataFrame:
+        """The stored rows; ``year`` and ``month`` are NULL where there was no batch date."""
+        schema = self._schema.add("year", "string").add("month", "string")
+        return self.spark.read.schema(schema).parquet(self.folder)
+
+    def contents(self) -> list[Content]:
+        """One per batch month, by month."""
+        fields = record_schema(self.source).fieldNames()
+        by_month = fingerprint(self.rows().filter("year IS NOT NULL"), fields, ["year", "month"])
+        found = [
+            Content(date(int(r.year), int(r.month), 1), r.row_count, r.sha256_hash)
+            for r in by_month.collect()
+        ]
+        return sorted(found, key=lambda content: content.day)
+
+    def commit(self, contents: Sequence[Content], fetch_dates: Mapping[date, date] = {}) -> dict[str, str]:
+        """Path per content. One that has landed before, under whatever month, keeps its path."""
+        known = self.store.landed_paths(self.source, {c.sha256_hash for c in contents})
+        paths = {}
+        fresh: dict[str, Content] = {}
+        for content in contents:
+            path = known.get(content.sha256_hash)
+            if path is None and content.sha256_hash not in fresh:
+                fresh[content.sha256_hash] = content
+                path = f"{self.lake.bronze(self.source)}/{batch_folder(content.day)}/batch_id={self.batch_id}"
+            if path is not None:
+                paths.setdefault(content.sha256_hash, path)
+        entries = [
+            {
+                "fetch_date": fetch_dates.get(content.day, content.day),
+                "file_path": paths[digest],
+                "sha256_hash": digest,
+                "status": "PENDING",
+            }
+            for digest, content in fresh.items()
+        ]
+        if entries:
+            self._record(entries)
+            for digest, content in fresh.items():
+                move_folder(self.spark, f"{self.folder}/{batch_folder(content.day)}", paths[digest])
+            self._record(
+                [
+                    {**e, "status": "SUCCESS", "byte_size": folder_size(self.spark, e["file_path"])}
+                    for e in entries
+                ]
+            )
+        return paths
+
+    def set_aside(self, folder: str) -> bool:
+        """Move the rows without a batch date to ``folder``; False if there are none."""
+        none = f"{self.folder}/year={_NO_VALUE}/month={_NO_VALUE}"
+        if not folder_exists(self.spark, none):
+            return False
+        move_folder(self.spark, none, folder)
+        return True
+
+    def discard(self) -> None:
+        """Remove what has not been committed."""
+        delete_folder(self.spark, self.folder)
+
+    def _record(self, entries: Sequence[dict]) -> None:
+        about = {"source": self.source, "batch_id": self.batch_id, "fetched_at": self.fetched_at}
+        self.store.write("file_manifest", [{**about, **entry} for entry in entries])
+
+
 def land(
     lake: Lake,
     store: MetadataStore,
@@ -50,54 +172,15 @@ def land(
     The fingerprint covers the records alone. The landing time and the batch id differ on every
     fetch and would make every content look new.
     """
-    fetched_at, batch_id = fetched_at or now(), batch_id or make_batch_id()
-    typed = project(records, record_schema(source))
-    content = fingerprint(typed, typed.columns).first()  # one row
-    if content.row_count == 0:
-        raise ValueError("an empty record set cannot be landed")
-    earlier = store.landed_path(source, content.sha256_hash)
-    if earlier:
-        return earlier
-
-    day = first_day(run_date)
-    path = f"{lake.bronze(source)}/{batch_folder(day)}/batch_id={batch_id}"
-    entry = {
-        "source": source,
-        "fetch_date": run_date,
-        "file_path": path,
-        "sha256_hash": content.sha256_hash,
-        "batch_id": batch_id,
-        "fetched_at": fetched_at,
-    }
+    typed, day = project(records, record_schema(source)), first_day(run_date)
+    pending = PendingBatch(lake, store, source, typed, F.lit(day), fetched_at, batch_id)
     try:
-        land_batches(lake, source, typed, F.lit(day), fetched_at, F.lit(batch_id))
-    except Exception:
-        store.write("file_manifest", [{**entry, "status": "FAILED"}])
-        raise
-    size = folder_size(store.spark, path)
-    store.write("file_manifest", [{**entry, "status": "SUCCESS", "byte_size": size}])
-    return path
-
-
-def land_batches(
-    lake: Lake,
-    source: str,
-    records: DataFrame,
-    batch_date: Column,
-    fetched_at: datetime | Column,
-    batch_id: Column,
-) -> str:
-    """Write records of one or many batch months in one job.
-
-    The batch id is a folder, so landing a batch again replaces exactly that batch.
-    """
-    rows = stamped(records, fetched_at, batch_id).withColumns(
-        {"year": F.date_format(batch_date, "yyyy"), "month": F.date_format(batch_date, "MM")}
-    )
-    columns = [*bronze_schema(source).fieldNames(), "year", "month"]
-    path = lake.bronze(source)
-    write_partitioned(rows.select(*columns), path, ["year", "month", "batch_id"])
-    return path
+        contents = pending.contents()
+        if not contents:
+            raise ValueError("an empty record set cannot be landed")
+        return pending.commit(contents, {day: run_date})[contents[0].sha256_hash]
+    finally:
+        pending.discard()
 
 
 def read_bronze(store: MetadataStore, source: str, *paths: str) -> DataFrame:

@@ -3,6 +3,7 @@
 Tables are append-only Parquet logs. Current rows come from folding the log by key: newest value
 wins, first landing wins, or last value that is not NULL wins. Nothing is read, changed and written
 back, so concurrent writers cannot lose each other's rows and no table is overwritten while read.
+Files of appends are put together from time to time (:meth:`MetadataStore.fold`).
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ from __future__ import annotations
 import secrets
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 from datetime import date, datetime, timezone
 from typing import Any
 
@@ -19,7 +20,16 @@ from pyspark.sql import functions as F
 
 from stratalake.constants import QUALITY_HISTORY_ROWS, RUN_LIST_DEFAULT, RUN_LIST_MAX
 from stratalake.functions.temporal import first_of_month, month_sequence
-from stratalake.layout import Lake, first_day, readable
+from stratalake.layout import (
+    Lake,
+    children,
+    data_files,
+    delete_folder,
+    first_day,
+    folder_exists,
+    move_folder,
+    read_text,
+)
 from stratalake.operators.filters import by_value
 from stratalake.operators.latest import latest_per_key, newest, newest_first, top_per_key
 from stratalake.operators.merge import fold_patches
@@ -153,11 +163,60 @@ class MetadataStore:
     # -- log access
 
     def _log(self, table: str) -> DataFrame:
+        """All rows of a log: its folded generations and the files that came after them.
+
+        Two listings decide what is read; no file is opened for its schema.
+        """
         schema = metadata_schema(table).add("_seq", "long")
-        path = self.lake.metadata(table)
-        if not readable(self.spark, path):
+        generations = self._generations(table)
+        folded = {name for generation in generations for name in self._folded_names(generation)}
+        paths = [f"{generation}/rows" for generation in generations]
+        paths += [f for f in self._files(table) if f.rsplit("/", 1)[-1] not in folded]
+        if not paths:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(path)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def _files(self, table: str) -> list[str]:
+        """Files of single appends."""
+        listed = children(self.spark, self.lake.metadata(table))
+        return [path for path in listed if path.endswith(".parquet")]
+
+    def _generations(self, table: str) -> list[str]:
+        """Folders of finished folds, oldest first."""
+        return sorted(children(self.spark, f"{self.lake.metadata(table)}/_folded"))
+
+    def _folded_names(self, generation: str) -> list[str]:
+        parts = data_files(self.spark, f"{generation}/names")
+        return [name for part in parts for name in read_text(self.spark, part).split()]
+
+    def fold(self, table: str) -> int:
+        """Put the files of all appends so far into one file, and return how many there were.
+
+        A generation holds their rows and their names and appears with one rename. From then on
+        readers leave the named files out, so removing them afterwards may be interrupted and
+        repeated, and an append that arrives meanwhile is neither lost nor read twice. Folding once
+        a month keeps a log at a dozen files a year, plus those of the current month.
+        """
+        log = self.lake.metadata(table)
+        generations = self._generations(table)
+        folded = {name for generation in generations for name in self._folded_names(generation)}
+        files = self._files(table)
+        new = [f for f in files if f.rsplit("/", 1)[-1] not in folded]
+        if len(new) > 1:
+            schema = metadata_schema(table).add("_seq", "long")
+            pending = f"{log}/_folding-{uuid.uuid4().hex}"
+            # Appends hold a handful of rows each.
+            rows = self.spark.read.schema(schema).parquet(*new).coalesce(1).sortWithinPartitions("_seq")
+            rows.write.parquet(f"{pending}/rows")
+            names = self.spark.createDataFrame([(f.rsplit("/", 1)[-1],) for f in new], "name string")
+            names.coalesce(1).write.text(f"{pending}/names")
+            move_folder(self.spark, pending, f"{log}/_folded/{len(generations):08d}-{uuid.uuid4().hex}")
+            files = new + [f for f in files if f not in new]
+        elif new:
+            files = [f for f in files if f not in new]
+        for file in files:
+            delete_folder(self.spark, file)
+        return len(new) if len(new) > 1 else 0
 
     def write(self, table: str, rows: Sequence[dict[str, Any]]) -> None:
         """Append a handful of metadata rows."""
@@ -180,12 +239,17 @@ class MetadataStore:
         if name == "processed_batches":
             return latest_per_key(log, ["source", "batch_date"], ["_seq"]).drop("_seq")
         if name == "file_manifest":
-            # The first successful landing of a content counts; failures only until then.
+            # The first successful landing of a content counts; failures only until then. A batch
+            # that failed before its content was known stands for itself.
             landed = log.withColumns(
-                {"_ok": (F.col("status") == "SUCCESS").cast("int"), "_age": -F.col("_seq")}
+                {
+                    "_ok": (F.col("status") == "SUCCESS").cast("int"),
+                    "_age": -F.col("_seq"),
+                    "_content": F.coalesce("sha256_hash", "batch_id"),
+                }
             )
-            return latest_per_key(landed, ["source", "sha256_hash"], ["_ok", "_age"]).drop(
-                "_ok", "_age", "_seq"
+            return latest_per_key(landed, ["source", "_content"], ["_ok", "_age"]).drop(
+                "_ok", "_age", "_seq", "_content"
             )
         return log.drop("_seq")
 
@@ -230,13 +294,26 @@ class MetadataStore:
 
     def landed_path(self, source: str, sha256_hash: str) -> str | None:
         """Path of an earlier landing of the same content."""
-        found = self.table("file_manifest").filter(
-            (F.col("source") == source)
-            & (F.col("sha256_hash") == sha256_hash)
-            & (F.col("status") == "SUCCESS")
+        return self.landed_paths(source, {sha256_hash}).get(sha256_hash)
+
+    def landed_paths(self, source: str, hashes: Collection[str]) -> dict[str, str]:
+        """Paths of earlier landings by content, for the contents of one job.
+
+        A landing that was announced but never confirmed counts if its folder is there: the rename
+        is the commit.
+        """
+        log = self._log("file_manifest").filter(
+            (F.col("source") == source) & F.col("sha256_hash").isin(list(hashes))
         )
-        row = found.select("file_path").first()
-        return row.file_path if row else None
+        rows = log.select("sha256_hash", "status", "file_path", "_seq").collect()  # few per content
+        found = {}
+        for row in sorted(rows, key=lambda r: (r.status != "SUCCESS", r["_seq"])):
+            if row.sha256_hash not in found and (
+                row.status == "SUCCESS"
+                or row.status == "PENDING" and folder_exists(self.spark, row.file_path)
+            ):
+                found[row.sha256_hash] = row.file_path
+        return found
 
     # -- read API
 

@@ -16,10 +16,9 @@ from pyspark.sql import functions as F
 
 from stratalake.constants import BSP_FX, PSA
 from stratalake.contracts import load_contract
-from stratalake.functions.digest import fingerprint
-from stratalake.layout import batch_folder, first_day, folder_size
+from stratalake.layout import batch_folder, first_day
 from stratalake.operators.columns import project
-from stratalake.plans.bronze import land, land_batches, make_batch_id, read_bronze
+from stratalake.plans.bronze import PendingBatch, land, make_batch_id, read_bronze
 from stratalake.plans.gold import Batch, Published, publish
 from stratalake.plans.metadata import MetadataStore, now
 from stratalake.plans.silver import transform, write_silver
@@ -58,11 +57,12 @@ def run_month(
         return RunResult(day, None, "SKIPPED")
     batch = Batch(day, store.create_run(source, run_date))
 
-    def bronze() -> DataFrame:
+    def bronze() -> Landed:
         path = land(store.lake, store, source, records, run_date)
         # The same content may have landed under an earlier month: tag it with this one.
         rows = read_bronze(store, source, path)
-        return rows.withColumns({"year": F.lit(f"{day.year}"), "month": F.lit(f"{day.month:02d}")})
+        rows = rows.withColumns({"year": F.lit(f"{day.year}"), "month": F.lit(f"{day.month:02d}")})
+        return Landed(rows, _row_counts(rows), {})
 
     return _chain(store, source, bronze, [batch], as_of)[0]
 
@@ -86,75 +86,77 @@ def run_backfill(
     batch_id = make_batch_id()
     days = months_between(start, end)
     batches = [Batch(d, run) for d, run in zip(days, store.create_runs(source, days))]
-    months = F.array(*[F.lit(d) for d in days])
     if batch_date is None:
-        dated = records.withColumn("_batch", F.explode(months))
+        dated = records.withColumn("_batch", F.lit(days[0]))
     else:
         month = F.trunc(F.col(batch_date).try_cast("date"), "month")
         tagged = records.withColumn("_batch", month)
-        dated = tagged.filter(F.col("_batch").between(days[0], days[-1]))
-        _quarantine_undated(store, source, tagged.filter(F.col("_batch").isNull()), batch_id)
+        dated = tagged.filter(F.col("_batch").isNull() | F.col("_batch").between(days[0], days[-1]))
+    typed = project(dated, record_schema(source).add("_batch", "date"))
 
-    def bronze() -> DataFrame:
-        typed = project(dated, record_schema(source).add("_batch", "date"))
-        return _land_months(store, source, typed, batch_id)
+    def bronze() -> Landed:
+        return _land_months(store, source, typed, batch_id, days if batch_date is None else [])
 
     return _chain(store, source, bronze, batches, as_of)
 
 
-def _land_months(store: MetadataStore, source: str, rows: DataFrame, batch_id: str) -> DataFrame:
+@dataclass(frozen=True)
+class Landed:
+    """Bronze rows under one month per content, rows per month, and the months of a content that
+    stands for several."""
+
+    rows: DataFrame
+    counts: Mapping[tuple[str, str], int]
+    copies: Mapping[date, Sequence[date]]
+
+
+def _land_months(
+    store: MetadataStore, source: str, rows: DataFrame, batch_id: str, whole: Sequence[date] = ()
+) -> Landed:
     """Land records of many months (``_batch``) in one job, each content once, and read them back.
 
-    As in :func:`stratalake.plans.bronze.land`, a month whose content has landed before, under
-    whatever month, is not written again; the others get an entry in the manifest.
+    As in :func:`stratalake.plans.bronze.land`, the source is evaluated once, and a month whose
+    content has landed before, under whatever month, is not written again. ``whole``: the months
+    that all get the one record set. Rows without a month are kept in quarantine.
     """
-    root, fields = store.lake.bronze(source), record_schema(source).fieldNames()
-    # One row per month of the job.
-    prints = {r["_batch"]: r["sha256_hash"] for r in fingerprint(rows, fields, ["_batch"]).collect()}
-    if not prints:
-        raise ValueError("an empty record set cannot be landed")
-    first: dict[str, date] = {}  # the month under which a new content lands
-    path_of: dict[str, str] = {}
-    for day in sorted(prints):
-        content = prints[day]
-        if content not in path_of:
-            earlier = store.landed_path(source, content)
-            path_of[content] = earlier or f"{root}/{batch_folder(day)}/batch_id={batch_id}"
-            if not earlier:
-                first[content] = day
-    at = now()
-    if first:
-        new = rows.filter(F.col("_batch").isin(list(first.values())))
-        land_batches(store.lake, source, new, F.col("_batch"), at, F.lit(batch_id))
-        entries = [
-            {
-                "source": source,
-                "fetch_date": day,
-                "file_path": path_of[content],
-                "sha256_hash": content,
-                "batch_id": batch_id,
-                "fetched_at": at,
-                "status": "SUCCESS",
-                "byte_size": folder_size(store.spark, path_of[content]),
-            }
-            for content, day in first.items()
-        ]
-        store.write("file_manifest", entries)
-    # Rows are read once per content; a content of several months is multiplied by a small list.
+    root = store.lake.bronze(source)
+    pending = PendingBatch(store.lake, store, source, rows, F.col("_batch"), batch_id=batch_id)
+    try:
+        contents = pending.contents()
+        pending.set_aside(f"{store.lake.quarantine(source)}/batch_id={batch_id}")
+        if not contents:
+            raise ValueError("an empty record set cannot be landed")
+        paths = pending.commit(contents)
+    finally:
+        pending.discard()
     months: dict[str, list[date]] = {}
-    for day, content in sorted(prints.items()):
-        months.setdefault(path_of[content], []).append(day)
+    counts = {}
+    for content in contents:
+        for day in whole or [content.day]:
+            months.setdefault(paths[content.sha256_hash], []).append(day)
+            counts[_text(day)] = content.row_count
+    # Rows are read once per content and tagged with the first of its months.
     landed = read_bronze(store, source, *months).withColumn(
         "_path", F.regexp_extract(F.input_file_name(), r"(year=\d+/month=\d+/batch_id=[^/]+)/", 1)
     )
-    known = F.from_json(
-        F.lit(json.dumps({p.removeprefix(f"{root}/"): [str(d) for d in ds] for p, ds in months.items()})),
-        "map<string,array<string>>",
-    )
-    dated = landed.withColumn("_month", F.explode(F.try_element_at(known, F.col("_path"))))
-    return dated.withColumns(
+    first = {p.removeprefix(f"{root}/"): str(days[0]) for p, days in months.items()}
+    month = F.try_element_at(F.from_json(F.lit(json.dumps(first)), "map<string,string>"), F.col("_path"))
+    dated = landed.withColumns({"year": F.substring(month, 1, 4), "month": F.substring(month, 6, 2)})
+    copies = {days[0]: days for days in months.values() if len(days) > 1}
+    return Landed(dated.drop("_path"), counts, copies)
+
+
+def _spread(silver: DataFrame, copies: Mapping[date, Sequence[date]]) -> DataFrame:
+    """Conformed rows of a content for all the months that it stands for."""
+    if not copies:
+        return silver
+    text = {f"{d:%Y-%m}": [f"{c:%Y-%m}" for c in days] for d, days in copies.items()}
+    known = F.from_json(F.lit(json.dumps(text)), "map<string,array<string>>")
+    own = F.concat_ws("-", "year", "month")
+    months = F.coalesce(F.try_element_at(known, own), F.array(own))
+    return silver.withColumn("_month", F.explode(months)).withColumns(
         {"year": F.substring("_month", 1, 4), "month": F.substring("_month", 6, 2)}
-    ).drop("_path", "_month")
+    ).drop("_month")
 
 
 def _chain(
@@ -165,11 +167,12 @@ def _chain(
     clock = _StageClock(store, batches)
     try:
         bronze = bronze_of()
-        landed = _row_counts(bronze)
+        landed = bronze.counts
         clock.done("ingest", landed, landed)
         options = {"as_of": as_of} if source not in GOLD_OF else {}
         present = [d for d in days if _text(d) in landed]
-        silver_path = write_silver(lake, transform(bronze, source, by, **options), source, present)
+        conformed = _spread(transform(bronze.rows, source, by, **options), bronze.copies)
+        silver_path = write_silver(lake, conformed, source, present)
         silver = _read_silver(store, source, silver_path, present)
         counts = _row_counts(silver)
         clock.done("transform", landed, counts)
@@ -188,12 +191,6 @@ def _chain(
     return _commit(store, source, batches, counts, published)
 
 
-def _quarantine_undated(store: MetadataStore, source: str, rows: DataFrame, batch_id: str) -> None:
-    if not rows.isEmpty():
-        folder = f"{store.lake.quarantine(source)}/batch_id={batch_id}"
-        rows.drop("_batch").write.mode("overwrite").parquet(folder)
-
-
 def _text(day: date) -> tuple[str, str]:
     return f"{day.year}", f"{day.month:02d}"
 
@@ -209,10 +206,10 @@ def _row_counts(df: DataFrame) -> dict[tuple[str, str], int]:
 
 def _read_silver(store: MetadataStore, source: str, path: str, days: Sequence[date]) -> DataFrame:
     """The batch months just written."""
-    rows = read_snapshots(store.spark, path, days)
+    schema = get_silver_schema(source).add("year", "integer").add("month", "integer")
+    rows = read_snapshots(store.spark, path, days, schema)
     if rows is None:
-        nothing = get_silver_schema(source).add("year", "integer").add("month", "integer")
-        rows = store.spark.createDataFrame([], nothing)
+        rows = store.spark.createDataFrame([], schema)
     return rows.withColumns(
         {
             "year": F.col("year").cast("string"),

@@ -14,10 +14,11 @@ from stratalake.functions.temporal import (
     local_time_text,
 )
 from stratalake.functions.text import left_ellipsis, prefix8
-from stratalake.layout import Lake, readable
+from stratalake.layout import Lake, folder_exists
 from stratalake.operators.filters import allowed
 from stratalake.operators.latest import newest, newest_first
 from stratalake.operators.monthly import monthly_trend
+from stratalake.sources.evolved import read_evolved
 
 
 class NoSnapshot(LookupError):
@@ -33,11 +34,15 @@ def latest_meta(versions: DataFrame, dataset: str) -> DataFrame:
 
 
 def read_snapshot(spark: SparkSession, lake: Lake, path: str) -> DataFrame:
-    """All part files below a snapshot folder, partition columns included."""
+    """All part files below a snapshot folder, partition columns included.
+
+    Part files of different schemas are united by name, under the least common types.
+    """
     folder = lake.path(path)
-    if not readable(spark, folder):
+    rows = read_evolved(spark, folder, [folder]) if folder_exists(spark, folder) else None
+    if rows is None:
         raise NoSnapshot(f"{path} cannot be read")
-    return spark.read.parquet(folder)
+    return rows
 
 
 def latest_snapshot(spark: SparkSession, lake: Lake, versions: DataFrame, dataset: str) -> DataFrame:

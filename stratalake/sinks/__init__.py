@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from stratalake.layout import batch_folder, file_system, folder_exists
+from stratalake.layout import batch_folder, delete_folder, file_system, folder_exists
+from stratalake.session import staged
+from stratalake.sources.evolved import read_evolved
 
 SNAPSHOT_COLUMNS = ("year", "month")
 
@@ -31,6 +38,36 @@ def write_partitioned(
     writer.partitionBy(*partition_cols).parquet(path)
 
 
+def write_disjoint(
+    df: DataFrame,
+    path: str,
+    partition_cols: Sequence[str],
+    range_col: str,
+    rows_per_file: int,
+) -> None:
+    """As :func:`write_partitioned`, with files of a partition that do not overlap in ``range_col``.
+
+    Rows are cut into ranges of (partition, value) of about ``rows_per_file`` rows, and no value is
+    cut in two, so a reader that filters a range opens the files of that range alone, however large
+    the partition is. A value that has more rows than a file is spread over several files, which
+    then share that value and nothing else. ``df`` is evaluated once and staged.
+    """
+    rows = staged(df, "disjoint")
+    keys = [*partition_cols, range_col]
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    names = {c: f"_key{i}" for i, c in enumerate(keys)}
+    large = counts.filter(F.col("_n") > rows_per_file).withColumnsRenamed(names)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(k)) for c, k in names.items()])
+    pieces = F.ceil(F.col("_n") / rows_per_file)
+    piece = F.when(F.col("_n").isNotNull(), F.pmod(F.xxhash64(*df.columns), pieces))
+    spread = rows.join(large, same, "left").withColumn("_piece", piece).drop(*names.values(), "_n")
+    cut = spread.repartitionByRange(math.ceil(total / rows_per_file) or 1, *keys, "_piece")
+    ordered = cut.drop("_piece").sortWithinPartitions(*keys)
+    writer = ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_cols).parquet(path)
+
+
 def write_snapshots(
     df: DataFrame,
     path: str,
@@ -53,17 +90,24 @@ def write_snapshots(
         now = _files_below(spark, month)
         fresh = {folder for folder, files in now.items() if files - before[month].get(folder, set())}
         for folder in now.keys() - fresh:
-            _delete_folder(spark, folder)
+            delete_folder(spark, folder)
 
 
-def read_snapshots(spark: SparkSession, path: str, days: Sequence[date]) -> DataFrame | None:
+def read_snapshots(
+    spark: SparkSession, path: str, days: Sequence[date], schema: StructType | None = None
+) -> DataFrame | None:
     """The given batch months of a dataset, None if it has none of them.
 
-    Naming the folders spares the driver from listing every month the dataset ever had.
+    Naming the folders spares the driver from listing every month the dataset ever had. Months that
+    were written under different schemas are united by name, types by their least common type. A
+    caller that knows the one ``schema`` of all of them, folder columns included, saves reading the
+    footers.
     """
     folders = [f"{path}/{batch_folder(day)}" for day in days]
     present = [folder for folder in folders if folder_exists(spark, folder)]
-    return spark.read.option("basePath", path).parquet(*present) if present else None
+    if schema is not None and present:
+        return spark.read.option("basePath", path).schema(schema).parquet(*present)
+    return read_evolved(spark, path, present) if present else None
 
 
 def _files_below(spark: SparkSession, month: str) -> dict[str, set[str]]:
@@ -82,10 +126,5 @@ def _files_below(spark: SparkSession, month: str) -> dict[str, set[str]]:
     return found
 
 
-def _delete_folder(spark: SparkSession, folder: str) -> None:
-    files, target = file_system(spark, folder)
-    files.delete(target, True)
-
-
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalake.sources.fallback import primary_or_fallback
 from stratalake.sources.html_table import decode_entities, extract_rows, fx_records, policy_records
-from stratalake.sources.json_stat import cpi_records, decode_json_stat, rejected_cubes
+from stratalake.sources.json_stat import cpi_records, decode_cells, decode_json_stat, rejected_cubes
 from stratalake.sources.seed_csv import read_cpi_seed, read_fx_seed
 
 
@@ -163,3 +163,114 @@ def test_json_stat_with_id_size_and_role(spark):
     assert got == [(0, 0, "2024M01", 1.0), (0, 1, "2024M02", 2.0), (1, 0, "p", 5.0)]
     frame = spark.createDataFrame([(1, json.dumps(inside)), (2, "nonsense"), (3, "{}"), (4, None)], "id int, doc string")
     assert sorted(r.id for r in rejected_cubes(frame, "doc", "id").collect()) == [2, 3, 4]
+
+
+def _three_dimensions(value):
+    dims = {
+        "A": {"category": {"index": ["x", "y"]}},
+        "B": {"category": {"index": {"q": 1, "p": 0, "r": 2}, "label": {"p": "P", "q": "Q", "r": "R"}}},
+        "T": {"category": {"label": {"1": "Jan", "2": "Feb"}}},
+    }
+    return json.dumps({"id": ["A", "B", "T"], "size": [2, 3, 2], "dimension": dims, "value": value})
+
+
+def test_json_stat_cells_of_any_number_of_dimensions(spark):
+    listed = [float(i) for i in range(12)]
+    listed[5], listed[7] = None, ":"
+    sparse = {"0": 5, "1": 6, "11": 7.5, "12": 8, "-1": 9, "x": 1, "4": None, "3": "n/a"}
+    frame = spark.createDataFrame(
+        [(0, _three_dimensions(listed)), (1, _three_dimensions(sparse)), (2, "{}"), (3, None), (4, _three_dimensions({}))],
+        "id int, doc string",
+    )
+    rows = decode_cells(frame, "doc", ["id"]).collect()
+    names = [("x", "y"), ("P", "Q", "R"), ("Jan", "Feb")]
+    place = {i: (names[0][i // 6], names[1][i // 2 % 3], names[2][i % 2]) for i in range(12)}
+    want = [(0, i, *place[i], float(i)) for i in range(12) if i not in (5, 7)]
+    want += [(1, i, *place[i], v) for i, v in ((0, 5.0), (1, 6.0), (11, 7.5))]
+    assert sorted((r.id, r.position, *(r.labels[n] for n in "ABT"), r.value) for r in rows) == want
+    assert {r.codes["B"] for r in rows if r.labels["B"] == "Q"} == {"q"}
+
+
+def test_json_stat_other_members_than_the_first(spark):
+    sparse = {"0": 5, "1": 6, "8": 7, "9": 8}
+    frame = spark.createDataFrame(
+        [(0, _three_dimensions([float(i) for i in range(12)])), (1, _three_dimensions(sparse))], "id int, doc string"
+    )
+
+    def line(**where):
+        rows = decode_json_stat(frame, "doc", ["id"], where=where).collect()
+        return sorted((r.id, r.position, r.label, r.value) for r in rows)
+
+    assert line() == [(0, 0, "Jan", 0.0), (0, 1, "Feb", 1.0), (1, 0, "Jan", 5.0), (1, 1, "Feb", 6.0)]
+    assert line(A="y", B="Q") == [(0, 0, "Jan", 8.0), (0, 1, "Feb", 9.0), (1, 0, "Jan", 7.0), (1, 1, "Feb", 8.0)]
+    assert line(B="r") == [(0, 0, "Jan", 4.0), (0, 1, "Feb", 5.0)]
+    assert line(B="none of them") == [] and line(Z="x") == []
+
+
+def test_json_stat_parses_once(spark):
+    frame = spark.createDataFrame([(0, "{}")], "id int, doc string")
+    for df in (rejected_cubes(frame, "doc", "id"), decode_json_stat(frame, "doc", ["id"]), decode_cells(frame, "doc", ["id"])):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") <= 10, plan.count("from_json")
+
+
+def _rows(spark, *pages):
+    frame = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "id int, html string")
+    return [(r.id, r.row_index, r.cells) for r in extract_rows(frame, "html", ["id"]).orderBy("id", "row_index").collect()]
+
+
+def test_cells_that_span_rows_and_columns(spark):
+    page = """<table>
+    <tr><td rowspan=3>A</td><td colspan="2">B</td></tr>
+    <tr><td>c</td><td rowspan='2'> d </td></tr>
+    <tr><td>e</td></tr>
+    <tr><td>f</td><td rowspan=0>g</td></tr>
+    <tr></tr>
+    <tr><td>h</td><td>i</td><td colspan=0>j</td></tr>
+    <tr><td>k</tr></table>"""
+    assert _rows(spark, page) == [
+        (0, 0, ["A", "B", "B"]),
+        (0, 1, ["A", "c", "d"]),
+        (0, 2, ["A", "e", "d"]),
+        (0, 3, ["f", "g"]),
+        (0, 5, ["h", "g", "i", "j"]),
+        (0, 6, ["k", "g"]),
+    ]
+
+
+def test_an_open_cell_beyond_a_short_row_leaves_a_gap(spark):
+    page = "<table><tr><td>a<td>b<td rowspan=2>c</tr><tr><td>d</tr></table>"
+    assert _rows(spark, page) == [(0, 0, ["a", "b", "c"]), (0, 1, ["d", "", "c"])]
+
+
+def test_a_year_over_two_rows_stays_the_year(spark):
+    page = "<table><tr><td rowspan=2>2043</td><td>56.1</td></tr><tr><td>2044</td></tr></table>"
+    frame = spark.createDataFrame([(page,)], "html string")
+    rows = fx_records(frame, "html", 2000).collect()
+    assert sorted((r.rate_date, r.rate) for r in rows) == [("2043-01-01", 56.1), ("2043-01-01", 2044.0)]
+
+
+def test_references_are_text_of_their_cell(spark):
+    page = "<table><tr><td>a&#29;td&#29;b</td><td>x&#28;R2&#28;y</td><td>&lt;td&gt;</td></tr></table>"
+    assert _rows(spark, page) == [(0, 0, ["a\x1dtd\x1db", "x\x1cR2\x1cy", "<td>"])]
+
+
+def test_references_without_a_semicolon(spark, one):
+    for text, want in {
+        "&copy 2024": "\u00a9 2024",
+        "&copyright;": "\u00a9right;",
+        "&notin;": "\u2209",
+        "&notit;": "\u00acit;",
+        "&#169 x": "\u00a9 x",
+        "&#xA9g": "\u00a9g",
+        "&amp;lt;": "&lt;",
+        "&unknown; & &x": "&unknown; & &x",
+        "AT&T": "AT&T",
+    }.items():
+        assert one(decode_entities, text) == want, text
+
+
+def test_deeply_nested_table(spark):
+    page = "<table>" + "<tr><td>x<table>" * 200 + "<tr><td>in" + "</table>" * 200 + "<tr><td>out</table><table><tr><td>no"
+    cells = [cells for _, _, cells in _rows(spark, page)]
+    assert cells[-2:] == [["in"], ["out"]] and len(cells) == 202

@@ -32,6 +32,15 @@ def query(name: str, sql: str | None) -> Callable[[Runner], Runner]:
 
 
 def load_all() -> dict[str, Query]:
-    from workload import layers, metadata, quality, serving, sources, writes  # noqa: F401
+    from workload import (  # noqa: F401
+        evolution,
+        layers,
+        metadata,
+        quality,
+        serving,
+        sources,
+        upkeep,
+        writes,
+    )
 
     return REGISTRY

@@ -15,7 +15,7 @@ from stratalake.plans.bronze import content_digests, first_copies, resolve_paths
 from stratalake.session import shared_folder, staged
 from stratalake.sources.fallback import concat_series, primary_or_fallback
 from stratalake.sources.html_table import decode_entities, extract_rows, fx_records, policy_records
-from stratalake.sources.json_stat import cpi_records, decode_json_stat, rejected_cubes
+from stratalake.sources.json_stat import cpi_records, decode_cells, decode_json_stat, rejected_cubes
 from stratalake.sources.seed_csv import read_cpi_seed, read_fx_seed
 from workload import query
 from workload.tables import table
@@ -359,6 +359,52 @@ def _html_nested_table(spark: SparkSession, sf: str) -> DataFrame:
     return fx_records(pages, "html", keep=["o_orderkey"]).select("o_orderkey", "rate_date", "rate")
 
 
+@query(
+    "html_spans",
+    """
+    WITH cells AS (
+      SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year, l_linestatus AS status,
+             max(l_extendedprice) FILTER (WHERE month(l_shipdate) <= 6) AS first_half,
+             max(l_extendedprice) FILTER (WHERE month(l_shipdate) > 6) AS second_half
+      FROM lineitem GROUP BY ALL)
+    SELECT l_suppkey, CAST(year AS VARCHAR) AS year, status,
+           coalesce(CAST(first_half AS VARCHAR), 'n.a.') AS first_half,
+           coalesce(CAST(second_half AS VARCHAR), 'n.a.') AS second_half,
+           'to the end & on' AS note
+    FROM cells""",
+)
+def _html_spans(spark: SparkSession, sf: str) -> DataFrame:
+    """A page per supplier: the year spans its rows, an empty half-year row its columns, a note all rows."""
+    half = F.when(F.month("l_shipdate") <= 6, 1).otherwise(2)
+    price = F.col("l_extendedprice")
+    rows = (
+        table(spark, sf, "lineitem")
+        .groupBy("l_suppkey", F.year("l_shipdate").alias("year"), F.col("l_linestatus").alias("status"))
+        .agg(*[F.max(F.when(half == i, price)).cast("string").alias(f"half{i}") for i in (1, 2)])
+    )
+    values = F.concat(
+        F.lit("<td>"), "status", F.lit("<td>"), F.coalesce("half1", F.lit("n&#46;a.")),
+        F.lit("</td><td>"), F.coalesce("half2", F.lit("n&#46a.")), F.lit("</td>"),
+    )
+    by_year = rows.groupBy("l_suppkey", "year").agg(F.sort_array(F.collect_list(values)).alias("rows"))
+    head = F.concat(
+        F.lit("<tr><th ROWSPAN='"), F.size("rows").cast("string"), F.lit("'> "), F.col("year").cast("string"), F.lit(" </th>")
+    )
+    year = F.concat(head, F.array_join("rows", "</tr><tr>"), F.lit("</tr>"))
+    pages = by_year.groupBy("l_suppkey").agg(F.array_join(F.sort_array(F.collect_list(year)), "").alias("years"))
+    # The first row spans five columns; a note beside it reaches down to the last row.
+    page = F.concat(
+        F.lit('<table><tr><td colspan="5">all<td data-colspan="9" rowspan = 0>to the end &amp on</tr>'),
+        "years",
+        F.lit("</table>"),
+    )
+    found = extract_rows(pages.select("l_suppkey", page.alias("html")), "html", ["l_suppkey"])
+    names = ("year", "status", "first_half", "second_half")
+    # A row of the table has four columns before the note's; the fifth is empty.
+    columns = [F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(names)]
+    return found.filter("row_index > 0").select("l_suppkey", *columns, F.get("cells", F.lit(5)).alias("note"))
+
+
 def _full_cubes(spark: SparkSession, sf: str) -> DataFrame:
     """A cube per order with id, size and role, members in the order of an index; some unusable."""
     doc = F.format_string(
@@ -396,6 +442,65 @@ def _document_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return rejected_cubes(_full_cubes(spark, sf), "doc", "o_orderkey")
 
 
+def _quantity_cubes(spark: SparkSession, sf: str, listed: F.Column) -> DataFrame:
+    """A cube per supplier, return flag x line status x line number, mostly empty: as a list where
+    ``listed``, else as an object from position to value."""
+    flag = F.array_position(F.array(*[F.lit(x) for x in "ANR"]), F.col("l_returnflag")) - 1
+    status = F.when(F.col("l_linestatus") == "O", 1).otherwise(0)
+    position = (flag * 14 + status * 7 + F.col("l_linenumber") - 1).cast("int")
+    sums = (
+        table(spark, sf, "lineitem")
+        .groupBy("l_suppkey", position.alias("position"))
+        .agg(F.sum("l_quantity").alias("value"))
+    )
+    cubes = sums.groupBy("l_suppkey").agg(
+        F.map_from_entries(F.collect_list(F.struct("position", "value"))).alias("cells")
+    )
+    dense = F.transform(F.sequence(F.lit(0), F.lit(41)), lambda p: F.try_element_at("cells", p))
+    value = F.when(listed, F.concat(F.lit("["), F.array_join(dense.cast("array<string>"), ",", "null"), F.lit("]")))
+    lines = "".join(f',"{n}":"line {n}"' for n in range(1, 8))[1:]
+    dimensions = (
+        '{"flag":{"category":{"index":["A","N","R"]}},"status":{"category":{"index":{"O":1,"F":0},'
+        '"label":{"O":"open","F":"final"}}},"line":{"category":{"label":{' + lines + "}}}}"
+    )
+    document = F.concat(
+        F.lit('{"class":"dataset","id":["flag","status","line"],"size":[3,2,7],"dimension":' + dimensions + ',"value":'),
+        F.coalesce(value, F.to_json("cells")),
+        F.lit("}"),
+    )
+    return cubes.select("l_suppkey", document.alias("doc"))
+
+
+@query(
+    "json_stat_sparse",
+    """
+    SELECT l_suppkey, l_returnflag AS flag, CASE l_linestatus WHEN 'O' THEN 'open' ELSE 'final' END AS status,
+           'line ' || l_linenumber AS line, CAST(l_linenumber AS VARCHAR) AS line_code, sum(l_quantity) AS value
+    FROM lineitem GROUP BY ALL""",
+)
+def _json_stat_sparse(spark: SparkSession, sf: str) -> DataFrame:
+    """All cells of three-dimensional cubes, every other one sparse, with the members they belong to."""
+    documents = _quantity_cubes(spark, sf, F.col("l_suppkey") % 2 == 0)
+    cells = decode_cells(documents, "doc", ["l_suppkey"])
+    names = [F.col("labels")[name].alias(name) for name in ("flag", "status", "line")]
+    return cells.select("l_suppkey", *names, F.col("codes")["line"].alias("line_code"), "value")
+
+
+@query(
+    "json_stat_slice",
+    """
+    SELECT l_suppkey, CAST(l_linenumber - 1 AS INTEGER) AS position, 'line ' || l_linenumber AS label,
+           sum(l_quantity) AS value
+    FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F' GROUP BY ALL""",
+)
+def _json_stat_slice(spark: SparkSession, sf: str) -> DataFrame:
+    """One line of each cube: the flag named by code, the status by label."""
+    documents = _quantity_cubes(spark, sf, F.col("l_suppkey") % 3 == 0)
+    return decode_json_stat(
+        documents, "doc", ["l_suppkey"], where={"flag": "R", "status": "final"}
+    )
+
+
 # ---------------------------------------------------------------- fallback and union
 
 

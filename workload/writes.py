@@ -33,7 +33,7 @@ from workload.tables import (
 _JANUARY, _FEBRUARY = date(2024, 1, 1), date(2024, 2, 1)
 
 
-def _store(spark: SparkSession, purpose: str) -> MetadataStore:
+def metadata_store(spark: SparkSession, purpose: str) -> MetadataStore:
     return MetadataStore(spark, Lake(shared_folder(spark, purpose)))
 
 
@@ -44,7 +44,7 @@ def _store(spark: SparkSession, purpose: str) -> MetadataStore:
 )
 def _bronze_landing(spark: SparkSession, sf: str) -> DataFrame:
     """Land a batch, land the same content again in another order: one batch, one path."""
-    store = _store(spark, "bronze-landing")
+    store = metadata_store(spark, "bronze-landing")
     records = fx_bronze(spark, sf).drop("fetched_at", "batch_id")
     first = land(store.lake, store, "bsp_fx", records, date(2024, 2, 15), batch_id="batch-1")
     again = land(
@@ -107,7 +107,7 @@ def _gold_publish(spark: SparkSession, sf: str) -> DataFrame:
     "FROM judged) UNPIVOT (failed_count FOR check_name IN (no_nulls, row_count_min, value_range))",
 )
 def _quality_record(spark: SparkSession, sf: str) -> DataFrame:
-    store = _store(spark, "quality-record")
+    store = metadata_store(spark, "quality-record")
     rows = fx_bronze(spark, sf).withColumn("period_date", F.to_date("rate_date"))
     published = publish(
         store.lake,
@@ -126,7 +126,7 @@ def _quality_record(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _snapshot_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Two snapshots, the newer one shorter; the newer one is served."""
-    store = _store(spark, "snapshot-latest")
+    store = metadata_store(spark, "snapshot-latest")
     silver = staged(fx_silver(ship_monthly(spark, sf)), "snapshot-silver")
     contract = load_contract("gold_exchange_rates")
     shorter = silver.filter(F.col("period_date") < date(2000, 1, 1))
@@ -206,7 +206,7 @@ def _backfill_overwrite(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _backfill_chain(spark: SparkSession, sf: str) -> DataFrame:
     """Every shipping month as a batch of its own through landing, silver, checks and gold."""
-    store = _store(spark, "backfill-chain")
+    store = metadata_store(spark, "backfill-chain")
     records = ship_monthly(spark, sf).drop("fetched_at", "batch_id")
     bounds = records.agg(F.min("rate_date").alias("first"), F.max("rate_date").alias("last")).first()
     start, end = date.fromisoformat(bounds.first), date.fromisoformat(bounds.last)
@@ -234,7 +234,7 @@ def _backfill_empty_month(spark: SparkSession, sf: str) -> DataFrame:
 
     The gold of 1996 stays as it was, without a second version.
     """
-    store = _store(spark, "backfill-empty-month")
+    store = metadata_store(spark, "backfill-empty-month")
     records = ship_monthly(spark, sf).drop("fetched_at", "batch_id")
     bounds = records.agg(F.min("rate_date").alias("first"), F.max("rate_date").alias("last")).first()
     span = date.fromisoformat(bounds.first), date.fromisoformat(bounds.last)
@@ -289,7 +289,7 @@ def _snapshot_text_partition(spark: SparkSession, sf: str) -> DataFrame:
 )
 def _stage_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """One month's run over all of lineitem."""
-    store = _store(spark, "stage-metrics")
+    store = metadata_store(spark, "stage-metrics")
     records = ship_monthly(spark, sf).drop("fetched_at", "batch_id")
     # Without a landing time of its own, a pair and month keeps its greatest rate.
     run_month(store, "bsp_fx", records, _JANUARY)
