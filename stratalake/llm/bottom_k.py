@@ -9,19 +9,20 @@ sketch. Sets are told apart by a 120-bit digest, and equal sets are one node.
   first s - least + 1 values of both in any common order. Values that many sketches retain come last
   in that order, the rest by hash; only those first values enter the lists.
 * Overlaps: members of a list are paired where sizes and places leave room for ``least``. Long lists
-  are not multiplied out: each member meets the leader of its size first. Only members of other
-  components than the list's largest meet the rest afterwards, joined by the shapes (size, place)
-  that leave room, so shapes that cannot link form no pairs.
+  are not multiplied out: each member meets the leader of its size.
 * Filter: for a pair the smallest values of the union of both sketches, and how many of them are
   common, estimate the similarity; pairs below ``least`` go. Two whole sets are decided here exactly.
 * Verification: full sets of the others, shingled again from the texts that are asked for.
+* Long lists whose members fell into several components are where a sketch is too coarse: near
+  copies just below the threshold share most retained values. Their members' sketches grow to whole
+  sets, in lists of their own, where the bounds are exact: a set with more values of its own than a
+  linked one can have enters no list of its group. Members of different components are paired; in
+  lists that are still long, each meets the leader first, and then only those outside the list's largest
+  component meet the rest, joined by the shapes (size, place) that leave room.
 
 Links become components. A pair of different sets at or above the threshold is lost with a
 probability of at most ``RISK`` if one of them is larger than a sketch, and never otherwise.
 
-Long lists of larger sets whose sketches have more than ``least`` values in common without being
-linked are the costly case: such pairs are formed and filtered.
-
 Defined cases: a NULL or empty text, or one without words, has the empty set and is linked with
 nothing; fewer than five words are one shingle. A NULL id is passed on and names a component only if
 all its ids are NULL. Repeated rows are linked. An empty table gives an empty result. Other columns,
@@ -48,10 +49,11 @@ from stratalake.session import staged
 PERCENT = 85
 SKETCH = 128
 RISK = 1e-12
-LONG_LIST = 16
+LONG_LIST = 8
 #: At most so many frequent values are told apart for the order; it shapes the work, not the result.
 ORDERED_VALUES = 1 << 19
 _FILTER_BITS = 1 << 22
+_WHOLE = 1 << 40  # a sketch of this size is the set
 _SALTS = 32
 _CLASS = pa.decimal128(38, 0)
 _SETTINGS = {
@@ -138,9 +140,11 @@ def _frequent_values(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return values[order], found["n"].to_numpy()[order]
 
 
-def _entries(classes: DataFrame, frequent, sketch: int, percent: int, least: int) -> DataFrame:
-    """Rows (class, n, pos, value, known) of the inverted lists; ``known``: count if frequent."""
-    held = classes.sparkSession.sparkContext.broadcast(frequent)
+def _entries(classes: DataFrame, bounds: _Bounds) -> DataFrame:
+    """Rows (class, n, component, pos, value, known) of the inverted lists of ``classes``;
+    ``known``: how many retain the value, if it is frequent."""
+    held = classes.sparkSession.sparkContext.broadcast(_frequent_values(classes))
+    sketch, percent, least = bounds.sketch, bounds.percent, bounds.least
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, counts = held.value
@@ -155,21 +159,19 @@ def _entries(classes: DataFrame, frequent, sketch: int, percent: int, least: int
                 order = np.lexsort((own, count))[: prefix_length(n, sketch, percent, least)]
                 values.append(own[order])
                 known.append(count[order])
+            lists = [pa.array(x, pa.list_(pa.int64())) for x in (values, known)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch["class"],
-                    batch["n"],
-                    pa.array(values, pa.list_(pa.int64())),
-                    pa.array(known, pa.list_(pa.int64())),
-                ],
-                ["class", "n", "values", "known"],
+                [batch["class"], batch["n"], batch["component"], *lists],
+                ["class", "n", "component", "value", "known"],
             )
 
-    lists = classes.select("class", "n", "sketch").mapInArrow(
-        enter, "class decimal(38,0), n bigint, values array<bigint>, known array<bigint>"
+    lists = classes.select("class", "n", "component", "sketch").mapInArrow(
+        enter,
+        "class decimal(38,0), n bigint, component decimal(38,0), value array<bigint>, known array<bigint>",
     )
-    rows = lists.select("class", "n", F.posexplode(F.arrays_zip("values", "known")).alias("pos", "x"))
-    return rows.select("class", "n", F.col("pos").cast("bigint").alias("pos"), "x.values", "x.known").withColumnRenamed("values", "value")
+    about = ["class", "n", "component"]
+    rows = lists.select(*about, F.posexplode(F.arrays_zip("value", "known")).alias("pos", "x"))
+    return rows.select(*about, F.col("pos").cast("bigint").alias("pos"), "x.value", "x.known")
 
 
 class _Bounds:
@@ -184,22 +186,12 @@ class _Bounds:
     def needed(self, a: str, b: str) -> str:
         """Retained values in common that a linked pair has; ``a`` and ``b`` are its sizes."""
         exact = f"({self.percent} * ({a} + {b}) + {99 + self.percent}) div {100 + self.percent}"
-        return f"IF(greatest({a}, {b}) <= {self.sketch}, {exact}, {self.least}L)"
+        return f"IF(greatest({a}, {b}) <= {self.sketch}L, {exact}, {self.least}L)"
 
     def room(self, a: str = "x", b: str = "y") -> str:
-        left = [f"least({side}.n, {self.sketch}) - {side}.pos" for side in (a, b)]
+        left = [f"least({side}.n, {self.sketch}L) - {side}.pos" for side in (a, b)]
         return f"least({', '.join(left)}) >= {self.needed(f'{a}.n', f'{b}.n')}"
 
-    def shape(self) -> dict[str, Column]:
-        """Members of equal shape have the same room: size and place, or the size's class beyond a
-        sketch, where the place tells nothing more."""
-        large = F.col("n") > self.sketch
-        return {
-            "size_class": _size_class(self.percent),
-            "s_n": F.when(large, F.lit(self.sketch + 1)).otherwise(F.col("n")),
-            "s_pos": F.when(large, F.lit(0)).otherwise(F.col("pos")),
-        }
-
 
 def _size_class(percent: int) -> Column:
     """Sizes of linked sets lie in the same class or in neighbouring ones."""
@@ -213,25 +205,28 @@ def _pair() -> list[Column]:
 
 def _short_lists(entries: DataFrame, bounds: _Bounds, long_list: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of members of short lists, and the members of long ones."""
-    rest = entries.where(F.col("known") <= long_list)
+    rest = entries.where(F.col("known") <= long_list).drop("known")
     lengths = rest.groupBy("value").agg(F.count(F.lit(1)).alias("length")).where("length > 1")
-    listed = staged(rest.join(lengths, "value").select("value", "class", "n", "pos", "length"), "bottom-k-lists")
+    listed = staged(rest.join(lengths, "value"), "bottom-k-lists")
     short = listed.where(F.col("length") <= long_list)
     pairs = (
         short.alias("x")
         .join(short.alias("y"), "value")
         .where(f"x.class < y.class AND {bounds.size()} AND {bounds.room()}")
+        .where("x.component IS NULL OR x.component != y.component")
         .select(*_pair())
     )
-    members = ["value", "class", "n", "pos"]
-    long = entries.where(F.col("known") > long_list).select(*members)
-    return pairs, long.unionByName(listed.where(F.col("length") > long_list).select(*members))
+    long = entries.where(F.col("known") > long_list).drop("known")
+    return pairs, long.unionByName(listed.where(F.col("length") > long_list).drop("length"))
 
 
 def _with_leaders(long: DataFrame, bounds: _Bounds) -> DataFrame:
-    """Pairs of every member of a long list with the first one of its size class."""
+    """Pairs of every member of a long list with the first one of its size class.
+
+    The first is that of the least class, so that lists of the same members have the same leader.
+    """
     sized = long.withColumn("size_class", _size_class(bounds.percent))
-    leaders = sized.groupBy("value", "size_class").agg(F.min(F.struct("pos", "class", "n")).alias("l"))
+    leaders = sized.groupBy("value", "size_class").agg(F.min(F.struct("class", "n", "pos", "component")).alias("l"))
     # A list may hold a third of all sets: its members meet copies of the leader in several tasks.
     copies = leaders.select("value", "size_class", "l.*", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
     spread = sized.withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(_SALTS)).cast("int"))
@@ -239,16 +234,17 @@ def _with_leaders(long: DataFrame, bounds: _Bounds) -> DataFrame:
         spread.alias("x")
         .join(copies.alias("y"), ["value", "size_class", "salt"])
         .where(f"x.class != y.class AND {bounds.size()} AND {bounds.room()}")
+        .where("x.component IS NULL OR x.component != y.component")
         .select(*_pair())
     )
 
 
-def _across_components(long: DataFrame, found: DataFrame, bounds: _Bounds) -> DataFrame:
-    """Pairs of members of a long list in different components that have room for a link."""
+def _mixed(long: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of long lists of several components: their component, and the largest of the list."""
     placed = (
-        long.join(found.withColumnRenamed("node", "class"), "class", "left")
+        long.drop("component")
+        .join(found.withColumnRenamed("node", "class"), "class", "left")
         .withColumn("component", F.coalesce("component", "class"))
-        .withColumns(bounds.shape())
     )
     shares = placed.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = (
@@ -257,49 +253,91 @@ def _across_components(long: DataFrame, found: DataFrame, bounds: _Bounds) -> Da
         .where("parts > 1")
         .select("value", "largest")
     )
-    mixed = staged(placed.join(largest, "value"), "bottom-k-mixed")
-    shape = ["value", "size_class", "s_n", "s_pos"]
-    shapes = mixed.groupBy(*shape).agg(F.count(F.lit(1)).alias("members"))
-    as_member = shapes.select(*shape, F.col("s_n").alias("n"), F.col("s_pos").alias("pos"))
+    return placed.join(largest, "value")
+
+
+def _across_components(mixed: DataFrame, bounds: _Bounds) -> DataFrame:
+    """Pairs of members of a long list in different components that have room for a link.
+
+    Members of about the same size and share of values from their place on are one shape. Shapes of
+    which no members have room are not joined; the members of the others are looked at one by one.
+    """
+    step, parts, needed = 1.02, 50, bounds.percent / (100 + bounds.percent)
+    shaped = mixed.withColumns(
+        {
+            "size": F.floor(F.log("n") / math.log(step)).cast("int"),
+            "rest": F.ceil(parts * (F.col("n") - F.col("pos")) / F.col("n")).cast("int"),
+        }
+    )
+    shape = ["value", "size", "rest"]
+    shapes = shaped.select(*shape).distinct()
+    room = "{0}.rest / {2} + 1e-9 >= {3} * (1 + pow({4}, {1}.size - {0}.size - 1))"
     fits = (
-        as_member.alias("x")
-        .join(as_member.alias("y"), "value")
-        .where(f"abs(x.size_class - y.size_class) <= 1 AND {bounds.room()}")
+        shapes.alias("x")
+        .join(shapes.alias("y"), "value")
+        .where(" AND ".join(room.format(*ends, parts, needed, step) for ends in ("xy", "yx")))
         .select("value", *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in shape[1:]])
     )
     sides = [
-        mixed.select("value", *[F.col(c).alias(f"{side}_{c}") for c in shape[1:]], F.struct("class", "n", "pos", "component", "largest").alias(side))
+        shaped.select(
+            "value",
+            *[F.col(c).alias(f"{side}_{c}") for c in shape[1:]],
+            F.struct("class", "component", "largest", "n", "pos").alias(side),
+        )
         for side in "xy"
     ]
     return (
         sides[0]
         .where("x.component != x.largest")
-        .join(fits, ["value", *[f"x_{c}" for c in shape[1:]]])
-        .join(sides[1], ["value", *[f"y_{c}" for c in shape[1:]]])
+        .join(fits, ["value", "x_size", "x_rest"])
+        .join(sides[1], ["value", "y_size", "y_rest"])
         .where(f"x.component != y.component AND {bounds.size()} AND {bounds.room()}")
         .select(*_pair())
     )
 
 
+def _padded(lists: pa.ListArray, width: int) -> np.ndarray:
+    """A row per list, filled up with the greatest number."""
+    ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    lengths = np.diff(ends)
+    rows = np.full((len(lengths), width), np.iinfo(np.int64).max)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    rows[row, np.arange(ends[-1]) - np.repeat(ends[:-1], lengths)] = lists.flatten().to_numpy()
+    return rows
+
+
+def shared_values(a: np.ndarray, b: np.ndarray, sketch: int) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of padded sketches: values in common, and those among the union's ``sketch`` least."""
+    both = np.sort(np.concatenate([a, b], axis=1), axis=1)
+    again = (both[:, 1:] == both[:, :-1]) & (both[:, 1:] != np.iinfo(np.int64).max)
+    rank = 1 + np.cumsum(~again, axis=1)
+    return again.sum(axis=1), (again & (rank <= sketch)).sum(axis=1)
+
+
 def _estimated(pairs: DataFrame, classes: DataFrame, bounds: _Bounds) -> DataFrame:
     """Rows (a, b, whole) of the pairs that the union of both sketches leaves; ``whole``: linked."""
+    sketch, percent, least = bounds.sketch, bounds.percent, bounds.least
+
+    def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = batch["n_a"].to_numpy(), batch["n_b"].to_numpy()
+            common, shared = shared_values(_padded(batch["s_a"], sketch), _padded(batch["s_b"], sketch), sketch)
+            whole = np.maximum(n_a, n_b) <= sketch
+            linked = common * (100 + percent) >= percent * (n_a + n_b)
+            stays = pa.array(np.where(whole, linked, shared >= least))
+            columns = [batch["a"], batch["b"], pa.array(whole)]
+            yield pa.RecordBatch.from_arrays([c.filter(stays) for c in columns], ["a", "b", "whole"])
+
     left, right = (
         classes.select(F.col("class").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"s_{side}"))
         for side in "ab"
     )
-    both = pairs.join(left, "a").join(right, "b").withColumns(
-        {
-            "common": F.array_intersect("s_a", "s_b"),
-            "last": F.element_at(F.slice(F.sort_array(F.array_union("s_a", "s_b")), 1, bounds.sketch), -1),
-            "whole": F.greatest("n_a", "n_b") <= bounds.sketch,
-        }
-    )
-    shared = "IF(whole, size(common), size(filter(common, v -> v <= last)))"
-    return both.where(f"{shared} >= {bounds.needed('n_a', 'n_b')}").select("a", "b", "whole")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b")
+    return both.mapInArrow(estimate, "a decimal(38,0), b decimal(38,0), whole boolean")
 
 
 def _sets(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
-    """Rows (class, shingles) of the classes in ``wanted`` (class, spot).
+    """Rows (class, sketch) of the classes in ``wanted`` (class, spot); the sketch is the whole set.
 
     A bit map of fixed size over the texts that are asked for lets tasks leave out the others; the
     join afterwards is exact.
@@ -327,24 +365,22 @@ def _sets(docs: DataFrame, text_col: str, wanted: DataFrame) -> DataFrame:
             sets = shingle_sets(batch[1].take(pa.array(at, pa.int64())).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [_classes(sets), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
-                ["class", "shingles"],
+                ["class", "sketch"],
             )
 
-    near = _texts(docs, text_col).mapInArrow(select, "class decimal(38,0), shingles array<bigint>")
+    near = _texts(docs, text_col).mapInArrow(select, "class decimal(38,0), sketch array<bigint>")
     return near.join(wanted, "class", "left_semi").dropDuplicates(["class"])
 
 
-def _links(docs: DataFrame, text_col: str, pairs: DataFrame, classes: DataFrame, bounds: _Bounds) -> DataFrame:
-    """The pairs (a, b) that are linked."""
+def _links(pairs: DataFrame, classes: DataFrame, bounds: _Bounds, sets_of) -> DataFrame:
+    """The pairs (a, b) that are linked; ``sets_of`` gives the full sets of asked classes."""
     near = staged(_estimated(pairs.distinct(), classes, bounds), "bottom-k-near")
     certain = near.where("whole").select("a", "b")
     asked = near.where("NOT whole")
     if asked.isEmpty():
         return certain
-    ends = asked.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    wanted = staged(classes.select("class", "spot").join(ends, "class", "left_semi"), "bottom-k-wanted")
-    sets = staged(_sets(docs, text_col, wanted), "bottom-k-sets")
-    left, right = (sets.select(F.col("class").alias(s), F.col("shingles").alias(f"s_{s}")) for s in "ab")
+    sets = sets_of(asked.select(F.explode(F.array("a", "b")).alias("class")).distinct())
+    left, right = (sets.select(F.col("class").alias(s), F.col("sketch").alias(f"s_{s}")) for s in "ab")
     overlap = F.size(F.array_intersect("s_a", "s_b")).cast("bigint")
     sizes = F.size("s_a").cast("bigint") + F.size("s_b")
     verified = (
@@ -360,15 +396,34 @@ def _linked(
     docs: DataFrame, classes: DataFrame, text_col: str, bounds: _Bounds, long_list: int
 ) -> DataFrame:
     """Rows (node, component) of the classes that are linked with others."""
-    frequent = _frequent_values(classes)
-    entries = staged(_entries(classes, frequent, bounds.sketch, bounds.percent, bounds.least), "bottom-k-entries")
+
+    def sets_of(asked: DataFrame) -> DataFrame:
+        wanted = staged(classes.select("class", "spot").join(asked, "class", "left_semi"), "bottom-k-wanted")
+        return staged(_sets(docs, text_col, wanted), "bottom-k-sets")
+
+    nowhere = classes.withColumn("component", F.lit(None).cast("decimal(38,0)"))
+    entries = staged(_entries(nowhere, bounds), "bottom-k-entries")
     pairs, long = _short_lists(entries, bounds, long_list)
-    links = _links(docs, text_col, pairs.unionByName(_with_leaders(long, bounds)), classes, bounds)
+    links = _links(pairs.unionByName(_with_leaders(long, bounds)), classes, bounds, sets_of)
     found = connected_components(links)
-    across = staged(_across_components(long, found, bounds), "bottom-k-across")
+    members = staged(_mixed(long, found).select("class", "component").distinct(), "bottom-k-members")
+    if members.isEmpty():
+        return found
+
+    # The same once more for the members of mixed lists, their sketches grown to whole sets.
+    sets = sets_of(members.select("class"))
+    exact = _Bounds(_WHOLE, bounds.percent, bounds.least)
+    grown = sets.join(members, "class").withColumn("n", F.size("sketch").cast("bigint"))
+    entries = staged(_entries(grown, exact), "bottom-k-entries")
+    pairs, long = _short_lists(entries, exact, long_list)
+    more = _links(pairs.unionByName(_with_leaders(long, exact)), classes, bounds, lambda asked: sets)
+    links = links.unionByName(more)
+    if not more.isEmpty():
+        found = connected_components(links)
+    across = staged(_across_components(_mixed(long, found), exact), "bottom-k-across")
     if across.isEmpty():
         return found
-    return connected_components(links.unionByName(_links(docs, text_col, across, classes, bounds)))
+    return connected_components(links.unionByName(_links(across, classes, bounds, lambda asked: sets)))
 
 
 def near_duplicates(
