@@ -3,9 +3,9 @@
 The model mixes the maximum-likelihood estimates of the orders 2, 1 and 0,
     p(w | v) = l2 c(v w) / c(v) + l1 c(w) / N + l0 / (V + 1),
 with weights that depend on how often the context v was seen (buckets by the power of two of its
-frequency). Counts come from the learning documents without one fold; the weights are learned on
-that deleted fold by expectation-maximisation. V + 1 leaves room for one unknown word. With
-``all_learned`` the scores' counts come from all learning documents, the deleted fold included.
+frequency). The weights are learned by expectation-maximisation on a deleted fold, with counts of the
+other learning documents; scores then come from the counts of all learning documents. V + 1 leaves
+room for one unknown word.
 
 Counting is done once per batch and column block. A batch (documents that stand together in a file)
 sends the distinct words and word pairs it holds, with its own counts, to the block of their hash;
@@ -44,6 +44,7 @@ FOLDS, HELD_OUT, DELETED = 7, 2, 3
 #: Bytes of text that a batch holds on average.
 BATCH_BYTES = 7_000_000
 BUCKETS = 24
+_KINDS = 32  # sizes of documents, by powers of four of the mean
 _BLOCK_ENTRIES = 1_000_000
 _GRID = 20  # steps per power of ten in the histogram
 _NONE = -32768  # a ratio of 0
@@ -116,29 +117,44 @@ def _counts(data: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data), "<i8")
 
 
-def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _documents(docs: DataFrame, id_col: str, text_col: str, batch_rows: int, mean: float) -> DataFrame:
+    """Documents with their place and the number of their batch in their file.
+
+    ``batch_rows`` rows of mean size are ``BATCH_BYTES``. Documents over four times the mean are in
+    batches of their own kind, of a quarter as many rows, those over sixteen times of a sixteenth,
+    and so on: a batch has at most four times the bytes, or one document, however long texts stand
+    together.
+    """
     meta = docs.metadataColumn("_metadata")
+    text, row = docs[text_col].cast("string"), meta.getField("row_index")
+    size = F.coalesce(F.octet_length(text), F.lit(0)) + 1
+    kind = F.greatest(F.floor(F.log(size / F.lit(max(mean, 1.0))) / math.log(4)), F.lit(0)).cast("int")
+    rows = F.greatest(F.floor(batch_rows / F.pow(F.lit(4.0), kind)), F.lit(1)).cast("bigint")
     return docs.select(
         docs[id_col].cast("bigint").cast("string").alias("doc_id"),
-        docs[text_col].cast("string").cast("binary").alias("text"),
+        text.cast("binary").alias("text"),
         meta.getField("file_path").alias(FILE),
-        meta.getField("row_index").alias(ROW),
+        row.alias(ROW),
+        (F.floor(row / rows) * _KINDS + kind).alias("batch"),
     )
 
 
-def _parts(batches: Iterator[pa.RecordBatch], batch_rows: int) -> Iterator[tuple[str, int, int, list, list]]:
-    """(file, batch, first row, ids, texts) of the stretches of a batch that lie in one task."""
-    key, ids, texts, first = None, [], [], 0
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, list, list]]:
+    """(file, batch, first row, ids, texts) of the stretches of a batch that lie in one task.
+
+    One batch of each kind of size is open at a time.
+    """
+    open_parts: dict[int, tuple] = {}
     for arrow in batches:
-        for doc_id, text, file, row in zip(*(c.to_pylist() for c in arrow.columns), strict=True):
-            if key != (file, row // batch_rows):
-                if ids:
-                    yield (*key, first, ids, texts)
-                key, ids, texts, first = (file, row // batch_rows), [], [], row
-            ids.append(doc_id)
-            texts.append(text)
-    if ids:
-        yield (*key, first, ids, texts)
+        for doc_id, text, file, row, batch in zip(*(c.to_pylist() for c in arrow.columns), strict=True):
+            held = open_parts.get(batch % _KINDS)
+            if held is None or held[:2] != (file, batch):
+                if held is not None:
+                    yield held
+                held = open_parts[batch % _KINDS] = (file, batch, row, [], [])
+            held[3].append(doc_id)
+            held[4].append(text)
+    yield from open_parts.values()
 
 
 def _deleted_apart(ids: list, texts: list) -> list[tuple[int, list, list]]:
@@ -150,11 +166,11 @@ def _deleted_apart(ids: list, texts: list) -> list[tuple[int, list, list]]:
     ]
 
 
-def _requests(docs: DataFrame, blocks: int, batch_rows: int, all_learned: bool) -> DataFrame:
+def _requests(docs: DataFrame, blocks: int) -> DataFrame:
     """The distinct words and pairs of every part of every batch, by block."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for file, batch, first, all_ids, all_texts in _parts(batches, batch_rows):
+        for file, batch, first, all_ids, all_texts in _parts(batches):
             for deleted, ids, texts in _deleted_apart(all_ids, all_texts):
                 if not ids:
                     continue
@@ -168,7 +184,7 @@ def _requests(docs: DataFrame, blocks: int, batch_rows: int, all_learned: bool)
                     rows = [
                         (
                             kind, block, file, batch, 2 * first + deleted, _packed(distinct[a:b]),
-                            _small(n_learned[a:b]) if kind == 0 or all_learned else None, _small(n_main[a:b]),
+                            _small(n_learned[a:b]), _small(n_main[a:b]),
                         )
                         for block, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True))
                         if a < b
@@ -194,23 +210,23 @@ _REPLY = (
 
 
 def _reply(asked: pd.DataFrame) -> pd.DataFrame:
-    """Add up a block's counts and answer every part in the order of its hashes. The first row
-    carries the block's totals."""
+    """Add up a block's counts and answer every part in the order of its hashes; counts without the
+    deleted fold go to its own documents alone. The first row carries the block's totals."""
     hashes = [_unpacked(h) for h in asked["hashes"]]
     distinct, place = np.unique(np.concatenate(hashes), return_inverse=True)
-    both = asked["learned"].notna().all()
     totals = {}
-    for column in ("learned", "main") if both else ("main",):
+    for column in ("learned", "main"):
         counts = np.concatenate([_counts(c) for c in asked[column]])
         totals[column] = np.zeros(len(distinct), np.int64)
         np.add.at(totals[column], place, counts)
     ends = np.cumsum([len(h) for h in hashes])
     out = asked[["kind", "block", "file", "batch", "part"]].copy()
     places = np.split(place, ends[:-1])
-    for column in ("learned", "main"):
-        out[column] = [_small(totals[column][p]) if column in totals else None for p in places]
+    deleted = (asked["part"] % 2 == 1).to_numpy()
+    out["learned"] = [_small(totals["learned"][p]) for p in places]
+    out["main"] = [_small(totals["main"][p]) if d else None for p, d in zip(places, deleted, strict=True)]
     first = np.arange(len(out)) == 0
-    learned, main = totals.get("learned", np.zeros(0, np.int64)), totals["main"]
+    learned, main = totals["learned"], totals["main"]
     for name, value in (
         ("vocabulary", (learned > 0).sum()), ("n_learned", learned.sum()),
         ("n_main", main.sum()), ("vocabulary_main", (main > 0).sum()),
@@ -223,7 +239,7 @@ def _reply(asked: pd.DataFrame) -> pd.DataFrame:
 class Totals:
     learned: int  # tokens N of the learning documents
     vocabulary: int  # distinct tokens V in them
-    main: int  # tokens that the model's estimates come from
+    main: int  # tokens of those without the deleted fold, from which weights are learned
     vocabulary_main: int
 
 
@@ -234,20 +250,18 @@ def bucket_of(context_count: np.ndarray) -> np.ndarray:
     )
 
 
-def _looked_up(replies: pd.DataFrame, texts: list, counted: str = "main") -> tuple[Tokens, np.ndarray, ...]:
-    """Tokens, and per token the counts: learned of the word; ``counted`` of word, context and pair."""
+def _looked_up(replies: pd.DataFrame, texts: list, counted: str) -> tuple[Tokens, np.ndarray, ...]:
+    """Tokens, and per token the counts (learned or main) of word, context and pair."""
     t = tokens_of(texts)
     columns = []
     for kind, values in enumerate((t.word, t.pair)):
         own = replies[replies["kind"] == kind].sort_values("block")
         distinct, place = np.unique(values, return_inverse=True)
-        for column in ("learned", counted) if kind == 0 else (counted,):
-            counts = np.concatenate([_counts(c) for c in own[column]])
-            columns.append(counts[place])
+        counts = np.concatenate([_counts(c) for c in own[counted]])
+        columns.append(counts[place])
         if kind == 0:  # every context is a token of the same part
             columns.append(counts[np.searchsorted(distinct, t.context)])
-    learned, main, context, pair = columns
-    return t, learned, main, context, pair
+    return t, *columns
 
 
 def _groups(documents: pd.DataFrame, replies: pd.DataFrame):
@@ -264,10 +278,10 @@ def _groups(documents: pd.DataFrame, replies: pd.DataFrame):
         yield own, replies[replies["part"] == number]
 
 
-def _ratios(context, pair, main, totals: Totals):
+def _ratios(context, pair, word, tokens: int, vocabulary: int):
     r2 = np.where(context > 0, pair / np.maximum(context, 1), 0.0)
-    r1 = main / max(totals.main, 1)
-    return r2, r1, 1.0 / (totals.vocabulary_main + 1)
+    r1 = word / max(tokens, 1)
+    return r2, r1, 1.0 / (vocabulary + 1)
 
 
 def _binned(ratio: np.ndarray) -> np.ndarray:
@@ -295,25 +309,22 @@ def learn_weights(events: pd.DataFrame, r0: float, rounds: int = 50) -> np.ndarr
     return weights
 
 
-def score_corpus(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", all_learned: bool = False
-) -> DataFrame:
+def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs`` (rows of Parquet files): doc_id, held_out, n_tokens, n_known,
     train_tokens, base_score, score."""
     spark = docs.sparkSession
-    rows = _documents(docs, id_col, text_col)
     about = docs.select(F.sum(F.octet_length(docs[text_col])), F.count(F.lit(1))).first()
     size = (about[0] or 0) + about[1]
     blocks = max(1, math.ceil(size / 12 / _BLOCK_ENTRIES))
     batch_rows = max(1, BATCH_BYTES * about[1] // max(size, 1))
+    rows = _documents(docs, id_col, text_col, batch_rows, size / max(about[1], 1))
     with settings(spark, _SETTINGS):
-        replies = staged(_requests(rows, blocks, batch_rows, all_learned).groupBy("kind", "block").applyInPandas(_reply, _REPLY), "lm-replies")
+        replies = staged(_requests(rows, blocks).groupBy("kind", "block").applyInPandas(_reply, _REPLY), "lm-replies")
         sums = replies.where("kind = 0").agg(*[F.sum(c) for c in ("n_learned", "vocabulary", "n_main", "vocabulary_main")]).first()
         totals = Totals(*(int(x or 0) for x in sums))
         answers = replies.select(F.col("file").alias(FILE), "batch", "kind", "block", "part", "learned", "main")
-        batched = rows.withColumn("batch", F.floor(F.col(ROW) / batch_rows))
-        weights = learn_weights(_events(batched, answers, totals).toArrow().to_pandas(), 1.0 / (totals.vocabulary_main + 1))
-        return _scored(batched, answers, totals, weights, "learned" if all_learned else "main")
+        weights = learn_weights(_events(rows, answers, totals).toArrow().to_pandas(), 1.0 / (totals.vocabulary_main + 1))
+        return _scored(rows, answers.drop("main"), totals, weights)
 
 
 def _events(batched: DataFrame, answers: DataFrame, totals: Totals) -> DataFrame:
@@ -322,8 +333,8 @@ def _events(batched: DataFrame, answers: DataFrame, totals: Totals) -> DataFrame
     def count(documents: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         out = []
         for own, mine in _groups(documents, replies) if len(documents) else ():
-            t, _, main, context, pair = _looked_up(mine, own["text"].tolist())
-            r2, r1, _ = _ratios(context, pair, main, totals)
+            _, word, context, pair = _looked_up(mine, own["text"].tolist(), "main")
+            r2, r1, _ = _ratios(context, pair, word, totals.main, totals.vocabulary_main)
             out.append(pd.DataFrame({"bucket": bucket_of(context), "b2": _binned(r2), "b1": _binned(r1)}))
         if not out:
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in ("bucket", "b2", "b1", "n")})
@@ -333,23 +344,21 @@ def _events(batched: DataFrame, answers: DataFrame, totals: Totals) -> DataFrame
     found = (
         batched.where(deleted)
         .groupBy(FILE, "batch")
-        .cogroup(answers.where("part % 2 = 1").groupBy(FILE, "batch"))
+        .cogroup(answers.where("part % 2 = 1").drop("learned").groupBy(FILE, "batch"))
         .applyInPandas(count, "bucket bigint, b2 bigint, b1 bigint, n bigint")
     )
     return found.groupBy("bucket", "b2", "b1").agg(F.sum("n").alias("n"))
 
 
-def _scored(
-    batched: DataFrame, answers: DataFrame, totals: Totals, weights: np.ndarray, counted: str
-) -> DataFrame:
+def _scored(batched: DataFrame, answers: DataFrame, totals: Totals, weights: np.ndarray) -> DataFrame:
+    """Scores under the counts of all learning documents."""
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    model = Totals(totals.learned, totals.vocabulary, totals.learned, totals.vocabulary) if counted == "learned" else totals
 
     def score(documents: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         out = []
         for own, mine in _groups(documents, replies) if len(documents) else ():
-            t, learned, words, context, pair = _looked_up(mine, own["text"].tolist(), counted)
-            r2, r1, r0 = _ratios(context, pair, words, model)
+            t, learned, context, pair = _looked_up(mine, own["text"].tolist(), "learned")
+            r2, r1, r0 = _ratios(context, pair, learned, totals.learned, totals.vocabulary)
             w = weights[bucket_of(context)]
             logs = np.log10(w[:, 0] * r2 + w[:, 1] * r1 + w[:, 2] * r0)
             base = np.log10((learned + 1) / (totals.learned + totals.vocabulary + 1))

@@ -24,35 +24,37 @@ def fold(doc_id):
 
 
 def brute(rows):
-    learned, main, pairs, events = Counter(), Counter(), Counter(), []
+    learned, learned_pairs, main, main_pairs = Counter(), Counter(), Counter(), Counter()
     for doc_id, text in rows:
         t = tokens(text)
         if fold(doc_id) != 2:
             learned.update(t)
+            learned_pairs.update(zip([None, *t], t))
         if fold(doc_id) not in (2, 3):
             main.update(t)
-            pairs.update(zip([None, *t], t))
-    n, v, n_main, r0 = sum(learned.values()), len(learned), sum(main.values()), 1 / (len(main) + 1)
+            main_pairs.update(zip([None, *t], t))
+    n, v = sum(learned.values()), len(learned)
 
-    def parts(a, b):
-        c = main[a]
+    def parts(a, b, words, pairs, total):
+        c = words[a]
         bucket = min(int(math.log2(c)) + 1, lm.BUCKETS - 1) if c else 0
-        return bucket, (pairs[a, b] / c if c else 0.0), main[b] / max(n_main, 1)
+        return bucket, (pairs[a, b] / c if c else 0.0), words[b] / max(total, 1)
 
+    events, n_main = [], sum(main.values())
     for doc_id, text in rows:
         if fold(doc_id) == 3:
             t = tokens(text)
-            events += [parts(a, b) for a, b in zip([None, *t], t)]
+            events += [parts(a, b, main, main_pairs, n_main) for a, b in zip([None, *t], t)]
     rounded = lambda x: round(lm._GRID * math.log10(x)) if x else lm._NONE
     grid = Counter((b, rounded(r2), rounded(r1)) for b, r2, r1 in events)
     frame = pd.DataFrame([(*k, c) for k, c in grid.items()], columns=["bucket", "b2", "b1", "n"])
-    weights = lm.learn_weights(frame.astype("int64"), r0)
+    weights = lm.learn_weights(frame.astype("int64"), 1 / (len(main) + 1))
     out = {}
     for doc_id, text in rows:
         t, score = tokens(text), 0.0
         for a, b in zip([None, *t], t):
-            bucket, r2, r1 = parts(a, b)
-            score += math.log10(weights[bucket] @ np.array([r2, r1, r0]))
+            bucket, r2, r1 = parts(a, b, learned, learned_pairs, n)
+            score += math.log10(weights[bucket] @ np.array([r2, r1, 1 / (v + 1)]))
         base = sum(math.log10((learned[w] + 1) / (n + v + 1)) for w in t)
         known = sum(learned[w] > 0 for w in t)
         out[doc_id] = (fold(doc_id) == 2, len(t), known, n, base, score)
@@ -110,7 +112,7 @@ def test_hashes_survive_packing():
     assert len(lm._unpacked(lm._packed(values[:0]))) == 0
 
 
-def test_all_learning_documents_count_if_asked_for(spark, tmp_path, monkeypatch):
+def test_all_learning_documents_count(spark, tmp_path, monkeypatch):
     weights = np.tile([0.5, 0.3, 0.2], (lm.BUCKETS, 1))
     monkeypatch.setattr(lm, "learn_weights", lambda events, r0: weights)
     monkeypatch.setattr(lm, "BATCH_BYTES", 500)
@@ -131,6 +133,19 @@ def test_all_learning_documents_count_if_asked_for(spark, tmp_path, monkeypatch)
             math.log10(0.5 * (pairs[a, b] / words[a] if words[a] else 0) + 0.3 * words[b] / n + 0.2 * r0)
             for a, b in zip([None, *t], t)
         )
-    got = lm.score_corpus(spark.read.parquet(str(tmp_path / "a")), all_learned=True).collect()
+    got = lm.score_corpus(spark.read.parquet(str(tmp_path / "a"))).collect()
     assert len(got) == len(rows)
     assert all(math.isclose(r.score, expected[r.doc_id], rel_tol=1e-9) for r in got)
+
+
+def test_long_texts_that_stand_together_share_no_large_batch(spark, tmp_path):
+    rows = [(i, "w" * (40_000 if 100 <= i < 140 else 700_000 if i == 7 else 50)) for i in range(3000)]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "a"))
+    docs = spark.read.parquet(str(tmp_path / "a"))
+    size = sum(len(t) + 1 for _, t in rows)
+    mean, limit = size / len(rows), 100_000
+    placed = lm._documents(docs, "doc_id", "text", max(1, int(limit * len(rows) // size)), mean).toPandas()
+    batches = placed.groupby("batch")["text"].agg([lambda x: sum(map(len, x)), "size"])
+    sizes = batches.iloc[:, 0]
+    assert ((sizes <= 4 * limit) | (batches["size"] == 1)).all() and len(placed) == len(rows)
+    _compare(lm.score_corpus(docs), rows)
