@@ -36,6 +36,7 @@ _DATE = "2024-01-01T00:00:00Z"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 _BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+_HANDED_ON = 4 << 20
 
 
 def _bounds(size: int, chunk_bytes: int) -> Iterator[tuple[int, int]]:
@@ -45,40 +46,52 @@ def _bounds(size: int, chunk_bytes: int) -> Iterator[tuple[int, int]]:
         yield start, min(size, start + chunk_bytes)
 
 
-def chunk_digests(
+def payload_chunks(
     pages: DataFrame, keys: tuple[str, ...], html_col: str = "html", chunk_bytes: int = CHUNK_BYTES
 ) -> DataFrame:
-    """Rows (*keys, chunk_no, start, length, digest, check, last): the digests of a payload up to
-    the end of each of its chunks, carried from one to the next."""
+    """Rows (*keys, chunk_no, start, length, digest, check, last, content): the chunks of a payload,
+    each with the digests of the payload up to its end, carried from one to the next.
+
+    A payload is cut once, in the task that reads the page, and handed on a few chunks at a time.
+    """
     narrow = pages.select(*keys, pages[html_col].cast("string").cast("binary").alias("__html"))
     types = [(f.name, f.dataType.simpleString()) for f in narrow.schema[:-1]]
     schema = ", ".join(f"`{n}` {t}" for n, t in types) + (
-        ", chunk_no int, start bigint, length bigint, digest binary, check binary, last boolean"
+        ", chunk_no int, start bigint, length bigint, digest binary, check binary, last boolean, content binary"
     )
     n_keys = len(keys)
+    names = [n for n, _ in types] + ["chunk_no", "start", "length", "digest", "check", "last", "content"]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_(), pa.binary()]
 
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at, rows = [], []
+            at, rows, held = [], [], 0
+
+            def handed_on(batch=batch) -> pa.RecordBatch:
+                columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+                return pa.RecordBatch.from_arrays(
+                    [batch[i].take(pa.array(at, pa.int64())) for i in range(n_keys)]
+                    + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                    names,
+                )
+
             for i, value in enumerate(batch[n_keys]):
                 payload = memoryview(value.as_buffer() or b"") if value.is_valid else memoryview(b"")
                 sha1, second = hashlib.sha1(), hashlib.blake2b(digest_size=16)
                 for number, (start, end) in enumerate(_bounds(len(payload), chunk_bytes)):
-                    sha1.update(payload[start:end])
-                    second.update(payload[start:end])
+                    content = bytes(payload[start:end])
+                    sha1.update(content)
+                    second.update(content)
                     at.append(i)
-                    rows.append(
-                        (number, start, end - start, sha1.digest(), second.digest(), end == len(payload))
-                    )
-            kinds = [pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.bool_()]
-            columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
-            yield pa.RecordBatch.from_arrays(
-                [batch[i].take(pa.array(at, pa.int64())) for i in range(n_keys)]
-                + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                [*batch.schema.names[:n_keys], "chunk_no", "start", "length", "digest", "check", "last"],
-            )
+                    last = end == len(payload)
+                    rows.append((number, start, end - start, sha1.digest(), second.digest(), last, content))
+                    held += end - start
+                    if held > _HANDED_ON:
+                        yield handed_on()
+                        at, rows, held = [], [], 0
+            yield handed_on()
 
-    return narrow.mapInArrow(digests, schema)
+    return narrow.mapInArrow(chunks, schema)
 
 
 def _record_id(*parts) -> Column:
@@ -88,9 +101,10 @@ def _record_id(*parts) -> Column:
 
 
 def with_record_types(chunks: DataFrame) -> DataFrame:
-    """Rows (file, row, record_type, refers_to) of the records behind ``chunks``."""
+    """Rows (file, row, record_type, refers_to, payload_digest, last_no) of the records behind
+    ``chunks``."""
     ends = chunks.where("last").select(
-        FILE, ROW, "page_id", (F.col("start") + F.col("length")).alias("size"), "digest", "check"
+        FILE, ROW, "page_id", (F.col("start") + F.col("length")).alias("size"), "digest", "check", "chunk_no"
     )
     payload = ["size", "digest", "check"]
     place = F.struct("page_id", FILE, ROW)
@@ -106,6 +120,8 @@ def with_record_types(chunks: DataFrame) -> DataFrame:
         ROW,
         F.when(revisit, "revisit").otherwise("response").alias("record_type"),
         F.when(revisit, _record_id(f"original.{FILE}", f"original.{ROW}")).alias("refers_to"),
+        F.col("digest").alias("payload_digest"),
+        F.col("chunk_no").alias("last_no"),
     )
 
 
@@ -126,41 +142,30 @@ def write_archive(pages: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES)
     )
     with settings(pages.sparkSession, _BATCHES):
         chunks = staged(
-            chunk_digests(keyed, ("page_id", FILE, ROW), chunk_bytes=chunk_bytes), "warc-chunks"
+            payload_chunks(keyed, ("page_id", "url", FILE, ROW), chunk_bytes=chunk_bytes), "warc-chunks"
         )
-    listed = chunks.groupBy(FILE, ROW).agg(
-        F.sort_array(F.collect_list(F.struct("chunk_no", "start", "length", "digest", "last"))).alias("chunks"),
-        F.max("chunk_no").alias("last_no"),
-    )
-    records = keyed.join(listed.join(with_record_types(chunks), [FILE, ROW]), [FILE, ROW])
-    whole = F.array(F.element_at("chunks", -1))
-    segments = records.select(
-        "*",
-        _record_id(FILE, ROW).alias("record_id"),
-        F.element_at("chunks", -1)["digest"].alias("payload_digest"),
-        F.explode(F.when(F.col("record_type") == "revisit", whole).otherwise(F.col("chunks"))).alias("c"),
-    )
+    # The type of a record is joined onto its chunks; of a revisit only the last one is needed.
+    typed = chunks.join(with_record_types(chunks), [FILE, ROW]).where("record_type = 'response' OR last")
+    segments = typed.withColumn("record_id", _record_id(FILE, ROW)).sortWithinPartitions(FILE, ROW, "chunk_no")
     revisit = F.col("record_type") == "revisit"
-    first = revisit | (F.col("c.chunk_no") == 0)
+    first = revisit | (F.col("chunk_no") == 0)
     segmented = ~revisit & (F.col("last_no") > 0)
     http = F.when(~revisit & first, F.lit(_HTTP)).otherwise("")
-    content = F.when(revisit, F.lit(b"")).otherwise(
-        F.substring(F.coalesce("html", F.lit("")).cast("binary"), F.col("c.start").cast("int") + 1, F.col("c.length").cast("int"))
-    )
+    content = F.when(revisit, F.lit(b"")).otherwise(F.col("content"))
     header = F.concat(
         F.lit("WARC/1.0\r\n"),
         _line("WARC-Type", F.when(first, F.col("record_type")).otherwise("continuation")),
-        _line("WARC-Record-ID", F.when(first, F.col("record_id")).otherwise(_record_id(FILE, ROW, "c.chunk_no"))),
+        _line("WARC-Record-ID", F.when(first, F.col("record_id")).otherwise(_record_id(FILE, ROW, "chunk_no"))),
         _line("WARC-Date", _DATE),
         _line("WARC-Target-URI", F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "[\\s\\p{Cntrl}]", "%20")),
         _line("Content-Type", F.when(~revisit & first, F.lit("application/http;msgtype=response"))),
         _line("WARC-Payload-Digest", F.when(first, F.concat(F.lit("sha1:"), F.lower(F.hex("payload_digest"))))),
         _line("WARC-Profile", F.when(revisit, F.lit(_PROFILE))),
         _line("WARC-Refers-To", F.col("refers_to")),
-        _line("WARC-Segment-Number", F.when(segmented, F.col("c.chunk_no") + 1)),
+        _line("WARC-Segment-Number", F.when(segmented, F.col("chunk_no") + 1)),
         _line("WARC-Segment-Origin-ID", F.when(~first, F.col("record_id"))),
-        _line("WARC-Segment-Total-Length", F.when(segmented & F.col("c.last"), F.col("c.start") + F.col("c.length"))),
-        _line("X-Digest-So-Far", F.when(~revisit, F.lower(F.hex("c.digest")))),
+        _line("WARC-Segment-Total-Length", F.when(segmented & F.col("last"), F.col("start") + F.col("length"))),
+        _line("X-Digest-So-Far", F.when(~revisit, F.lower(F.hex("digest")))),
         _line("X-Page-ID", F.col("page_id")),
         _line("Content-Length", F.length(content) + F.octet_length(http)),
         F.lit("\r\n"),

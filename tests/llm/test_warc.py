@@ -7,6 +7,8 @@ from pathlib import Path
 import pytest
 
 from oracle import connect, differences
+from pyspark.sql import functions as F
+
 from stratalake.llm import warc
 from stratalake.llm.registry import op6_warc
 
@@ -118,3 +120,24 @@ def test_damage_is_noticed(spark, pages, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(str(tmp_path / "p"))
     assert warc.round_trip(spark.read.parquet(str(tmp_path / "p"))).collect() == []
+
+
+def test_an_oversized_payload_is_cut_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "_HANDED_ON", 1 << 20)
+    long = "".join(f"é{i}" for i in range(1_500_000))
+    rows = [(1, "http://a/", long), (2, "http://a/", "small"), (3, "http://a/", long), (4, None, long + "!")]
+    path = str(tmp_path / "pages")
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(path)
+    pages = spark.read.parquet(path)
+    chunks = warc.payload_chunks(pages, ("page_id",))
+    sizes = {}
+    for r in chunks.select("page_id", "chunk_no", F.length("content").alias("n"), "length", "last").collect():
+        assert r.n == r.length <= warc.CHUNK_BYTES
+        sizes[r.page_id] = sizes.get(r.page_id, 0) + r.n
+    assert sizes == {i: len(h.encode()) for i, _, h in rows}
+    got = {r.page_id: r for r in warc.round_trip(pages).collect()}
+    for i, _, html in rows:
+        data = html.encode()
+        assert got[i].payload_bytes == len(data) and got[i].payload_digest == hashlib.sha1(data).hexdigest()
+    assert [got[i].record_type for i in (1, 2, 3, 4)] == ["revisit", "response", "response", "response"]
+    assert got[1].refers_to == 3
