@@ -34,12 +34,14 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import fold_of
+from stratalake.session import staged
 
 SAMPLE = 3000
+SAMPLE_BYTES = 64 << 20
 FOLDS = 5
 _BUCKETS = 1 << 18
 _BEGINNINGS = range(3, 8)
@@ -338,9 +340,19 @@ def _spans(text: str, chances: np.ndarray) -> list[dict]:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample: int = SAMPLE
+    docs: DataFrame,
+    labels: DataFrame,
+    label_col: str = "toxic",
+    sample: int = SAMPLE,
+    sample_bytes: int = SAMPLE_BYTES,
 ) -> DataFrame:
-    """At most ``sample`` (text, label) rows per label, none of the held-out fold."""
+    """At most ``sample`` (text, label) rows and ``sample_bytes`` / 2 of text per label, none of the
+    held-out fold.
+
+    An id is one row: of rows with the same id the shortest text stands for it, the first in byte
+    order among those. Ids are taken in a fixed random order; a text longer than all the bytes of its
+    label is left out, and so is what comes after the bytes are used up.
+    """
     known = (
         labels.select(labels["doc_id"].alias("doc_id"), labels[label_col].alias("label"))
         .where("doc_id IS NOT NULL AND label IS NOT NULL")
@@ -353,19 +365,33 @@ def labelled_sample(
     for value in (0, 1):
         some = known.where(F.col("label") == value).orderBy(order, "doc_id").limit(sample)
         chosen = some if chosen is None else chosen.unionByName(some)
-    texts = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].cast("string").alias("text"))
-    # At most 2 * sample ids on the small side.
-    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label")
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    sized = docs.select(docs["doc_id"].alias("doc_id"), F.struct(F.octet_length(text).alias("size"), text.alias("text")).alias("t"))
+    # At most 2 * sample ids on the small side; rows that repeat an id shrink before they meet.
+    rows = (
+        sized.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "label")
+        .agg(F.min("t").alias("t"))
+        .select("doc_id", "label", "t.size", "t.text")
+    )
+    most = sample_bytes // 2
+    held = staged(rows.where(F.col("size") <= most), "toxicity-sample")
+    so_far = Window.partitionBy("label").orderBy(order, "doc_id")
+    fits = held.select("doc_id", "label", "size").withColumn("total", F.sum("size").over(so_far))
+    fits = fits.where(F.col("total") <= most).select("doc_id")
+    return held.join(F.broadcast(fits), "doc_id").select("doc_id", "text", "label")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field:
-    """Train on the bounded sample, in one task."""
+def fit(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES
+) -> Field:
+    """Train on the sample, bounded in rows and bytes, in one task."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "text"])
         return pd.DataFrame({"model": [pickle.dumps(train(rows["text"].tolist(), rows["label"].tolist()))]})
 
-    chosen = labelled_sample(docs, labels, sample=sample).withColumn("one", F.lit(1))
+    chosen = labelled_sample(docs, labels, sample=sample, sample_bytes=sample_bytes).withColumn("one", F.lit(1))
     found = chosen.groupBy("one").applyInPandas(run, "model binary").collect()
     return pickle.loads(found[0].model) if found else train([], [])
 

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -117,3 +118,23 @@ def test_without_labels_of_both_kinds(spark):
         frame = spark.createDataFrame(known, "doc_id long, toxic int")
         got = toxicity.score_documents(docs, toxicity.fit(docs, frame)).toPandas()
         assert got.score.nunique() == 1 and 0 < got.score[0] <= 0.5
+
+
+def test_an_id_is_one_row_of_the_sample_and_bytes_are_bounded(spark):
+    ids = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5][:200]
+    docs = [(i, f"text of {i}") for i in ids] + [(ids[0], f"again {k} " + "x" * (k % 50)) for k in range(20_000)]
+    docs += [(ids[1], None), (ids[2], "long " * 5000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id long, toxic int")
+    whole = toxicity.labelled_sample(frame, labels, sample=1000).collect()
+    assert sorted(r.doc_id for r in whole) == sorted(ids)
+    texts = {r.doc_id: r.text for r in whole}
+    assert texts[ids[0]] == min((t for i, t in docs if i == ids[0]), key=lambda t: (len(t), t))
+    assert texts[ids[1]] == "" and texts[ids[2]] == f"text of {ids[2]}"
+    assert len(toxicity.labelled_sample(frame, labels, sample=3).collect()) == 6
+    some = toxicity.labelled_sample(frame, labels, sample=1000, sample_bytes=600).collect()
+    for label in (0, 1):
+        own = [r.text for r in some if r.label == label]
+        assert 250 < sum(map(len, own)) <= 300
+    only = spark.createDataFrame([(ids[3], "y" * 1000)], "doc_id long, text string")
+    assert toxicity.labelled_sample(only, labels, sample_bytes=1000).collect() == []
