@@ -11,8 +11,10 @@ inside narrow buckets of the sort key, and bucket offsets come from the buckets'
 of buckets is fixed, so the windows over offsets are bounded.
 
 Defined cases: a NULL source is a source of its own; a NULL text has no bytes; a NULL id is
-shuffled like the empty text; rows that are equal in every column may swap places. An empty table
-gives an empty result. Other columns, whatever their names, are ignored.
+shuffled like the empty text; rows that are equal in every column may swap places. Rows of an id that
+more than ``_MANY`` rows have, or rows without an id if they are that many, are shuffled one by one, by
+the place at which they were read. An empty table gives an empty result. Other columns, whatever their
+names, are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from stratalake.session import staged
 
 #: Buckets of the seeded order in a source: the first hexadecimal digits of the shuffle key.
 _KEY_DIGITS = 3
+#: Rows of one id (or without one) beyond which each is shuffled by itself.
+_MANY = 10_000
 #: Buckets of the fractional rank over all sources.
 _RANK_BUCKETS = 1 << 16
 
@@ -52,6 +56,15 @@ def _ranked(
     )
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Give rows of an id that very many rows have keys of their own, by the place at which they
+    were read; the others keep the key of their id."""
+    many = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > _MANY).select("key", "n")
+    own = F.md5(F.concat_ws(":", "key", "place_read").cast("binary"))
+    keyed = rows.join(many, "key", "left").withColumn("key", F.when(F.col("n").isNotNull(), own).otherwise(F.col("key")))
+    return keyed.drop("n", "place_read")
+
+
 def stratified_shards(
     docs: DataFrame,
     shards: int = 16,
@@ -74,10 +87,11 @@ def stratified_shards(
             (F.octet_length(text) + 1).cast("bigint").alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             key.alias("key"),
-            F.substring(key, 1, _KEY_DIGITS).alias("key_bucket"),
+            F.monotonically_increasing_id().alias("place_read"),
         ),
         "shard-rows",
     )
+    rows = _spread(rows).withColumn("key_bucket", F.substring("key", 1, _KEY_DIGITS))
     ties = ["key", "doc_id", "size", "text_crc32"]
     ranked = staged(_ranked(rows, ["stratum"], "key_bucket", ties, "rank"), "shard-ranks")
     placed = ranked.withColumn(

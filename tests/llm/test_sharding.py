@@ -6,6 +6,7 @@ from collections import Counter
 
 import pandas as pd
 
+from stratalake.llm import sharding
 from stratalake.llm.registry import op8_sharding
 from stratalake.llm.sharding import stratified_shards
 
@@ -69,3 +70,25 @@ def test_odd_rows(spark):
 def test_no_python_and_no_single_partition_in_the_plan(spark):
     plan = op8_sharding(spark, SF)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_of_one_id_or_without_one_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "_MANY", 50)
+    rows = [(None, "same", "a")] * 3000 + [(7, f"t{i}", "a") for i in range(2000)] + [(i + 100, "x", "b") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    largest = []
+    original = sharding._ranked
+
+    def watched(frame, strata, bucket, order, out):
+        counts = frame.groupBy(*strata, bucket).count()
+        largest.append(counts.agg({"count": "max"}).first()[0])
+        return original(frame, strata, bucket, order, out)
+
+    monkeypatch.setattr(sharding, "_ranked", watched)
+    got = sharding.stratified_shards(docs).collect()
+    counts = Counter(r.shard for r in got)
+    assert len(got) == 5100 and max(counts.values()) - min(counts.values()) <= 1
+    assert {(r.shard, r.slot) for r in got} == {(s, i) for s, n in counts.items() for i in range(n)}
+    assert max(largest) < 20
+    by_source = Counter((r.shard, r.source) for r in got)
+    assert all(5 <= by_source[s, "b"] <= 8 for s in counts)
