@@ -13,7 +13,8 @@ overlap is accumulated and compared with the bound.
   ``ORDERED_COLUMNS`` bounds how many are told apart. This shapes the work, never the result.
 * Hot columns: a column with more than ``LONG_COLUMN`` entries is not multiplied out. Its entries
   are first compared with the one that has the most left after it; then only entries outside the
-  column's largest component meet the others. Links inside a component add nothing to it.
+  column's largest component meet the others, joined by the shapes (size, place) for which the bound
+  leaves room. Links inside a component add nothing to it.
 
 Links join sets into components. Two links of different sets are never lost, equal sets are linked
 by being one row of the matrix.
@@ -450,9 +451,35 @@ def _across_components(hot: DataFrame, found: DataFrame, percent: int) -> DataFr
         .select("value", "largest")
     )
     mixed = staged(entries.join(largest, "value"), "jaccard-mixed")
+    # Entries of about the same size and share of the set from their place on are one shape. Shapes
+    # too late for the bound are not joined, so entries that cannot be linked form no pairs.
+    step, parts, needed = 1.02, 50, percent / (100 + percent)
+    shaped = mixed.withColumns(
+        {
+            "size": F.floor(F.log("n") / math.log(step)).cast("int"),
+            "rest": F.ceil(parts * (F.col("n") - F.col("pos")) / F.col("n")).cast("int"),
+        }
+    )
+    shapes = shaped.select("value", "size", "rest").distinct()
+    early = "{0}.rest / {2} + 1e-9 >= {3} * (1 + pow({4}, {1}.size - {0}.size - 1))"
+    fits = (
+        shapes.alias("x")
+        .join(shapes.alias("y"), "value")
+        .where(" AND ".join(early.format(*ends, parts, needed, step) for ends in ("xy", "yx")))
+        .select("value", *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in ("size", "rest")])
+    )
+    left, right = (
+        shaped.select(
+            "value",
+            *[F.col(c).alias(f"{side}_{c}") for c in ("size", "rest")],
+            F.struct("class", "n", "pos", "component", "largest").alias(side),
+        )
+        for side in "xy"
+    )
     return (
-        mixed.where("component != largest").alias("x")
-        .join(mixed.alias("y"), "value")
+        left.where("x.component != x.largest")
+        .join(fits, ["value", "x_size", "x_rest"])
+        .join(right, ["value", "y_size", "y_rest"])
         .where(f"x.component != y.component AND {_reachable(percent, 'x', 'y')}")
         .select(*_ordered_pairs("x", "y"))
         .distinct()

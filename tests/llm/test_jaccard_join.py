@@ -6,6 +6,7 @@ import re
 import pandas as pd
 import pytest
 
+from stratalake.llm import jaccard_join
 from stratalake.llm.components import connected_components
 from stratalake.llm.jaccard_join import jaccard_components
 from stratalake.llm.registry import op5_jaccard_join
@@ -115,3 +116,25 @@ def test_components(spark):
     alone = {400} | {a for a, b in edges if a == b}
     assert got == {n: find(n) for n in parent if n in got}
     assert set(parent) - set(got) <= alone
+
+
+def test_strangers_on_one_shingle_form_no_pairs(spark, monkeypatch):
+    """Texts that share a third of their shingles, all of them hot, without being linked."""
+    template = " ".join(f"t{i}" for i in range(10))
+    seen = {}
+    original = jaccard_join.staged
+
+    def counted(df, purpose):
+        found = original(df, purpose)
+        seen[purpose] = seen.get(purpose, 0) + found.count()
+        return found
+
+    monkeypatch.setattr(jaccard_join, "staged", counted)
+    for n in (500, 1000):
+        rows = [(i, f"{template} " + " ".join(f"u{i}x{j}" for j in range(9))) for i in range(n)]
+        rows += [(n + i, f"s{i} s{i + 1} s{i + 2} hot hot hot hot hot") for i in range(n)]
+        seen.clear()
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        got = jaccard_join.jaccard_components(docs).collect()
+        assert all(r.component_id == r.doc_id for r in got) and len(got) == 2 * n
+        assert seen.get("jaccard-across", 0) + seen["jaccard-pairs"] <= 4 * n
