@@ -22,9 +22,14 @@ def plan_of(df) -> str:
 READS = [n for n in load_all() if n not in {
     "bronze_landing", "silver_partitions", "gold_publish", "quality_record", "snapshot_latest",
     "backfill_overwrite", "backfill_chain", "backfill_empty_month", "snapshot_text_partition",
-    "stage_metrics", "schema_drift",
+    "stage_metrics", "schema_drift", "snapshot_evolved", "snapshot_evolved_nested", "upsert_partitions",
+    "insert_absent_indexed", "direction_late", "trend_incremental", "fingerprint_merge", "landing_commit",
+    "silver_disjoint_files", "stream_landing", "metadata_folded",
 }]
 
+#: What may go to a single task: what every task has reduced before, and the last values of years.
+_REDUCED = re.compile(r"Aggregate|LocalLimit|TopK|WindowGroupLimit|_edge")
+
 
 @pytest.mark.parametrize("name", READS)
 def test_no_cross_join_no_python_no_single_window(spark, name):
@@ -32,6 +37,10 @@ def test_no_cross_join_no_python_no_single_window(spark, name):
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
     assert not re.search(r"PythonUDF|ArrowEval|BatchEvalPython|MapInPandas", plan)
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert _REDUCED.search(" ".join(lines[i + 1 : i + 3])), lines[i : i + 4]
 
 
 def test_dedup_prunes_before_the_shuffle(spark):
