@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-#: Spark's default limit for ranking before the shuffle, and the parts of a key beyond it.
+#: Spark's default limit for ranking before the shuffle, and the least parts of a key beyond it.
 _GROUP_LIMIT = 1000
-_PARTS = 64
+_LEAST_PARTS = 64
 
 
 def newest_first(columns: Sequence[str]) -> list[Column]:
@@ -26,7 +26,9 @@ def newest_first(columns: Sequence[str]) -> list[Column]:
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """The first ``n`` rows of each key; ``order`` has to be total for a repeatable result."""
     if n > _GROUP_LIMIT:
-        part = F.pmod(F.xxhash64(*df.columns), F.lit(_PARTS))
+        # As many parts as the cluster has shuffle partitions: a hot key is ranked by all of them.
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        part = F.pmod(F.xxhash64(*df.columns), F.lit(max(_LEAST_PARTS, partitions)))
         parts = Window.partitionBy(*keys, "_part").orderBy(*order)
         ranked = df.withColumn("_part", part).withColumn("_rank", F.row_number().over(parts))
         df = ranked.filter(F.col("_rank") <= n).drop("_part", "_rank")

@@ -18,6 +18,7 @@ from stratalake.operators.quality import (
     check_results,
     pass_rate,
     quality_stats,
+    register_check,
     run_check,
 )
 from workload import query
@@ -64,6 +65,28 @@ def _dq_schema(spark: SparkSession, sf: str) -> DataFrame:
     return lacks.select("s_suppkey", "complete", F.col("schema_passed").alias("with_region"))
 
 
+@query(
+    "dq_registered_checks",
+    """
+    SELECT o_orderkey, o_custkey, coalesce(o_custkey % 7 < 3, false) AS low_remainder_passed,
+           (SELECT count(DISTINCT o_custkey) FROM orders) >= 50 AS distinct_min_passed
+    FROM orders""",
+)
+def _dq_registered_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Two checks that the library does not have: one per row, one over the table."""
+    register_check(
+        "low_remainder", lambda df, cfg: F.coalesce(F.col(cfg.column) % cfg.max < cfg.value, F.lit(False))
+    )
+    register_check(
+        "distinct_min",
+        lambda df, cfg: F.count_distinct(cfg.column) >= cfg.value,
+        table_level=True,
+    )
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    low = run_check(rows, CheckConfig("low_remainder", column="o_custkey", max=7, value=3))
+    return run_check(low, CheckConfig("distinct_min", column="o_custkey", value=50))
+
+
 CHECKS = [
     CheckConfig("no_nulls", columns=["rate_date", "currency_pair", "rate"]),
     CheckConfig("row_count_min", value=20),
