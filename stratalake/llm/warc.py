@@ -35,7 +35,10 @@ REVISIT_BYTES = 1000
 _DATE = "2024-01-01T00:00:00Z"
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
-_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+_SETTINGS = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
 _HANDED_ON = 4 << 20
 
 
@@ -140,7 +143,7 @@ def write_archive(pages: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYTES)
         meta.getField("file_path").alias(FILE),
         meta.getField("row_index").alias(ROW),
     )
-    with settings(pages.sparkSession, _BATCHES):
+    with settings(pages.sparkSession, _SETTINGS):
         chunks = staged(
             payload_chunks(keyed, ("page_id", "url", FILE, ROW), chunk_bytes=chunk_bytes), "warc-chunks"
         )
@@ -369,7 +372,7 @@ def round_trip(pages: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     spark = pages.sparkSession
     folder = shared_folder(spark, "warc")
     write_archive(pages, folder, chunk_bytes)
-    with settings(spark, _BATCHES):
+    with settings(spark, _SETTINGS):
         return archived_records(read_archive(spark, folder, with_data=False))
 
 
