@@ -14,11 +14,13 @@ sketch. Sets are told apart by a 120-bit digest, and equal sets are one node.
   common, estimate the similarity; pairs below ``least`` go. Two whole sets are decided here exactly.
 * Verification: full sets of the others, shingled again from the texts that are asked for.
 * Long lists whose members fell into several components are where a sketch is too coarse: near
-  copies just below the threshold share most retained values. Their members' sketches grow to whole
-  sets, in lists of their own, where the bounds are exact: a set with more values of its own than a
-  linked one can have enters no list of its group. Members of different components are paired; in
-  lists that are still long, each meets the leader first, and then only those outside the list's largest
-  component meet the rest, joined by the shapes (size, place) that leave room.
+  copies just below the threshold share most retained values. The members of such a list are compared
+  with their consensus T, the values that more than half of them have, and only what tells them from
+  it is kept: l values of T that a set lacks, and those it has besides. Two of them have
+  |T| - l - l' + (differences in common) values in common, exactly. Where |T| - l - l' is enough they
+  are linked, and so is each of both with the member of the group nearest to T; that one link per
+  member stands for all of these. Any other linked pair has a known least number of differences in
+  common, so it meets in inverted lists of differences, which hold no value of the template.
 
 Links become components. A pair of different sets at or above the threshold is lost with a
 probability of at most ``RISK`` if one of them is larger than a sketch, and never otherwise.
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 
 from stratalake.llm.common import settings
 from stratalake.llm.components import connected_components
-from stratalake.llm.shingles import shingle_sets
+from stratalake.llm.shingles import combined, shingle_sets
 from stratalake.session import staged
 
 PERCENT = 85
@@ -53,7 +55,6 @@ LONG_LIST = 8
 #: At most so many frequent values are told apart for the order; it shapes the work, not the result.
 ORDERED_VALUES = 1 << 19
 _FILTER_BITS = 1 << 22
-_WHOLE = 1 << 40  # a sketch of this size is the set
 _SALTS = 32
 _CLASS = pa.decimal128(38, 0)
 _SETTINGS = {
@@ -140,57 +141,69 @@ def _frequent_values(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return values[order], found["n"].to_numpy()[order]
 
 
-def _entries(classes: DataFrame, bounds: _Bounds) -> DataFrame:
-    """Rows (class, n, component, pos, value, known) of the inverted lists of ``classes``;
-    ``known``: how many retain the value, if it is frequent."""
-    held = classes.sparkSession.sparkContext.broadcast(_frequent_values(classes))
-    sketch, percent, least = bounds.sketch, bounds.percent, bounds.least
+def _entries(rows: DataFrame, about: list[str], prefix_of) -> DataFrame:
+    """Rows (*about, pos, value, known) of the inverted lists of ``rows`` (*about, sketch): the first
+    values of each, ``prefix_of`` a batch many. ``known``: how many retain the value, if frequent."""
+    held = rows.sparkSession.sparkContext.broadcast(_frequent_values(rows))
+    types = dict(rows.dtypes)
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, counts = held.value
         for batch in batches:
             values, known = [], []
-            for n, retained in zip(batch["n"].to_pylist(), batch["sketch"], strict=True):
+            for length, retained in zip(prefix_of(batch), batch["sketch"], strict=True):
                 own = retained.values.to_numpy()
                 count = np.zeros(len(own), np.int64)
                 if len(often):
                     place = np.minimum(np.searchsorted(often, own), len(often) - 1)
                     count = np.where(often[place] == own, counts[place], 0)
-                order = np.lexsort((own, count))[: prefix_length(n, sketch, percent, least)]
+                order = np.lexsort((own, count))[: max(length, 0)]
                 values.append(own[order])
                 known.append(count[order])
             lists = [pa.array(x, pa.list_(pa.int64())) for x in (values, known)]
             yield pa.RecordBatch.from_arrays(
-                [batch["class"], batch["n"], batch["component"], *lists],
-                ["class", "n", "component", "value", "known"],
+                [*(batch[c] for c in about), *lists], [*about, "value", "known"]
             )
 
-    lists = classes.select("class", "n", "component", "sketch").mapInArrow(
-        enter,
-        "class decimal(38,0), n bigint, component decimal(38,0), value array<bigint>, known array<bigint>",
-    )
-    about = ["class", "n", "component"]
-    rows = lists.select(*about, F.posexplode(F.arrays_zip("value", "known")).alias("pos", "x"))
-    return rows.select(*about, F.col("pos").cast("bigint").alias("pos"), "x.value", "x.known")
+    schema = ", ".join([f"{c} {types[c]}" for c in about] + ["value array<bigint>", "known array<bigint>"])
+    lists = rows.select(*about, "sketch").mapInArrow(enter, schema)
+    each = lists.select(*about, F.posexplode(F.arrays_zip("value", "known")).alias("pos", "x"))
+    return each.select(*about, F.col("pos").cast("bigint").alias("pos"), "x.value", "x.known")
 
 
 class _Bounds:
-    """The bounds of a pair of list members as SQL."""
+    """The bounds of a pair of members of a list of retained values, as SQL."""
 
     def __init__(self, sketch: int, percent: int, least: int):
         self.sketch, self.percent, self.least = sketch, percent, least
 
-    def size(self, a: str = "x", b: str = "y") -> str:
-        return f"100 * least({a}.n, {b}.n) >= {self.percent} * greatest({a}.n, {b}.n)"
+    def size(self) -> str:
+        return f"100 * least(x.n, y.n) >= {self.percent} * greatest(x.n, y.n)"
+
+    def room(self) -> str:
+        """Whether enough of both sketches is left from their places on."""
+        left = [f"least({side}.n, {self.sketch}) - {side}.pos" for side in "xy"]
+        exact = f"({self.percent} * (x.n + y.n) + {99 + self.percent}) div {100 + self.percent}"
+        needed = f"IF(greatest(x.n, y.n) <= {self.sketch}, {exact}, {self.least}L)"
+        return f"least({', '.join(left)}) >= {needed}"
+
+
+class _Differences(_Bounds):
+    """The bounds of a pair of members of a list of differences from a consensus.
+
+    ``gap`` of a set is (100 + percent) (|T| - 2 l) - 2 percent n. Two sets are linked if the sum of
+    their gaps and 2 (100 + percent) times the number of their common differences is not negative.
+    ``d`` is the number of differences of a set.
+    """
 
-    def needed(self, a: str, b: str) -> str:
-        """Retained values in common that a linked pair has; ``a`` and ``b`` are its sizes."""
-        exact = f"({self.percent} * ({a} + {b}) + {99 + self.percent}) div {100 + self.percent}"
-        return f"IF(greatest({a}, {b}) <= {self.sketch}L, {exact}, {self.least}L)"
+    def needed(self, gaps: str) -> str:
+        unit = 2 * (100 + self.percent)
+        return f"((-({gaps}) + {unit - 1}) div {unit})"
 
-    def room(self, a: str = "x", b: str = "y") -> str:
-        left = [f"least({side}.n, {self.sketch}L) - {side}.pos" for side in (a, b)]
-        return f"least({', '.join(left)}) >= {self.needed(f'{a}.n', f'{b}.n')}"
+    def room(self) -> str:
+        """Pairs whose gaps are enough are linked by way of the group's nearest member."""
+        gaps = "x.gap + y.gap"
+        return f"{gaps} < 0 AND least(x.d - x.pos, y.d - y.pos) >= {self.needed(gaps)}"
 
 
 def _size_class(percent: int) -> Column:
@@ -226,7 +239,8 @@ def _with_leaders(long: DataFrame, bounds: _Bounds) -> DataFrame:
     The first is that of the least class, so that lists of the same members have the same leader.
     """
     sized = long.withColumn("size_class", _size_class(bounds.percent))
-    leaders = sized.groupBy("value", "size_class").agg(F.min(F.struct("class", "n", "pos", "component")).alias("l"))
+    about = [c for c in long.columns if c != "value"]  # the class comes first
+    leaders = sized.groupBy("value", "size_class").agg(F.min(F.struct(*about)).alias("l"))
     # A list may hold a third of all sets: its members meet copies of the leader in several tasks.
     copies = leaders.select("value", "size_class", "l.*", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
     spread = sized.withColumn("salt", F.pmod(F.xxhash64("class"), F.lit(_SALTS)).cast("int"))
@@ -240,58 +254,110 @@ def _with_leaders(long: DataFrame, bounds: _Bounds) -> DataFrame:
 
 
 def _mixed(long: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of long lists of several components: their component, and the largest of the list."""
+    """Members of long lists of several components: their component, the largest of the list, and
+    the list's hub, its least class."""
     placed = (
         long.drop("component")
         .join(found.withColumnRenamed("node", "class"), "class", "left")
         .withColumn("component", F.coalesce("component", "class"))
     )
-    shares = placed.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
+    shares = placed.groupBy("value", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.min("class").alias("least")
+    )
     largest = (
         shares.groupBy("value")
-        .agg(F.max_by("component", F.struct("n", "component")).alias("largest"), F.count(F.lit(1)).alias("parts"))
+        .agg(
+            F.max_by("component", F.struct("n", "component")).alias("largest"),
+            F.min("least").alias("hub"),
+            F.count(F.lit(1)).alias("parts"),
+        )
         .where("parts > 1")
-        .select("value", "largest")
+        .select("value", "largest", "hub")
     )
     return placed.join(largest, "value")
 
 
-def _across_components(mixed: DataFrame, bounds: _Bounds) -> DataFrame:
-    """Pairs of members of a long list in different components that have room for a link.
+def _differences(groups: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Rows (class, n, component, hub, gap, d, sketch) of the members (hub, class, component) of
+    groups: ``sketch`` holds a number for each difference from the group's consensus."""
+    members = groups.join(sets, "class")
+    sizes = groups.groupBy("hub").agg(F.count(F.lit(1)).alias("members"))
+    shared = (
+        members.select("hub", F.explode("sketch").alias("value"))
+        .groupBy("hub", "value")
+        .agg(F.count(F.lit(1)).alias("holders"))
+        .join(sizes, "hub")
+        .where("2 * holders > members")
+    )
+    # Fewer than twice the values of a mean member.
+    consensus = shared.groupBy("hub").agg(F.collect_list("value").alias("consensus"))
+    whole = members.join(consensus, "hub", "left").select(
+        "class", "component", "hub", F.xxhash64("hub").alias("salt"), "sketch", "consensus"
+    )
 
-    Members of about the same size and share of values from their place on are one shape. Shapes of
-    which no members have room are not joined; the members of the others are looked at one by one.
-    """
-    step, parts, needed = 1.02, 50, bounds.percent / (100 + bounds.percent)
-    shaped = mixed.withColumns(
-        {
-            "size": F.floor(F.log("n") / math.log(step)).cast("int"),
-            "rest": F.ceil(parts * (F.col("n") - F.col("pos")) / F.col("n")).cast("int"),
-        }
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, gaps, found = [], [], []
+            for salt, own, shared in zip(batch["salt"], batch["sketch"], batch["consensus"], strict=True):
+                values = own.values.to_numpy()
+                template = shared.values.to_numpy() if shared.is_valid else np.zeros(0, np.int64)
+                lost = np.setdiff1d(template, values, assume_unique=True)
+                added = np.setdiff1d(values, template, assume_unique=True)
+                salts = np.full(2, salt.as_py(), np.int64).view(np.uint64)
+                numbers = [
+                    combined([v.view(np.uint64), np.full(len(v), s), np.full(len(v), sign, np.uint64)])
+                    for v, s, sign in ((lost, salts[0], 1), (added, salts[1], 2))
+                ]
+                sizes.append(len(values))
+                gaps.append((100 + percent) * (len(template) - 2 * len(lost)) - 2 * percent * len(values))
+                found.append(np.concatenate(numbers).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["class"],
+                    pa.array(sizes, pa.int64()),
+                    batch["component"],
+                    batch["hub"],
+                    pa.array(gaps, pa.int64()),
+                    pa.array([len(f) for f in found], pa.int64()),
+                    pa.array(found, pa.list_(pa.int64())),
+                ],
+                ["class", "n", "component", "hub", "gap", "d", "sketch"],
+            )
+
+    return whole.mapInArrow(
+        differ,
+        "class decimal(38,0), n bigint, component decimal(38,0), hub decimal(38,0), gap bigint, d bigint, "
+        "sketch array<bigint>",
     )
-    shape = ["value", "size", "rest"]
+
+
+def _across_components(mixed: DataFrame, bounds: _Differences) -> DataFrame:
+    """Pairs of members of a long list of differences in different components that have room.
+
+    Members of equal gap and number of differences from their place on are one shape; only shapes
+    that have room are joined.
+    """
+    shaped = mixed.withColumn("rest", F.col("d") - F.col("pos"))
+    shape = ["value", "gap", "rest"]
     shapes = shaped.select(*shape).distinct()
-    room = "{0}.rest / {2} + 1e-9 >= {3} * (1 + pow({4}, {1}.size - {0}.size - 1))"
     fits = (
         shapes.alias("x")
         .join(shapes.alias("y"), "value")
-        .where(" AND ".join(room.format(*ends, parts, needed, step) for ends in ("xy", "yx")))
+        .where(f"x.gap + y.gap < 0 AND least(x.rest, y.rest) >= {bounds.needed('x.gap + y.gap')}")
         .select("value", *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in shape[1:]])
     )
     sides = [
         shaped.select(
-            "value",
-            *[F.col(c).alias(f"{side}_{c}") for c in shape[1:]],
-            F.struct("class", "component", "largest", "n", "pos").alias(side),
+            "value", *[F.col(c).alias(f"{side}_{c}") for c in shape[1:]], F.struct("class", "component", "largest", "n").alias(side)
         )
         for side in "xy"
     ]
     return (
         sides[0]
         .where("x.component != x.largest")
-        .join(fits, ["value", "x_size", "x_rest"])
-        .join(sides[1], ["value", "y_size", "y_rest"])
-        .where(f"x.component != y.component AND {bounds.size()} AND {bounds.room()}")
+        .join(fits, ["value", "x_gap", "x_rest"])
+        .join(sides[1], ["value", "y_gap", "y_rest"])
+        .where(f"x.component != y.component AND {bounds.size()}")
         .select(*_pair())
     )
 
@@ -401,26 +467,42 @@ def _linked(
         wanted = staged(classes.select("class", "spot").join(asked, "class", "left_semi"), "bottom-k-wanted")
         return staged(_sets(docs, text_col, wanted), "bottom-k-sets")
 
+    sketch, percent, least = bounds.sketch, bounds.percent, bounds.least
     nowhere = classes.withColumn("component", F.lit(None).cast("decimal(38,0)"))
-    entries = staged(_entries(nowhere, bounds), "bottom-k-entries")
+
+    def retained(batch: pa.RecordBatch) -> list[int]:
+        return [prefix_length(n, sketch, percent, least) for n in batch["n"].to_pylist()]
+
+    entries = staged(_entries(nowhere, ["class", "n", "component"], retained), "bottom-k-entries")
     pairs, long = _short_lists(entries, bounds, long_list)
     links = _links(pairs.unionByName(_with_leaders(long, bounds)), classes, bounds, sets_of)
     found = connected_components(links)
-    members = staged(_mixed(long, found).select("class", "component").distinct(), "bottom-k-members")
-    if members.isEmpty():
+    groups = staged(_mixed(long, found).select("hub", "class", "component").distinct(), "bottom-k-groups")
+    if groups.isEmpty():
         return found
 
-    # The same once more for the members of mixed lists, their sketches grown to whole sets.
-    sets = sets_of(members.select("class"))
-    exact = _Bounds(_WHOLE, bounds.percent, bounds.least)
-    grown = sets.join(members, "class").withColumn("n", F.size("sketch").cast("bigint"))
-    entries = staged(_entries(grown, exact), "bottom-k-entries")
-    pairs, long = _short_lists(entries, exact, long_list)
-    more = _links(pairs.unionByName(_with_leaders(long, exact)), classes, bounds, lambda asked: sets)
-    links = links.unionByName(more)
-    if not more.isEmpty():
-        found = connected_components(links)
-    across = staged(_across_components(_mixed(long, found), exact), "bottom-k-across")
+    differing = _Differences(sketch, percent, least)
+    sets = sets_of(groups.select("class").distinct())
+    apart = staged(_differences(groups, sets, percent), "bottom-k-differences")
+    nearest = apart.groupBy("hub").agg(F.max(F.struct("gap", "class")).alias("h"))
+    nearest = nearest.select("hub", F.col("h.gap").alias("most"), F.col("h.class").alias("nearest"))
+    led = staged(apart.join(nearest, "hub"), "bottom-k-led")
+    near = led.where("gap + most >= 0 AND class != nearest").select(
+        F.least("class", "nearest").alias("a"), F.greatest("class", "nearest").alias("b")
+    )
+    # No member has a greater gap than the nearest one.
+    needed = F.expr(f"greatest(1L, {differing.needed('gap + most')})")
+    prefixed = led.withColumn("prefix", F.col("d") - needed + 1).where("prefix > 0")
+    about = ["class", "n", "component", "gap", "d"]
+    entries = staged(
+        _entries(prefixed, [*about, "prefix"], lambda batch: batch["prefix"].to_pylist()).drop("prefix"),
+        "bottom-k-entries",
+    )
+    pairs, long = _short_lists(entries, differing, long_list)
+    more = _links(pairs.unionByName(_with_leaders(long, differing)), classes, bounds, lambda asked: sets)
+    links = links.unionByName(near).unionByName(more)
+    found = connected_components(links)
+    across = staged(_across_components(_mixed(long, found), differing), "bottom-k-across")
     if across.isEmpty():
         return found
     return connected_components(links.unionByName(_links(across, classes, bounds, lambda asked: sets)))
