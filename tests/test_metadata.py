@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pytest
 
+from stratalake.layout import data_files
 from stratalake.plans import metadata as md
 
 
@@ -83,3 +84,21 @@ def test_store_keeps_values_a_later_patch_leaves_out(store):
     store.mark_processed("psa", [(date(2024, 1, 15), "a"), (date(2024, 1, 31), "b")])
     assert [tuple(r)[:3] for r in store.table("processed_batches").collect()] == [("psa", date(2024, 1, 1), "b")]
     assert store.batch_processed("psa", date(2024, 1, 9)) and not store.batch_processed("psa", date(2024, 2, 1))
+
+
+def test_long_logs_fold_into_several_files(store, monkeypatch):
+    monkeypatch.setattr(md, "_FOLDED_ROWS", 10)
+    for status in ("RUNNING", "SUCCESS"):
+        store.write("pipeline_runs", [{"run_id": f"r{i}", "status": status} for i in range(40)])
+    assert store.fold("pipeline_runs") == 2
+    generation = store._generations("pipeline_runs")[0]
+    sizes = [store.spark.read.parquet(f).count() for f in data_files(store.spark, f"{generation}/rows")]
+    assert sum(sizes) == 80 and max(sizes) <= 20
+    runs = store.table("pipeline_runs").collect()
+    assert sorted((r.run_id, r.status) for r in runs) == sorted((f"r{i}", "SUCCESS") for i in range(40))
+
+
+def test_files_of_many_rows_are_dealt_out_before_they_are_sorted(store):
+    store.write("pipeline_runs", [{"run_id": "r", "status": "RUNNING"}])
+    plan = store.table("pipeline_runs")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan[plan.rindex("Sort ["):]
