@@ -138,3 +138,16 @@ def test_strangers_on_one_shingle_form_no_pairs(spark, monkeypatch):
         got = jaccard_join.jaccard_components(docs).collect()
         assert all(r.component_id == r.doc_id for r in got) and len(got) == 2 * n
         assert seen.get("jaccard-across", 0) + seen["jaccard-pairs"] <= 4 * n
+
+
+def test_only_texts_that_are_asked_for_are_cut_into_shingles(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "g h i j k l")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in jaccard_join._profiles(docs, ["doc_id"], "text").where("n > 0").collect()}
+
+    def found(class_of, spot_of):
+        wanted = [(rows[class_of]["class"], rows[spot_of].spot if "spot" in rows[spot_of] else 0)]
+        wanted = spark.createDataFrame(wanted, "class long, spot long")
+        return jaccard_join._sets(docs, "text", wanted).count()
+
+    assert found(1, 1) == 1
+    assert found(1, 2) == 0
