@@ -7,6 +7,7 @@ backfill is one Spark job per layer over all months, not a loop of jobs.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -29,6 +30,10 @@ from stratalake.sinks import SNAPSHOT_COLUMNS, read_snapshots
 GOLD_OF = {PSA: "gold_macro_indicators", BSP_FX: "gold_exchange_rates"}
 
 
+#: Rows that a task conforms at a time, about.
+_TASK_ROWS = 500_000
+
+
 @dataclass(frozen=True)
 class RunResult:
     day: date
@@ -146,6 +151,21 @@ def _land_months(
     return Landed(dated.drop("_path"), counts, copies)
 
 
+def _dealt(bronze: Landed) -> DataFrame:
+    """Bronze rows in parts of about ``_TASK_ROWS`` rows.
+
+    Conforming sorts the rows of a task before it sends the newest of each key. Files of many months
+    are read by few tasks, which would sort more the more there is. Rows are dealt out by their place
+    in a task, so copies of a row or a key do not meet in one part.
+    """
+    repeated = sum(bronze.counts[_text(day)] for days in bronze.copies.values() for day in days[1:])
+    parts = math.ceil((sum(bronze.counts.values()) - repeated) / _TASK_ROWS)
+    if parts < 2:
+        return bronze.rows
+    placed = bronze.rows.withColumn("_place", F.monotonically_increasing_id())
+    return placed.repartition(parts, "_place").drop("_place")
+
+
 def _spread(silver: DataFrame, copies: Mapping[date, Sequence[date]]) -> DataFrame:
     """Conformed rows of a content for all the months that it stands for."""
     if not copies:
@@ -171,7 +191,7 @@ def _chain(
         clock.done("ingest", landed, landed)
         options = {"as_of": as_of} if source not in GOLD_OF else {}
         present = [d for d in days if _text(d) in landed]
-        conformed = _spread(transform(bronze.rows, source, by, **options), bronze.copies)
+        conformed = _spread(transform(_dealt(bronze), source, by, **options), bronze.copies)
         silver_path = write_silver(lake, conformed, source, present)
         silver = _read_silver(store, source, silver_path, present)
         counts = _row_counts(silver)

@@ -9,7 +9,7 @@ from stratalake import schemas
 from stratalake.contracts import load_contract
 from stratalake.layout import Lake, batch_folder, readable
 from stratalake.operators.quality import HardQualityFailure
-from stratalake.plans import serving
+from stratalake.plans import monthly_run, serving
 from stratalake.plans.bronze import land, read_bronze
 from stratalake.plans.gold import Batch, batch_columns, map_to_gold, publish
 from stratalake.plans.monthly_run import months_between, run_backfill, run_month
@@ -341,3 +341,19 @@ def test_backfill_lands_a_content_once(spark, store):
     assert spark.read.parquet(store.lake.bronze("bsp_fx")).count() == 30
     gold = spark.read.parquet(store.lake.gold("gold_exchange_rates"))
     assert {(r["month"], r["count"]) for r in gold.groupBy("month").count().collect()} == {(1, 30), (2, 30), (3, 30)}
+
+
+def test_large_backfill_conforms_in_parts(spark, store, monkeypatch):
+    monkeypatch.setattr(monthly_run, "_TASK_ROWS", 20)
+    parts, original = [], monthly_run.transform
+
+    def counted(rows, *args, **options):
+        ids = rows.groupBy(F.spark_partition_id()).count().collect()
+        parts.append([r["count"] for r in ids])
+        return original(rows, *args, **options)
+
+    monkeypatch.setattr(monthly_run, "transform", counted)
+    results = run_backfill(store, "bsp_fx", _fx(spark, 200), date(2024, 1, 1), date(2024, 2, 1))
+    assert [r.status for r in results] == ["SUCCESS"] * 2
+    assert sum(parts[0]) == 200 and len(parts[0]) >= 5 and max(parts[0]) < 100
+    assert [r.records_ingested for r in store.table("pipeline_runs").collect()] == [200, 200]
