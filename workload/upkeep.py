@@ -262,7 +262,8 @@ def _fingerprint_merge(spark: SparkSession, sf: str) -> DataFrame:
     UNION ALL SELECT 'fixed', rate_date, currency_pair, rate, 'true' FROM records""",
 )
 def _landing_commit(spark: SparkSession, sf: str) -> DataFrame:
-    """A source that gives other rows on every evaluation, and one that comes twice.
+    """A source that gives other rows on every evaluation, and one that comes twice, the second time
+    dealt out otherwise.
 
     ``described``: the manifest's fingerprint is that of the rows that are stored.
     """
@@ -272,7 +273,7 @@ def _landing_commit(spark: SparkSession, sf: str) -> DataFrame:
     changing = records.withColumn("source", random)
     land(store.lake, store, "bsp_fx", changing, date(2024, 1, 15), batch_id="changing")
     land(store.lake, store, "bsp_fx", records, date(2024, 2, 15), batch_id="fixed")
-    land(store.lake, store, "bsp_fx", records.orderBy("rate"), date(2024, 3, 15), batch_id="again")
+    land(store.lake, store, "bsp_fx", records.repartition("rate_date", "rate"), date(2024, 3, 15), batch_id="again")
     stored = read_bronze(store, "bsp_fx")
     fields = record_schema("bsp_fx").fieldNames()
     prints = fingerprint(stored, fields, ["batch_id"], "stored_hash").select("batch_id", "stored_hash")
