@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 _LANES = 4
 _LANE_DIGITS = 15  # 60 bits of the row digest per lane
+_LIMB_BITS = 20  # a lane is added up in three parts, each of which fits a long for 2**43 rows
 
 
 def sha256_hex(value: Column) -> Column:
@@ -39,28 +40,37 @@ def lane_sums(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
 
     Row digests are added up lane by lane, so every map task sends one short row per group and a
     group of any size needs neither a sort nor a collected list. Repeated rows count (a plain XOR
-    would cancel them).
+    cancel them). Parts of a lane are added as longs: decimals cost several times as much per row.
     """
     digest = F.col("_digest")
-    sums = [
-        F.coalesce(
-            F.sum(
-                F.conv(F.substring(digest, 1 + lane * _LANE_DIGITS, _LANE_DIGITS), 16, 10).cast(
-                    "decimal(20,0)"
-                )
-            ),
-            F.lit(0),
-        )
-        .cast("decimal(38,0)")
-        .alias(name)
+    lanes = [
+        F.conv(F.substring(digest, 1 + lane * _LANE_DIGITS, _LANE_DIGITS), 16, 10).cast("bigint").alias(name)
         for lane, name in enumerate(_lanes())
     ]
-    return (
+    shifts = range(0, 4 * _LANE_DIGITS, _LIMB_BITS)
+    mask = F.lit((1 << _LIMB_BITS) - 1).cast("bigint")
+    sums = [
+        F.sum(F.shiftright(name, shift).bitwiseAND(mask)).alias(f"_{name}_{shift}")
+        for name in _lanes()
+        for shift in shifts
+    ]
+    added = (
         df.select(*by, row_digest(columns).alias("_digest"))
+        .select(*by, *lanes)
         .groupBy(*by)
         .agg(F.count(F.lit(1)).alias("row_count"), *sums)
     )
 
+    def whole(name: str) -> Column:
+        limbs = [
+            F.coalesce(F.col(f"_{name}_{shift}"), F.lit(0)).cast("decimal(19,0)")
+            * F.lit(1 << shift).cast("decimal(13,0)")
+            for shift in shifts
+        ]
+        return reduce(lambda a, b: a + b, limbs).cast("decimal(38,0)").alias(name)
+
+    return added.select(*by, "row_count", *[whole(name) for name in _lanes()])
+
 
 def merged_lanes(sums: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Lane sums of larger groups from those of their parts, without reading a row again."""

@@ -82,7 +82,10 @@ class PendingBatch:
         self.fetched_at, self.batch_id = fetched_at or now(), batch_id or make_batch_id()
         self.folder = f"{lake.bronze(source)}/_pending/{uuid.uuid4().hex}"
         rows = stamped(records, self.fetched_at, self.batch_id).withColumns(
-            {"year": F.date_format(batch_date, "yyyy"), "month": F.date_format(batch_date, "MM")}
+            {
+                "year": F.lpad(F.year(batch_date).cast("string"), 4, "0"),
+                "month": F.lpad(F.month(batch_date).cast("string"), 2, "0"),
+            }
         )
         self._schema = bronze_schema(source)
         columns = [f.name for f in self._schema.fields if f.name != "batch_id"]

@@ -9,8 +9,9 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,11 +19,11 @@ from pyspark.sql import functions as F
 from stratalake.constants import BSP_FX, PSA
 from stratalake.contracts import load_contract
 from stratalake.layout import batch_folder, first_day
-from stratalake.operators.columns import project
+from stratalake.operators.columns import computed_once, project
 from stratalake.plans.bronze import PendingBatch, land, make_batch_id, read_bronze
 from stratalake.plans.gold import Batch, Published, publish
 from stratalake.plans.metadata import MetadataStore, now
-from stratalake.plans.silver import transform, write_silver
+from stratalake.plans.silver import greatest, transform, write_silver
 from stratalake.schemas import get_silver_schema, record_schema
 from stratalake.sinks import SNAPSHOT_COLUMNS, read_snapshots
 
@@ -94,9 +95,11 @@ def run_backfill(
     if batch_date is None:
         dated = records.withColumn("_batch", F.lit(days[0]))
     else:
-        month = F.trunc(F.col(batch_date).try_cast("date"), "month")
-        tagged = records.withColumn("_batch", month)
-        dated = tagged.filter(F.col("_batch").isNull() | F.col("_batch").between(days[0], days[-1]))
+        # The filter would copy the source's expression for the date, and evaluate every copy.
+        month = F.trunc(F.col(batch_date).try_cast("date"), "month").alias("_month")
+        tagged = records.select(*record_schema(source).fieldNames(), month)
+        once = computed_once(tagged, {"_batch": F.col("_month")}).drop("_month")
+        dated = once.filter(F.col("_batch").isNull() | F.col("_batch").between(days[0], days[-1]))
     typed = project(dated, record_schema(source).add("_batch", "date"))
 
     def bronze() -> Landed:
@@ -140,15 +143,26 @@ def _land_months(
         for day in whole or [content.day]:
             months.setdefault(paths[content.sha256_hash], []).append(day)
             counts[_text(day)] = content.row_count
-    # Rows are read once per content and tagged with the first of its months.
-    landed = read_bronze(store, source, *months).withColumn(
-        "_path", F.regexp_extract(F.input_file_name(), r"(year=\d+/month=\d+/batch_id=[^/]+)/", 1)
-    )
-    first = {p.removeprefix(f"{root}/"): str(days[0]) for p, days in months.items()}
-    month = F.try_element_at(F.from_json(F.lit(json.dumps(first)), "map<string,string>"), F.col("_path"))
-    dated = landed.withColumns({"year": F.substring(month, 1, 4), "month": F.substring(month, 6, 2)})
+    # Rows are read once per content and tagged with the first of its months, which is that of the
+    # folder unless the content had landed under another month.
+    elsewhere = {
+        p: days[0] for p, days in months.items() if not p.startswith(f"{root}/{batch_folder(days[0])}/")
+    }
+    parts = []
+    if own := [p for p in months if p not in elsewhere]:
+        parts.append(read_bronze(store, source, *own))
+    if elsewhere:
+        parts.append(_retagged(read_bronze(store, source, *elsewhere), root, elsewhere))
     copies = {days[0]: days for days in months.values() if len(days) > 1}
-    return Landed(dated.drop("_path"), counts, copies)
+    return Landed(reduce(DataFrame.unionByName, parts), counts, copies)
+
+
+def _retagged(landed: DataFrame, root: str, months: Mapping[str, date]) -> DataFrame:
+    """Bronze rows under the month that is named for their path."""
+    path = F.regexp_extract(F.input_file_name(), r"(year=\d+/month=\d+/batch_id=[^/]+)/", 1)
+    named = {p.removeprefix(f"{root}/"): str(day) for p, day in months.items()}
+    month = F.try_element_at(F.from_json(F.lit(json.dumps(named)), "map<string,string>"), path)
+    return landed.withColumns({"year": F.substring(month, 1, 4), "month": F.substring(month, 6, 2)})
 
 
 def _dealt(bronze: Landed) -> DataFrame:
@@ -191,7 +205,8 @@ def _chain(
         clock.done("ingest", landed, landed)
         options = {"as_of": as_of} if source not in GOLD_OF else {}
         present = [d for d in days if _text(d) in landed]
-        conformed = _spread(transform(_dealt(bronze), source, by, **options), bronze.copies)
+        reduced = replace(bronze, rows=greatest(bronze.rows, source))
+        conformed = _spread(transform(_dealt(reduced), source, by, **options), bronze.copies)
         silver_path = write_silver(lake, conformed, source, present)
         silver = _read_silver(store, source, silver_path, present)
         counts = _row_counts(silver)

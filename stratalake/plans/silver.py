@@ -33,6 +33,9 @@ POLICY_KEY = ("decision_date",)
 #: Among copies of a natural key the newest landing wins, then the greater batch id, then the value.
 _NEWEST = ("fetched_at", "batch_id")
 
+#: The value column of sources that drop no row for its value before they deduplicate.
+_VALUES = {PSA: "value", BSP_FX: "rate"}
+
 
 def _to_schema(df: DataFrame, source: str, extra: Sequence[str]) -> DataFrame:
     """Silver columns in schema order, in front of them the batch columns of a multi-batch job."""
@@ -111,6 +114,20 @@ _DATES = {
 }
 
 
+def greatest(bronze: DataFrame, source: str) -> DataFrame:
+    """Of rows that differ in their value alone the one that :func:`transform` would keep.
+
+    Rows of one landing share its time and batch id, so most copies of a natural key are such rows.
+    A hash aggregation sends one of them per task, without sorting the others first. Rows of other
+    sources, which are chosen by more than that, are all passed on.
+    """
+    value = _VALUES.get(source)
+    if value is None:
+        return bronze
+    others = [c for c in bronze.columns if c != value]
+    return bronze.groupBy(*others).agg(F.max(value).alias(value)).select(*bronze.columns)
+
+
 def transform(bronze: DataFrame, source: str, by: Sequence[str] = (), **options) -> DataFrame:
     if source not in _TRANSFORMS:
         raise ValueError(f"unknown source {source!r}")

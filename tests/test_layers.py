@@ -357,3 +357,53 @@ def test_large_backfill_conforms_in_parts(spark, store, monkeypatch):
     assert [r.status for r in results] == ["SUCCESS"] * 2
     assert sum(parts[0]) == 200 and len(parts[0]) >= 5 and max(parts[0]) < 100
     assert [r.records_ingested for r in store.table("pipeline_runs").collect()] == [200, 200]
+
+
+def test_copies_of_a_key_are_pruned_before_they_are_sorted(spark, store, monkeypatch):
+    given, original = [], monthly_run.transform
+
+    def counted(rows, *args, **options):
+        given.append(rows.count())
+        return original(rows, *args, **options)
+
+    monkeypatch.setattr(monthly_run, "transform", counted)
+    rows = [
+        (f"2024-0{m}-{d:02d}", "USD/PHP", None if copy == 0 else 50.0 + copy, "s")
+        for m in (1, 2) for d in range(1, 26) for copy in range(20)
+    ]
+    records = spark.createDataFrame(rows, "rate_date string, currency_pair string, rate double, source string")
+    results = run_backfill(store, "bsp_fx", records, date(2024, 1, 1), date(2024, 2, 1), batch_date="rate_date")
+    assert [r.status for r in results] == ["SUCCESS"] * 2
+    assert given == [50]
+    gold = spark.read.parquet(store.lake.gold("gold_exchange_rates"))
+    assert [r.rate for r in gold.collect()] == [69.0] * 50
+
+
+def test_content_of_another_month_is_read_beside_own_ones(spark, store):
+    """February's content landed under January before, March has a content of its own."""
+    schema = "rate_date string, currency_pair string, rate double, source string, batch date"
+    days = [(f"2023-12-{d:02d}", "USD/PHP", 56.0, "s") for d in range(1, 26)]
+    other = [(f"2023-12-{d:02d}", "USD/PHP", 57.0, "s") for d in range(1, 27)]
+    first = spark.createDataFrame([(*r, date(2024, 1, 1)) for r in days], schema)
+    run_backfill(store, "bsp_fx", first, date(2024, 1, 1), date(2024, 1, 1), batch_date="batch")
+    again = [(*r, date(2024, 2, 1)) for r in days] + [(*r, date(2024, 3, 1)) for r in other]
+    span = (date(2024, 2, 1), date(2024, 3, 1))
+    run_backfill(store, "bsp_fx", spark.createDataFrame(again, schema), *span, batch_date="batch")
+    gold = spark.read.parquet(store.lake.gold("gold_exchange_rates"))
+    found = {(r["month"], r["rate"], r["count"]) for r in gold.groupBy("month", "rate").count().collect()}
+    assert found == {(1, 56.0, 25), (2, 56.0, 25), (3, 57.0, 26)}
+    assert store.table("file_manifest").count() == 2
+
+
+def test_date_of_a_batch_is_computed_once(spark, store, monkeypatch):
+    plans, original = [], monthly_run.PendingBatch
+
+    def planned(lake, store, source, rows, *args, **options):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return original(lake, store, source, rows, *args, **options)
+
+    monkeypatch.setattr(monthly_run, "PendingBatch", planned)
+    records = _fx(spark, 30).withColumn("rate_date", F.date_format(F.to_date("rate_date"), "yyyy-MM-dd"))
+    run_backfill(store, "bsp_fx", records, date(2024, 1, 1), date(2024, 2, 1), batch_date="rate_date")
+    filters = [line for line in plans[0].splitlines() if "Filter" in line]
+    assert filters and not any("date_format" in line for line in filters)
