@@ -2,7 +2,9 @@
 
 import random
 import re
+import tracemalloc
 
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -151,3 +153,24 @@ def test_only_texts_that_are_asked_for_are_cut_into_shingles(spark):
 
     assert found(1, 1) == 1
     assert found(1, 2) == 0
+
+
+def test_block_is_multiplied_in_little_memory():
+    """A full block of columns: two tasks of an executor do so at a time, beside its heap."""
+    rng, per, docs = np.random.default_rng(7), 10_000, 5_000
+    pool = rng.integers(0, 1 << 62, jaccard_join._BLOCK_ENTRIES // 2, dtype=np.uint64)
+    blobs = []
+    for _ in range(jaccard_join._BLOCK_ENTRIES // per):
+        entry = np.empty(per, jaccard_join._BLOB_ENTRY)
+        entry["value"], entry["doc"] = rng.choice(pool, per), rng.integers(0, docs, per)
+        entry["pos"] = rng.integers(0, 80, per)
+        about = np.empty(docs, jaccard_join._BLOB_DOC)
+        about["class"], about["n"] = rng.integers(0, 1 << 60, docs), 320
+        data = b"".join(entry[f].tobytes() for f in jaccard_join._BLOB_ENTRY.names)
+        blobs.append((data, about.tobytes()))
+    group = pd.DataFrame(blobs, columns=["data", "docs"])
+    tracemalloc.start()
+    found = jaccard_join._multiply_block(75, 8)(group)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) and peak < 30e6
